@@ -16,3 +16,26 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def obs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
     return obs(spark, sf_dir).filter(F.col("half") == half)
+
+
+def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-seen state before the 'now' half: four fifths of the earlier (provider, domain) pairs."""
+    from zonelens.operators.parking import match_providers
+    o = obs_half(spark, sf_dir, "prev").filter(F.col("k") == "ns")
+    m = match_providers(o, P.providers(spark))
+    num = F.expr(r"try_cast(regexp_extract(d, '([0-9]+)', 1) AS INT)")
+    return (m.filter(num % 5 != 0).groupBy("provider", F.col("d").alias("domain"))
+            .agg(F.min("fs").alias("first_ms"))
+            .select("provider", "domain", F.lit(P.PREV_SNAP).alias("first_snap"), "first_ms"))
+
+
+def certs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
+    return P.certificates(spark, sf_dir).filter(F.col("half") == half)
+
+
+def delta(spark: SparkSession, sf_dir: str, half: str = "now", with_seen: bool = True) -> DataFrame:
+    """The parking delta of one half (S4)."""
+    from zonelens.operators.parking import parking_delta
+    snap = P.NOW_SNAP if half == "now" else P.PREV_SNAP
+    return parking_delta(obs_half(spark, sf_dir, half), certs_half(spark, sf_dir, half),
+                         P.providers(spark), seen(spark, sf_dir) if with_seen else None, snap)

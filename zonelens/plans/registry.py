@@ -34,4 +34,4 @@ def joined(c, sep: str = ",") -> "F.Column":
 
 
 # the queries live in these modules; importing them fills the registry
-from zonelens.plans import q_catalogue  # noqa: E402,F401
+from zonelens.plans import q_catalogue, q_parking  # noqa: E402,F401
