@@ -1,17 +1,50 @@
-"""Fixture relations as Spark DataFrames (the Spark side of `oracle.py`)."""
+"""Fixture relations as Spark DataFrames (the Spark side of `oracle.py`).
+
+The observation table is what the ingest job writes: the rollup of the
+measurement messages, stored once per session as zstd Parquet below the
+checkpoint folder (partitioned by window, clustered by kind and domain).
+Catalogue queries read it, as the reference's queries read the stored
+observation files; the `obs_rollup` query measures the rollup itself.
+"""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from zonelens.operators.rollup import rollup_observations
+from zonelens.operators.rollup import rollup_measurements
+from zonelens.schemas import OBSERVATION
+from zonelens.session import scratch_path
+from zonelens.sinks.writers import write_observations
 from zonelens.sources import projection as P
 
+_STORED: dict = {}
+OBS_FILE_SCHEMA = T.StructType(OBSERVATION.fields + [T.StructField("half", T.StringType(), True)])
+
+
+def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observation rollup of the fixture measurements, per half ('prev' / 'now')."""
+    return rollup_measurements(P.measurement_envelopes(spark, sf_dir), window_cols=["half"])
+
+
+def _stored_path(spark: SparkSession, sf_dir: str) -> str:
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    st = os.stat(src) if os.path.exists(src) else None
+    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), st and (st.st_size, st.st_mtime))
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, "obs")
+        write_observations(rollup(spark, sf_dir), path, partition_cols=["half"])
+        _STORED[key] = path
+    return path
+
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation rollup of the fixture answers, per half ('prev' / 'now')."""
-    return rollup_observations(P.answers(spark, sf_dir), window_cols=["half"])
+    """The stored observation table (S2 + half)."""
+    return spark.read.schema(OBS_FILE_SCHEMA).parquet(_stored_path(spark, sf_dir))
 
 
 def obs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:

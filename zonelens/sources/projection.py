@@ -46,62 +46,56 @@ PROVIDER_ROWS = [
 _LONG_TOPIC = {v: k for k, v in TOPIC_TAGS.items()}
 
 
-def _pick(idx: Column, values: list) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
-
-
-def _s(c) -> Column:
-    return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+def _case(expr: str, values: list) -> str:
+    return "CASE " + expr + " " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
 
 
 def dns_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per DNS answer (flat, fixture vocabulary: off, ts, domain, qname, ...)."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
-    kk = F.expr(r"try_cast(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)")
-    uid, eid = F.col("user_id"), F.col("event_id")
-    base = e.select(
-        eid.alias("off"), to_ms("ts").alias("ts"), uid, F.col("value").alias("rtt"), kk.alias("kk"),
-        _pick(uid % 6, NS_HOSTS).alias("host"),
-        F.concat(F.lit("d"), _s(uid), _pick(uid % 3, TLDS)).alias("domain"),
-        _pick(eid % 3, TOPICS).alias("topic"),
-        F.coalesce(F.create_map(*[F.lit(x) for kv in QTYPES.items() for x in kv])[F.col("event_type")],
-                   F.lit("TXT")).alias("qtype"),
-        F.when(F.col("ts") < F.lit(HALF_SPLIT_DATE).cast("date"), "prev").otherwise("now").alias("half"),
+    qtype = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in QTYPES.items()) + " ELSE 'TXT' END"
+    base = e.selectExpr(
+        "event_id AS off", "unix_millis(CAST(ts AS TIMESTAMP)) AS ts", "user_id", "value AS rtt",
+        r"try_cast(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS kk",
+        _case("user_id % 6", NS_HOSTS) + " AS host",
+        "concat('d', CAST(user_id AS STRING), " + _case("user_id % 3", TLDS) + ") AS domain",
+        _case("event_id % 3", TOPICS) + " AS topic",
+        qtype + " AS qtype",
+        f"CASE WHEN ts < DATE '{HALF_SPLIT_DATE}' THEN 'prev' ELSE 'now' END AS half",
     )
-    kk, q, host, dom, half = F.col("kk"), F.col("qtype"), F.col("host"), F.col("domain"), F.col("half")
-    eid = F.col("off")
-    bump = F.when((half == "now") & (uid % 5 == 0), 1).otherwise(0)
-    return base.select(
+    return base.selectExpr(
         "off", "ts", "domain", "half", "topic", "qtype",
-        F.when(kk % 4 != 0, dom).otherwise(F.concat(F.lit("ns"), _s(eid % 2 + 1), F.lit("."), host)).alias("qname"),
-        F.when(q == "A", F.concat(F.lit("10.0."), _s(uid % 5), F.lit("."), _s(kk % 7)))
-         .when(q == "AAAA", F.concat(F.lit("2001:db8::"), _s(kk % 7))).alias("ip"),
-        F.when(q == "NS", F.concat(F.lit("ns"), _s(kk % 2 + 1), F.lit("."), host)).alias("ns"),
-        F.when(q == "MX", F.concat(F.lit("mx"), _s(kk % 3), F.lit(".mail"), _s(uid % 4), F.lit(".com"))).alias("mx"),
-        F.when(q == "MX", ((kk % 3) * 10).cast("bigint")).alias("pref"),
-        F.when(kk % 10 == 9, 3).otherwise(0).alias("rcode"),
-        (F.lit(300) * (1 + eid % 4)).cast("bigint").alias("ttl"),
-        F.concat(F.lit("645"), _s((uid + bump) % 6), _s(eid % 2)).alias("asn"),
-        _pick(eid % 4, COUNTRIES).alias("cc"),
+        "CASE WHEN kk % 4 <> 0 THEN domain ELSE concat('ns', CAST(off % 2 + 1 AS STRING), '.', host) END AS qname",
+        "CASE qtype WHEN 'A' THEN concat('10.0.', CAST(user_id % 5 AS STRING), '.', CAST(kk % 7 AS STRING))"
+        " WHEN 'AAAA' THEN concat('2001:db8::', CAST(kk % 7 AS STRING)) END AS ip",
+        "CASE WHEN qtype = 'NS' THEN concat('ns', CAST(kk % 2 + 1 AS STRING), '.', host) END AS ns",
+        "CASE WHEN qtype = 'MX' THEN concat('mx', CAST(kk % 3 AS STRING), '.mail', CAST(user_id % 4 AS STRING), '.com') END AS mx",
+        "CASE WHEN qtype = 'MX' THEN CAST((kk % 3) * 10 AS BIGINT) END AS pref",
+        "CASE WHEN kk % 10 = 9 THEN 3 ELSE 0 END AS rcode",
+        "CAST(300 * (1 + off % 4) AS BIGINT) AS ttl",
+        "concat('645', CAST((user_id + CASE WHEN half = 'now' AND user_id % 5 = 0 THEN 1 ELSE 0 END) % 6 AS STRING),"
+        " CAST(off % 2 AS STRING)) AS asn",
+        _case("off % 4", COUNTRIES) + " AS cc",
         "rtt",
     )
 
 
-def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DNS answers in measurement vocabulary, already flat (what `flatten_measurements` yields)."""
-    r = dns_rows(spark, sf_dir)
+def _answer_row(r: DataFrame) -> Column:
     q = F.col("qtype")
-    return r.select(
-        F.col("off").alias("offset"), F.lit(0).alias("pos"), "topic", "half",
-        F.col("domain").alias("id"),
-        q.alias("query_type"), F.col("qname").alias("query_name"), F.col("ts").alias("timestamp"),
-        F.col("rcode").cast("int").alias("status_code"), F.col("ttl").cast("int").alias("response_ttl"),
-        F.when(q == "A", F.col("ip")).alias("ip4_address"),
-        F.when(q == "AAAA", F.col("ip")).alias("ip6_address"),
-        F.col("asn").alias("as"), F.col("cc").alias("country"), F.lit(None).cast("string").alias("ip_prefix"),
-        F.col("ns").alias("ns_address"), F.col("mx").alias("mx_address"),
-        F.col("pref").cast("int").alias("mx_preference"), "rtt",
-    )
+    fields = {
+        "query_type": q, "query_name": F.col("qname"), "timestamp": F.col("ts"),
+        "status_code": F.col("rcode"), "response_ttl": F.col("ttl"),
+        "ip4_address": F.when(q == "A", F.col("ip")), "ip6_address": F.when(q == "AAAA", F.col("ip")),
+        "as": F.col("asn"), "country": F.col("cc"), "ip_prefix": F.lit(None),
+        "ns_address": F.col("ns"), "mx_address": F.col("mx"), "mx_preference": F.col("pref"), "rtt": F.col("rtt"),
+    }
+    return F.struct(*[fields[f.name].cast(f.dataType).alias(f.name) for f in schemas.DNS_ROW.fields])
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DNS answers in measurement vocabulary: the flattened measurement messages."""
+    from zonelens.operators.rollup import flatten_measurements
+    return flatten_measurements(measurement_envelopes(spark, sf_dir), keep=["half"])
 
 
 def measurement_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,25 +104,21 @@ def measurement_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each event is one message whose `resultList` holds its answer; the
     column layout is what a Kafka read followed by an Avro decode yields.
     """
-    a = answers(spark, sf_dir)
-    row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.DNS_ROW.fields])
+    r = dns_rows(spark, sf_dir)
     long_topic = F.create_map(*[F.lit(x) for kv in _LONG_TOPIC.items() for x in kv])[F.col("topic")]
-    return a.select(
-        long_topic.alias("topic"), F.lit(0).alias("partition"), F.col("offset"),
-        F.timestamp_millis("timestamp").alias("timestamp"), "half",
-        F.struct(F.col("id").alias("id"), F.lit("DNS").alias("measurement_type"), F.lit("OK").alias("state"),
-                 F.col("timestamp").alias("request_timestamp"),
-                 F.array(row).alias("resultList")).alias("measurement"),
+    return r.select(
+        long_topic.alias("topic"), F.lit(0).alias("partition"), F.col("off").alias("offset"),
+        F.timestamp_millis("ts").alias("timestamp"), "half",
+        F.struct(F.col("domain").alias("id"), F.lit("DNS").alias("measurement_type"), F.lit("OK").alias("state"),
+                 F.col("ts").alias("request_timestamp"),
+                 F.array(_answer_row(r)).alias("resultList")).alias("measurement"),
     )
 
 
 def cert_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Certificate log entries already unnested: certIndex, source, fingerprint, half, name."""
-    r = dns_rows(spark, sf_dir).filter((F.col("qtype") == "AAAA") & (F.col("off") % 11 == 0))
-    base = r.select(F.col("off").alias("certIndex"), F.concat(F.lit("log"), _s(F.col("off") % 4)).alias("source"),
-                    F.md5(_s("off")).alias("fingerprint"), "half", "domain")
-    names = F.array(F.concat(F.lit("www."), F.col("domain")), F.concat(F.lit("*."), F.upper("domain"), F.lit(".")))
-    return base.select("certIndex", "source", "fingerprint", "half", F.explode(names).alias("name"))
+    c = certificates(spark, sf_dir)
+    return c.select("certIndex", "source", "fingerprint", "half", F.explode("domain_list").alias("name"))
 
 
 def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,16 +126,14 @@ def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Built per row (no grouping): each qualifying answer issues one certificate.
     """
-    r = dns_rows(spark, sf_dir).filter((F.col("qtype") == "AAAA") & (F.col("off") % 11 == 0))
-    return r.select(
-        F.col("off").alias("certIndex"), F.floor(F.col("ts") / 1000).cast("bigint").alias("seen"),
-        F.floor(F.col("ts") / 1000).cast("bigint").alias("submission_timestamp"),
-        F.concat(F.lit("log"), _s(F.col("off") % 4)).alias("source"),
-        F.when(F.col("off") % 2 == 0, "X509LogEntry").otherwise("PrecertLogEntry").alias("updateType"),
-        F.md5(_s("off")).alias("fingerprint"),
-        F.array(F.concat(F.lit("www."), F.col("domain")), F.concat(F.lit("*."), F.upper("domain"), F.lit("."))).alias("domain_list"),
-        F.array(F.col("domain")).alias("sld_list"), "half",
-    )
+    r = dns_rows(spark, sf_dir).filter("qtype = 'AAAA' AND off % 11 = 0")
+    return r.selectExpr(
+        "off AS certIndex", "CAST(ts DIV 1000 AS BIGINT) AS seen", "CAST(ts DIV 1000 AS BIGINT) AS submission_timestamp",
+        "concat('log', CAST(off % 4 AS STRING)) AS source",
+        "CASE WHEN off % 2 = 0 THEN 'X509LogEntry' ELSE 'PrecertLogEntry' END AS updateType",
+        "md5(CAST(off AS STRING)) AS fingerprint",
+        "array(concat('www.', domain), concat('*.', upper(domain), '.')) AS domain_list",
+        "array(domain) AS sld_list", "half")
 
 
 def providers(spark: SparkSession) -> DataFrame:
