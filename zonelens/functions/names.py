@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "TOPIC_TAGS", "SNAP_TAG_PATTERN", "ARCHIVE_FILE_PATTERN",
+    "TOPIC_TAGS", "SNAP_TAG_PATTERN", "ARCHIVE_FILE_PATTERN", "BACKFILL_TAG_PATTERN",
+    "RETENTION_SNAP_PATTERN", "RETENTION_DELTA_PATTERN",
     "col_", "strip_dots", "apex_of", "ns_apex", "topic_tag", "is_primary",
     "suffix_match", "strip_leading_dot", "target_url", "file_topic",
     "file_shard", "file_is_sample", "archive_path", "release_asset_name",
@@ -27,10 +28,15 @@ TOPIC_TAGS = {
 # A snapshot tag names the END of a 12-hour window.
 SNAP_TAG_PATTERN = r"^snap-(\d{4}-\d{2}-\d{2})-(00|12)$"
 # Archive / release file names: <topic>.shard-<N>[.sample].parquet
-ARCHIVE_FILE_PATTERN = r"^(?P<topic>[a-z_]+)\.shard-(?P<shard>\d+)(?P<sample>\.sample)?\.parquet$"
+ARCHIVE_FILE_PATTERN = r"^(.+?)\.shard-(\d+)(\.sample)?\.parquet$"
+# Release tags the archive back-fill accepts (any two-digit hour)
+BACKFILL_TAG_PATTERN = r"^snap-(\d{4}-\d{2}-\d{2})-(\d{2})$"
+# Tags the retention job may delete: snapshots (with or without hour) and day deltas
+RETENTION_SNAP_PATTERN = r"^snap-(\d{4}-\d{2}-\d{2})(-(00|12))?$"
+RETENTION_DELTA_PATTERN = r"^parking-DAY-(\d{4}-\d{2}-\d{2})-(00|12)$"
 # ---------------------------------------------------------------------------
 
-_FILE_RE_SPARK = r"^([a-z_]+)\.shard-(\d+)(\.sample)?\.parquet$"
+_FILE_RE_SPARK = ARCHIVE_FILE_PATTERN
 
 
 def col_(c) -> Column:

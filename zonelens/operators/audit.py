@@ -27,7 +27,7 @@ def first_n_per_group(df: DataFrame, group: str, order: str, n: int) -> DataFram
     """WIN-1: the n smallest `order` values per group, as a sorted list."""
     w = Window.partitionBy(group).orderBy(order)
     r = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    return r.groupBy(group).agg(F.array_sort(F.collect_list(order)).alias("_firstn"))
+    return r.groupBy(group).agg(F.sort_array(F.collect_list(order)).alias("_firstn"))
 
 
 def ns_audit_topk(obs: DataFrame, k: int = 500, samples: int = 5) -> DataFrame:

@@ -82,7 +82,7 @@ def _ns_sets(obs: DataFrame) -> DataFrame:
     # the NS set of a domain is small (its delegation), and collect_set is
     # combined map-side, so the list per group stays bounded by distinct hosts
     return (obs.filter(F.col("k") == "ns").groupBy("d")
-            .agg(F.array_sort(F.collect_set("s")).alias("ns_set")))
+            .agg(F.sort_array(F.collect_set("s")).alias("ns_set")))
 
 
 def ns_set_change(prev_obs: DataFrame, now_obs: DataFrame) -> DataFrame:

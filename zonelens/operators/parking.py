@@ -64,8 +64,8 @@ def parking_today(obs: DataFrame, providers: DataFrame, method: str = "labels")
     """JOB-4 / AGG-7: per (provider, domain) in one window: NS set, topics, first / last time, count."""
     m = match_providers(ns_rows(obs), providers, method)
     return (m.groupBy("provider", F.col("d").alias("domain"))
-            .agg(F.array_sort(F.collect_set("s")).alias("ns_set"),
-                 F.array_sort(F.collect_set("topic")).alias("source_topics"),
+            .agg(F.sort_array(F.collect_set("s")).alias("ns_set"),
+                 F.sort_array(F.collect_set("topic")).alias("source_topics"),
                  F.min("fs").alias("first_ms"), F.max("ls").alias("last_ms"),
                  F.sum("n").alias("observations")))
 
@@ -102,8 +102,8 @@ def ct_signal(today_new: DataFrame, certs: DataFrame) -> DataFrame:
     names = ct_names(certs)
     wanted = today_new.select(F.col("domain").alias("apex")).distinct()
     per_apex = (names.join(wanted, "apex", "left_semi").groupBy("apex")
-                .agg(F.array_sort(F.collect_set("source")).alias("ct_sources"),
-                     F.array_sort(F.collect_set("fingerprint")).alias("ct_fingerprints")))
+                .agg(F.sort_array(F.collect_set("source")).alias("ct_sources"),
+                     F.sort_array(F.collect_set("fingerprint")).alias("ct_fingerprints")))
     j = today_new.join(per_apex, today_new["domain"] == per_apex["apex"], "left")
     return j.select(*[today_new[c] for c in today_new.columns],
                     _nonempty(F.col("ct_sources")).alias("ct_sources"),
@@ -151,7 +151,7 @@ def merge_seen(seen: DataFrame | None, delta: DataFrame, snap: str) -> DataFrame
 
 
 def _union_sets(c: str) -> Column:
-    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    merged = F.sort_array(F.array_distinct(F.flatten(F.collect_list(c))))
     return _nonempty(merged)
 
 
@@ -165,8 +165,8 @@ def day_rollup(*deltas: DataFrame) -> DataFrame:
     for d in deltas[1:]:
         u = u.unionByName(d)
     return (u.groupBy("provider", "domain")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ns_set")))).alias("ns_set"),
-                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("source_topics")))).alias("source_topics"),
+            .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ns_set")))).alias("ns_set"),
+                 F.sort_array(F.array_distinct(F.flatten(F.collect_list("source_topics")))).alias("source_topics"),
                  F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"),
                  F.sum("observations").alias("observations"),
                  _union_sets("ct_sources").alias("ct_sources"),

@@ -72,3 +72,35 @@ def delta(spark: SparkSession, sf_dir: str, half: str = "now", with_seen: bool =
     snap = P.NOW_SNAP if half == "now" else P.PREV_SNAP
     return parking_delta(obs_half(spark, sf_dir, half), certs_half(spark, sf_dir, half),
                          P.providers(spark), seen(spark, sf_dir) if with_seen else None, snap)
+
+
+# --- the 12-hour archive: messages sliced into shards, rolled up per shard file ---
+ARCHIVE_TOPICS = ["newly_issued_certificates_measurements", "newly_registered_fqdn_measurements",
+                  "newly_registered_domains_measurements"]
+
+
+def sliced_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurement messages with their window (date, hour = window end) and shard."""
+    from zonelens.functions.timefmt import snap_date_of_ms, snap_hour_of_ms, window_end_ms
+    from zonelens.operators.housekeeping import assign_shards, shard_config
+    env = P.measurement_envelopes(spark, sf_dir)
+    ms = F.col("measurement.request_timestamp")
+    env = env.select("*", window_end_ms(ms).alias("window_end_ms"), snap_date_of_ms(ms).alias("date"),
+                     snap_hour_of_ms(ms).alias("hour"), F.col("topic").alias("topic_name"))
+    return assign_shards(env, shard_config(spark), "window_end_ms", topic_col="topic_name")
+
+
+ARCHIVE_PARTS = ["topic_name", "date", "hour", "shard"]
+
+
+def archive_root(spark: SparkSession, sf_dir: str) -> str:
+    """The observation archive of the fixture, written once per session."""
+    key = ("archive", spark.sparkContext.applicationId, os.path.realpath(sf_dir))
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, "archive")
+        env = sliced_envelopes(spark, sf_dir).withColumn("shard", F.col("shard").cast("string"))
+        o = rollup_measurements(env, window_cols=ARCHIVE_PARTS)
+        write_observations(o, path, partition_cols=ARCHIVE_PARTS, one_file_per_partition=True)
+        _STORED[key] = path
+    return path

@@ -30,8 +30,8 @@ def register(name: str, oracle_sql: str | None = None):
 def joined(c, sep: str = ",") -> "F.Column":
     """A list as one sorted comma-joined string (NULL stays NULL)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.array_sort(col), sep)
+    return F.array_join(F.sort_array(col), sep)
 
 
 # the queries live in these modules; importing them fills the registry
-from zonelens.plans import q_catalogue, q_parking  # noqa: E402,F401
+from zonelens.plans import q_archive, q_catalogue, q_parking  # noqa: E402,F401

@@ -27,7 +27,7 @@ def _parquet(df: DataFrame, mode: str):
 
 
 def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                       mode: str = "overwrite") -> None:
+                       mode: str = "overwrite", one_file_per_partition: bool = False) -> None:
     """SNK-1 / SNK-7: zstd-3 Parquet, rows clustered by (k, d) inside each file so
     that row-group statistics skip most groups for kind / domain filters.
 
@@ -36,8 +36,13 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     writes one file per partition value; with dynamic overwrite only the
     windows present in `obs` are replaced.  A DataFrame without rows still
     writes a valid (empty) file.
+
+    `one_file_per_partition` shuffles by the partition columns first; use it
+    only when one partition value is bounded in size (an offset slice of a
+    window, as in the per-shard archive), never for a whole window.
     """
-    df = obs.sortWithinPartitions(*partition_cols, "k", "d")
+    df = obs.repartition(*partition_cols) if (one_file_per_partition and partition_cols) else obs
+    df = df.sortWithinPartitions(*partition_cols, "k", "d")
     w = _parquet(df, mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
