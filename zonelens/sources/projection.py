@@ -139,3 +139,36 @@ def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def providers(spark: SparkSession) -> DataFrame:
     """Provider dimension, one row per suffix: provider, suffix, active."""
     return spark.createDataFrame(PROVIDER_ROWS, "provider string, suffix string, active boolean")
+
+
+def cert_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Certificate-log messages as JSON envelopes (topic certstream_domains), one per event.
+
+    The event's `value` (a fraction) is the producer's float-typed
+    `submission_timestamp`; the event's `props` object is merged in as an
+    unknown field; events of type 'error' carry truncated, unparseable text.
+    """
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    dom = "concat('d', CAST(user_id AS STRING), " + _case("user_id % 3", TLDS) + ")"
+    body = ("to_json(named_struct('certIndex', event_id, "
+            "'seen', CAST(unix_millis(CAST(ts AS TIMESTAMP)) DIV 1000 AS BIGINT), "
+            "'submission_timestamp', value, 'source', concat('log', CAST(event_id % 4 AS STRING)), "
+            "'updateType', CASE WHEN event_id % 2 = 0 THEN 'X509LogEntry' ELSE 'PrecertLogEntry' END, "
+            "'fingerprint', md5(CAST(event_id AS STRING)), "
+            f"'domain_list', array(concat('www.', {dom}), concat('*.', upper({dom}), '.')), "
+            f"'sld_list', array({dom})))")
+    x = e.selectExpr("event_id", "ts", "event_type", "props", f"{body} AS body")
+    text = ("CASE WHEN event_type = 'error' THEN substring(body, 1, 20) "
+            "ELSE concat(substring(body, 1, length(body) - 1), ', ', substring(props, 2)) END")
+    return x.selectExpr("'certstream_domains' AS topic", "0 AS partition", "event_id AS offset",
+                        "CAST(ts AS TIMESTAMP) AS timestamp", f"CAST({text} AS BINARY) AS value")
+
+
+def payload_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurement-topic envelopes with a raw payload (the event's props bytes)."""
+    r = dns_rows(spark, sf_dir)
+    e = table(spark, sf_dir, "events", "event_id", "props")
+    long_topic = F.create_map(*[F.lit(x) for kv in _LONG_TOPIC.items() for x in kv])[F.col("topic")]
+    return r.select("off", "ts", "topic").join(e.withColumnRenamed("event_id", "off"), "off").select(
+        long_topic.alias("topic"), F.lit(0).alias("partition"), F.col("off").alias("offset"),
+        F.timestamp_millis("ts").alias("timestamp"), F.col("props").cast("binary").alias("value"))
