@@ -89,9 +89,17 @@ def rollup_observations(answers: DataFrame, window_cols: Sequence[str] = ()) ->
     min / max and still counted.
     """
     c = classify_answers(answers, keep=window_cols)
+    g = c.groupBy(*window_cols, *OBS_KEY).agg(*rollup_aggregates())
+    return finish_rollup(g, window_cols)
+
+
+def rollup_aggregates():
+    """The per-key aggregates of AGG-1 (also used by the streaming rollup)."""
     first = F.min_by(F.struct("tl", "a", "c", "p"), F.struct("offset", "pos"))
-    g = c.groupBy(*window_cols, *OBS_KEY).agg(
-        F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"), first.alias("f"))
+    return [F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"), first.alias("f")]
+
+
+def finish_rollup(g: DataFrame, window_cols: Sequence[str] = ()) -> DataFrame:
     out = {
         "rc": F.nullif(F.col("rc"), F.lit(0).cast("bigint")).alias("rc"),
         "tl": F.col("f.tl").alias("tl"), "a": F.col("f.a").alias("a"),

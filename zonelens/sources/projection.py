@@ -50,9 +50,16 @@ def _case(expr: str, values: list) -> str:
     return "CASE " + expr + " " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
 
 
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
 def dns_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per DNS answer (flat, fixture vocabulary: off, ts, domain, qname, ...)."""
-    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    return dns_rows_of(table(spark, sf_dir, "events", *EVENT_COLUMNS))
+
+
+def dns_rows_of(e: DataFrame) -> DataFrame:
+    """`dns_rows` over any events DataFrame (batch or streaming)."""
     qtype = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in QTYPES.items()) + " ELSE 'TXT' END"
     base = e.selectExpr(
         "event_id AS off", "unix_millis(CAST(ts AS TIMESTAMP)) AS ts", "user_id", "value AS rtt",
@@ -104,7 +111,11 @@ def measurement_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each event is one message whose `resultList` holds its answer; the
     column layout is what a Kafka read followed by an Avro decode yields.
     """
-    r = dns_rows(spark, sf_dir)
+    return measurement_envelopes_of(dns_rows(spark, sf_dir))
+
+
+def measurement_envelopes_of(r: DataFrame) -> DataFrame:
+    """`measurement_envelopes` over a `dns_rows` DataFrame (batch or streaming)."""
     long_topic = F.create_map(*[F.lit(x) for kv in _LONG_TOPIC.items() for x in kv])[F.col("topic")]
     return r.select(
         long_topic.alias("topic"), F.lit(0).alias("partition"), F.col("off").alias("offset"),
