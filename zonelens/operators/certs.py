@@ -25,25 +25,30 @@ def payload_text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
+CORRUPT = "_corrupt"
+_PARSE_SCHEMA = T.StructType(CERTIFICATE_TEXT.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
 def parse_certificates(envelopes: DataFrame) -> DataFrame:
     """JOB-3 / SRC-3 / PRJ-10..12: JSON envelopes -> certificate rows (S3) + `_offset`, `_ok`.
 
-    `_ok` is false for an empty payload, text that is not a JSON object,
-    or an object that does not parse; such rows carry NULL fields and are
-    counted as errors by `json_stats`.
+    `_ok` is false for an empty payload, text that is not a JSON object or
+    does not parse (captured in the corrupt-record field of the one parse).
+    Such rows carry NULL fields and are counted as errors by `json_stats`.
+    The parse is emitted through a one-row generator, so a later filter on
+    `_ok` cannot be pushed beneath it and parse the text a second time.
     """
     txt = payload_text(F.col("value"))
-    parsed = F.from_json(txt, CERTIFICATE_TEXT, {"mode": "PERMISSIVE"})
-    is_obj = F.json_object_keys(txt).isNotNull()
-    x = envelopes.select("topic", "offset", txt.alias("_txt"), parsed.alias("j"),
-                         ((F.length(txt) > 0) & is_obj).alias("_obj"))
-    ok = F.col("_obj") & F.col("j").isNotNull()
+    parsed = F.from_json(txt, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    row = F.struct(F.col("topic"), F.col("offset").alias("_offset"), F.length(txt).alias("_bytes"), parsed.alias("j"))
+    x = envelopes.select(F.inline(F.array(row)))
+    j = F.col("j")
+    ok = (F.col("_bytes") > 0) & j.isNotNull() & j.getField(CORRUPT).isNull()
     fields = []
     for f in CERTIFICATE.fields:
-        c = F.col("j").getField(f.name)
+        c = j.getField(f.name)
         fields.append((coerce_int(c) if isinstance(f.dataType, T.LongType) else c).alias(f.name))
-    return x.select("topic", F.col("offset").alias("_offset"), ok.alias("_ok"),
-                    F.length("_txt").alias("_bytes"), *fields)
+    return x.select("topic", "_offset", F.coalesce(ok, F.lit(False)).alias("_ok"), "_bytes", *fields)
 
 
 def certificates_only(parsed: DataFrame) -> DataFrame:

@@ -121,3 +121,14 @@ SELECT y.d AS domain, y.asn AS prev_asn, t.asn AS now_asn FROM y JOIN t USING (d
 def as_change(spark, sf):
     o = X.obs(spark, sf)
     return C.as_change(o.filter(F.col("half") == "prev"), o.filter(F.col("half") == "now"))
+
+
+LOOKUP_DOMAIN = "d7.net"
+
+
+@register("domain_lookup", W + f"""
+SELECT half, k, topic, d, s, m, q, ip, a, c, p, pr, tl, fs, ls, n, rc FROM obs WHERE d = '{LOOKUP_DOMAIN}' ORDER BY fs""")
+def domain_lookup(spark, sf):
+    """Point lookup of one domain over the stored observations (all kinds, all windows)."""
+    o = X.obs(spark, sf)
+    return o.filter(F.col("d") == LOOKUP_DOMAIN).select(o.columns).orderBy("fs")
