@@ -154,3 +154,20 @@ ORDER BY new_domains DESC, ns_apex LIMIT 30""")
 def audit_configured(spark, sf):
     t = A.ns_audit_topk(X.obs(spark, sf), AUDIT_TOPK)
     return A.audit_configured(t, P.providers(spark), AUDIT_THRESHOLD)
+
+
+@register("delta_job", DELTA_NOW + """
+SELECT p.provider, coalesce(c.new_domains, 0) AS new_domains, coalesce(c.with_ct, 0) AS ct_signal_count
+FROM (SELECT DISTINCT provider FROM providers WHERE active) p
+LEFT JOIN (SELECT provider, count(*) AS new_domains,
+                  count(*) FILTER (WHERE ct_sources IS NOT NULL AND len(ct_sources) > 0) AS with_ct
+           FROM today_new_ct GROUP BY provider) c USING (provider)""")
+def delta_job(spark, sf):
+    """The whole delta job (files per provider, counts CSV, manifest, new state); its counts read back."""
+    from zonelens.jobs import run_delta
+    from zonelens.session import scratch_path
+    base = scratch_path(spark, "delta-job")
+    paths = run_delta(X.obs_half(spark, sf, "now"), X.certs_half(spark, sf, "now"), P.providers(spark),
+                      X.seen(spark, sf), P.NOW_SNAP, base, f"{base}/seen-new")
+    return spark.read.schema("provider string, new_domains bigint, ct_signal_count bigint") \
+        .option("header", True).csv(paths["counts"])

@@ -149,7 +149,8 @@ def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def providers(spark: SparkSession) -> DataFrame:
     """Provider dimension, one row per suffix: provider, suffix, active."""
-    return spark.createDataFrame(PROVIDER_ROWS, "provider string, suffix string, active boolean")
+    rows = ", ".join(f"('{p}', '{s}', {str(a).lower()})" for p, s, a in PROVIDER_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS p(provider, suffix, active)")
 
 
 def cert_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
