@@ -171,3 +171,31 @@ def delta_job(spark, sf):
                       X.seen(spark, sf), P.NOW_SNAP, base, f"{base}/seen-new")
     return spark.read.schema("provider string, new_domains bigint, ct_signal_count bigint") \
         .option("header", True).csv(paths["counts"])
+
+
+VOLUME_NS = f"""vol AS (
+SELECT 'ns' AS k, CASE l_returnflag WHEN 'A' THEN 'domains' WHEN 'N' THEN 'fqdn' ELSE 'certs' END AS topic,
+       concat('p', CAST(l_partkey AS VARCHAR), '.com') AS d,
+       concat('ns', CAST(l_linenumber % 2 + 1 AS VARCHAR), '.', CASE WHEN l_suppkey % 3 = 0 THEN '{P.HOT_APEX}'
+              ELSE concat('h', CAST(l_suppkey % {P.COLD_APEXES} AS VARCHAR), '.org') END) AS s,
+       CAST(l_quantity AS BIGINT) AS n, epoch_us(l_shipdate) // 1000 AS fs, epoch_us(l_shipdate) // 1000 AS ls
+FROM lineitem)"""
+
+
+@register("volume_audit", "WITH " + VOLUME_NS + f"""
+, labeled AS (SELECT d, s, array_to_string(list_slice(string_split(s, '.'), -2, -1), '.') AS ns_apex FROM vol)
+SELECT ns_apex, count(DISTINCT d) AS new_domains, count(DISTINCT s) AS distinct_ns_hosts, min(s) AS sample_ns_host,
+       array_to_string((array_agg(DISTINCT d ORDER BY d))[1:5], ',') AS sample_domains
+FROM labeled GROUP BY ns_apex ORDER BY new_domains DESC, ns_apex LIMIT {AUDIT_TOPK}""")
+def volume_audit(spark, sf):
+    t = A.ns_audit_topk(P.lineitem_ns_obs(spark, sf), AUDIT_TOPK)
+    return t.withColumn("sample_domains", F.array_join("sample_domains", ","))
+
+
+@register("volume_concentration", "WITH " + VOLUME_NS + f"""
+SELECT s AS ns_host, count(DISTINCT d) AS new_domains, CAST(sum(n) AS BIGINT) AS total_measurements,
+       min(fs) AS first_ms, max(ls) AS last_ms
+FROM vol WHERE ends_with(s, '.{P.HOT_APEX}') GROUP BY s""")
+def volume_concentration(spark, sf):
+    from zonelens.operators.catalogue import ns_concentration
+    return ns_concentration(P.lineitem_ns_obs(spark, sf), "." + P.HOT_APEX)

@@ -184,3 +184,23 @@ def payload_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("off", "ts", "topic").join(e.withColumnRenamed("event_id", "off"), "off").select(
         long_topic.alias("topic"), F.lit(0).alias("partition"), F.col("off").alias("offset"),
         F.timestamp_millis("ts").alias("timestamp"), F.col("props").cast("binary").alias("value"))
+
+
+# fixed values of the volume fixture: one name-server apex takes a third of all rows
+HOT_APEX = "bigpark.net"
+COLD_APEXES = 97
+
+
+def lineitem_ns_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`lineitem` as NS observations, for volume: part -> domain, supplier -> name server,
+    return flag -> topic, quantity -> n, ship date -> time.  Suppliers with key % 3 = 0
+    all delegate to one apex, so that apex holds a third of the rows (a hot group)."""
+    li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_returnflag", "l_shipdate")
+    return li.selectExpr(
+        "'ns' AS k", "CASE l_returnflag WHEN 'A' THEN 'domains' WHEN 'N' THEN 'fqdn' ELSE 'certs' END AS topic",
+        "concat('p', CAST(l_partkey AS STRING), '.com') AS d",
+        f"concat('ns', CAST(l_linenumber % 2 + 1 AS STRING), '.', CASE WHEN l_suppkey % 3 = 0 THEN '{HOT_APEX}' "
+        f"ELSE concat('h', CAST(l_suppkey % {COLD_APEXES} AS STRING), '.org') END) AS s",
+        "CAST(l_quantity AS BIGINT) AS n", "unix_millis(CAST(l_shipdate AS TIMESTAMP)) AS fs",
+        "unix_millis(CAST(l_shipdate AS TIMESTAMP)) AS ls")

@@ -35,6 +35,19 @@ def streaming_rollup(answers: DataFrame, watermark: str = "1 hour", window: str
                     F.date_format(end, "HH").alias("hour"), *[c for c in o.columns if c != "window_end_ms"])
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk, checkpointed
+    to the checkpoint location) unless the session chose a provider already."""
+    k = "spark.sql.streaming.stateStore.providerClass"
+    cur = spark.conf.get(k, "") or ""
+    if cur == "" or cur.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(k, ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
                       timeout_s: int | None = None) -> None:
     """Run an append-mode query over what is available, then stop (STR-5).
@@ -42,6 +55,7 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
     The checkpoint makes a restart resume from the last committed batch; the
     file sink's own log keeps re-executed batches from duplicating output.
     """
+    use_rocksdb(stream.sparkSession)
     q = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink_path)
          .trigger(availableNow=True).start())
