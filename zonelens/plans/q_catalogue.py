@@ -132,3 +132,9 @@ def domain_lookup(spark, sf):
     """Point lookup of one domain over the stored observations (all kinds, all windows)."""
     o = X.obs(spark, sf)
     return o.filter(F.col("d") == LOOKUP_DOMAIN).select(o.columns).orderBy("fs")
+
+
+@register("ip_rows", W + "SELECT count(*) AS n_rows FROM obs WHERE half = 'now' AND k = 'ip'")
+def ip_rows(spark, sf):
+    """AGG-17: global count with a filter (one window's `ip` rows)."""
+    return X.obs_half(spark, sf, "now").filter(F.col("k") == "ip").agg(F.count(F.lit(1)).alias("n_rows"))
