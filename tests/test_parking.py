@@ -122,3 +122,10 @@ def test_manifest_order(spark):
     c = spark.createDataFrame([("b", 5, 1), ("a", 5, 0), ("z", 9, 2)], "provider string, new_domains bigint, ct_signal_count bigint")
     m = K.delta_manifest(c, "snap-2026-01-01-00", 1).collect()[0]
     assert [p.name for p in m.providers] == ["z", "b", "a"]
+
+
+def test_ct_signal_rows_match_lists(spark):
+    certs = spark.createDataFrame([("log1", "f1", ["*.A.COM.", "www.a.com"]), ("log3", "f3", ["a.com"])], CERT)
+    today = K.parking_today(obs(spark), providers(spark))
+    rows = sorted((r.provider, r.domain, r.source, r.fingerprint) for r in K.ct_signal_rows(today, certs).collect())
+    assert rows == [("p_one", "a.com", "log1", "f1"), ("p_one", "a.com", "log3", "f3")]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from zonelens.operators.rollup import rollup_observations
 from zonelens.streaming.first_seen import final_state, run_first_seen
-from zonelens.streaming.rollup_stream import run_available_now, streaming_rollup
+from zonelens.streaming.rollup_stream import late_rows, run_available_now, streaming_rollup
 
 ANS = ("offset bigint, pos int, topic string, id string, query_type string, query_name string, timestamp bigint, "
        "status_code int, response_ttl int, ip4_address string, ip6_address string, `as` string, country string, "
@@ -24,7 +24,8 @@ def test_stream_rollup_matches_batch_for_closed_windows(spark, tmp_out):
     src = spark.createDataFrame(rows, ANS)
     src.write.parquet(f"{tmp_out}/in")
     stream = spark.readStream.schema(src.schema).parquet(f"{tmp_out}/in")
-    run_available_now(streaming_rollup(stream, "1 hour"), f"{tmp_out}/out", f"{tmp_out}/ck")
+    prog = run_available_now(streaming_rollup(stream, "1 hour"), f"{tmp_out}/out", f"{tmp_out}/ck")
+    assert late_rows(prog) == 0 and len(prog) >= 1
     got = sorted((r.window_end_ms, r.ip, r.n, r.a) for r in spark.read.parquet(f"{tmp_out}/out").collect())
     # the window ending at 36h is still open (watermark = 30h - 1h)
     assert got == [(12 * H, "1.1.1.1", 2, "1"), (24 * H, "2.2.2.2", 1, "3")]

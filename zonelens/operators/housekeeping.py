@@ -8,7 +8,7 @@ listing of any size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.functions.names import (BACKFILL_TAG_PATTERN, RETENTION_DELTA_PATTERN,
@@ -125,8 +125,7 @@ def backfill_plan(listing: DataFrame, local: DataFrame, date: str | None = None,
         x = x.filter(F.col("topic").isin(list(topics)))
     pending = x.join(local.select("tag", "name", "size"), ["tag", "name", "size"], "left_anti")
     if max_releases > 0:
-        # ranks the distinct pending windows (a listing of releases, not of data rows)
-        rel = pending.select("date", "hour").distinct()
-        rel = rel.withColumn("_r", F.dense_rank().over(Window.orderBy("date", "hour")))
-        pending = pending.join(rel.filter(F.col("_r") <= max_releases).drop("_r"), ["date", "hour"], "left_semi")
+        # the N oldest pending windows: a distributed top-N (no single-task ranking window)
+        oldest = pending.select("date", "hour").distinct().orderBy("date", "hour").limit(max_releases)
+        pending = pending.join(F.broadcast(oldest), ["date", "hour"], "left_semi")
     return pending.orderBy("date", "hour", "topic", "shard", "name")

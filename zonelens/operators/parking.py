@@ -110,6 +110,16 @@ def ct_signal(today_new: DataFrame, certs: DataFrame) -> DataFrame:
                     _nonempty(F.col("ct_fingerprints")).alias("ct_fingerprints"))
 
 
+def ct_signal_rows(today_new: DataFrame, certs: DataFrame) -> DataFrame:
+    """The certificate signal in normalised form: one row per (provider, domain, source,
+    fingerprint).  Same content as the list columns of `ct_signal`, for consumers that
+    must not hold every fingerprint of a heavily certified apex in one row."""
+    names = ct_names(certs).filter(F.col("fingerprint").isNotNull() | F.col("source").isNotNull())
+    wanted = today_new.select("provider", F.col("domain").alias("apex"))
+    return (names.join(wanted, "apex").select("provider", F.col("apex").alias("domain"), "source", "fingerprint")
+            .distinct())
+
+
 def parking_delta(obs: DataFrame, certs: DataFrame, providers: DataFrame,
                   seen: DataFrame | None, snap: str, method: str = "labels") -> DataFrame:
     """JOB-5: the S4 delta of one window."""

@@ -49,11 +49,13 @@ def use_rocksdb(spark) -> None:
 
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-                      timeout_s: int | None = None) -> None:
+                      timeout_s: int | None = None) -> list:
     """Run an append-mode query over what is available, then stop (STR-5).
 
     The checkpoint makes a restart resume from the last committed batch; the
     file sink's own log keeps re-executed batches from duplicating output.
+    Returns the progress reports; rows dropped as late (STR-3) are in
+    `stateOperators[*].numRowsDroppedByWatermark`.
     """
     use_rocksdb(stream.sparkSession)
     q = (stream.writeStream.format(fmt).outputMode("append")
@@ -62,6 +64,12 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
+    return q.recentProgress
 
 
-__all__ = ["streaming_rollup", "run_available_now", "WINDOW", "WINDOW_MS"]
+def late_rows(progress: list) -> int:
+    """STR-3: rows the state operators dropped because they were behind the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p.get("stateOperators", []))
+
+
+__all__ = ["streaming_rollup", "run_available_now", "late_rows", "WINDOW", "WINDOW_MS"]
