@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from zonelens.functions.names import (BACKFILL_TAG_PATTERN, RETENTION_DELTA_PATTERN,
                                       RETENTION_SNAP_PATTERN, file_is_sample, file_shard, file_topic)
 from zonelens.functions.timefmt import WINDOW_MS, cutoff_date, from_ms
+from zonelens.operators.joins import broadcast_if_small
 
 # fixed values: shards per topic in one window (three Avro topics + the certificate-log topic)
 SHARD_CONFIG = [
@@ -32,14 +33,17 @@ def assign_shards(msgs: DataFrame, config: DataFrame, window_col: str = "window_
                   topic_col: str = "topic") -> DataFrame:
     """STR-4: contiguous offset slices per (topic, window); the last slice takes the remainder.
 
-    start / end are the window's first offset and one past its last; the
-    per-window bounds are a small aggregate joined back (AQE broadcasts it
-    when its measured size allows, otherwise it is a shuffle join).
+    start / end are the window's first offset and one past its last (with a
+    Kafka source they come from the broker's offset-for-time lookup).  Both
+    small sides are broadcast so the messages are never shuffled by topic
+    (a handful of keys): the bounds hold one row per topic and 12-hour window
+    (bounded by the configured topics and the time range, not by the data),
+    and the shard configuration is size-checked.
     """
     bounds = msgs.groupBy(topic_col, window_col).agg(
         F.min("offset").alias("_start"), (F.max("offset") + 1).alias("_end"))
-    cfg = config.select(F.col("topic").alias(topic_col), "shards")
-    x = msgs.join(bounds, [topic_col, window_col]).join(cfg, topic_col)
+    cfg = broadcast_if_small(config.select(F.col("topic").alias(topic_col), "shards"))
+    x = msgs.join(F.broadcast(bounds), [topic_col, window_col]).join(cfg, topic_col)
     chunk = F.floor((F.col("_end") - F.col("_start")) / F.col("shards"))
     shard = F.when(chunk == 0, F.col("shards") - 1).otherwise(
         F.least(F.floor((F.col("offset") - F.col("_start")) / chunk), F.col("shards") - 1))
