@@ -20,10 +20,19 @@ ZSTD_LEVEL = 3
 ROW_GROUP_ROWS = 200_000
 
 
-def _parquet(df: DataFrame, mode: str):
-    return (df.write.mode(mode).option("compression", "zstd")
-            .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL)
-            .option("parquet.enable.dictionary", "true"))
+# point lookups filter on domain (`d`) and name server (`s`): bloom filters let
+# the reader skip row groups whose min / max cannot exclude the value
+BLOOM_COLUMNS = ("d", "s")
+
+
+def _parquet(df: DataFrame, mode: str, bloom=()):
+    w = (df.write.mode(mode).option("compression", "zstd")
+         .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL)
+         .option("parquet.enable.dictionary", "true"))
+    for c in bloom:
+        if c in df.columns:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    return w
 
 
 def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str] = (),
@@ -43,7 +52,7 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     """
     df = obs.repartition(*partition_cols) if (one_file_per_partition and partition_cols) else obs
     df = df.sortWithinPartitions(*partition_cols, "k", "d")
-    w = _parquet(df, mode)
+    w = _parquet(df, mode, BLOOM_COLUMNS)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
