@@ -52,14 +52,15 @@ def obs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
 
 
 def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-seen state before the 'now' half: four fifths of the earlier (provider, domain) pairs."""
+    """First-seen state before the 'now' half: the pairs of the earlier half first seen
+    before the state's cut-off (so pairs first seen after it are new later on)."""
+    from zonelens.functions.timefmt import snap_tag_of_ms
     from zonelens.operators.parking import match_providers
     o = obs_half(spark, sf_dir, "prev").filter(F.col("k") == "ns")
     m = match_providers(o, P.providers(spark))
-    num = F.expr(r"try_cast(regexp_extract(d, '([0-9]+)', 1) AS INT)")
-    return (m.filter(num % 5 != 0).groupBy("provider", F.col("d").alias("domain"))
-            .agg(F.min("fs").alias("first_ms"))
-            .select("provider", "domain", F.lit(P.PREV_SNAP).alias("first_snap"), "first_ms"))
+    return (m.groupBy("provider", F.col("d").alias("domain")).agg(F.min("fs").alias("first_ms"))
+            .filter(F.col("first_ms") < F.lit(P.SEEN_CUTOFF_MS))
+            .select("provider", "domain", snap_tag_of_ms("first_ms").alias("first_snap"), "first_ms"))
 
 
 def certs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:

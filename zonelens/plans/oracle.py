@@ -54,20 +54,23 @@ GROUP BY half, k, topic, d, s, m, q, ip, pref, rcode)"""
 
 CERT_NAMES = r"""cert_names AS (
 SELECT off AS certIndex, concat('log', CAST(off % 4 AS VARCHAR)) AS source, md5(CAST(off AS VARCHAR)) AS fingerprint, half,
-       concat('www.', domain) AS name FROM dns_rows WHERE qtype = 'AAAA' AND off % 11 = 0
+       concat('www.', domain) AS name FROM dns_rows WHERE qtype = 'AAAA'
 UNION ALL
 SELECT off, concat('log', CAST(off % 4 AS VARCHAR)), md5(CAST(off AS VARCHAR)), half,
-       concat('*.', upper(domain), '.') FROM dns_rows WHERE qtype = 'AAAA' AND off % 11 = 0)"""
+       concat('*.', upper(domain), '.') FROM dns_rows WHERE qtype = 'AAAA')"""
 
 PROVIDERS = r"""providers AS (
 SELECT * FROM (VALUES ('park_a', '.parkone.com', true), ('park_b', '.parktwo.net', true), ('park_dual', '.dualpark.com', true),
   ('park_dual', '.dualpark.net', true), ('park_none', '.nowhere.example', true), ('watch_c', '.bigdns.io', false)) AS p(provider, suffix, active))"""
 
 SEEN = r"""seen AS (
-SELECT p.provider, o.d AS domain, 'snap-2024-01-15-12' AS first_snap, CAST(min(o.fs) AS BIGINT) AS first_ms
-FROM obs o JOIN providers p ON ends_with(o.s, p.suffix)
-WHERE o.k = 'ns' AND o.half = 'prev' AND p.active AND CAST(regexp_extract(o.d, '([0-9]+)', 1) AS INT) % 5 <> 0
-GROUP BY p.provider, o.d)"""
+SELECT provider, domain, 'snap-' || strftime(epoch_ms((first_ms // 43200000 + 1) * 43200000), '%Y-%m-%d-%H') AS first_snap,
+       first_ms
+FROM (SELECT p.provider, o.d AS domain, CAST(min(o.fs) AS BIGINT) AS first_ms
+      FROM obs o JOIN providers p ON ends_with(o.s, p.suffix)
+      WHERE o.k = 'ns' AND o.half = 'prev' AND p.active
+      GROUP BY p.provider, o.d) x
+WHERE first_ms < 1704240000000)"""
 
 # apex of a name: lowercase, trailing dots removed, last two labels
 def apex_sql(x: str) -> str:

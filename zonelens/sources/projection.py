@@ -20,7 +20,8 @@ from zonelens.sources.tables import table
 # fixed values of the fixture --------------------------------------------------
 # the two consecutive "snapshots": events before this date are 'prev', else 'now'
 HALF_SPLIT_DATE = "2024-01-16"
-PREV_SNAP = "snap-2024-01-15-12"   # tag the fixture state is stamped with
+PREV_SNAP = "snap-2024-01-15-12"   # tag of the last window of the 'prev' half
+SEEN_CUTOFF_MS = 1704240000000     # 2024-01-03 00:00 UTC: the prior state holds pairs first seen before it
 NOW_SNAP = "snap-2024-01-16-00"    # tag of the 'now' half
 # name-server host by user_id % 6
 NS_HOSTS = ["parkone.com", "cust.parktwo.net", "dualpark.com", "dualpark.net", "bigdns.io", "otherdns.org"]
@@ -135,9 +136,9 @@ def cert_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Certificates in list form (S3 + half): one row per certificate, names in `domain_list`.
 
-    Built per row (no grouping): each qualifying answer issues one certificate.
+    Built per row (no grouping): every AAAA answer issues one certificate.
     """
-    r = dns_rows(spark, sf_dir).filter("qtype = 'AAAA' AND off % 11 = 0")
+    r = dns_rows(spark, sf_dir).filter("qtype = 'AAAA'")
     return r.selectExpr(
         "off AS certIndex", "CAST(ts DIV 1000 AS BIGINT) AS seen", "CAST(ts DIV 1000 AS BIGINT) AS submission_timestamp",
         "concat('log', CAST(off % 4 AS STRING)) AS source",
