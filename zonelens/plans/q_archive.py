@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zonelens.functions.names import file_shard, file_topic, release_asset_name
+from zonelens.functions.names import file_topic, release_asset_name
 from zonelens.functions.timefmt import snap_tag_of_ms, to_ms, window_end_ms
 from zonelens.operators import housekeeping as H
 from zonelens.plans import fixture as X
@@ -76,7 +76,7 @@ def window_counts(spark, sf):
 @register("shard_slices", W_ARCH + """
 SELECT topic_name AS topic, date, hour, CAST(shard AS INTEGER) AS shard, count(*) AS n_msgs,
        min(off) AS first_offset, max(off) AS last_offset
-FROM sliced_w GROUP BY 1, 2, 3, 4""".replace("FROM sliced_w GROUP", "FROM sliced_w GROUP"))
+FROM sliced_w GROUP BY 1, 2, 3, 4""")
 def shard_slices(spark, sf):
     e = X.sliced_envelopes(spark, sf)
     return e.groupBy(F.col("topic_name").alias("topic"), "date", "hour", "shard").agg(

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonelens import schemas
-from zonelens.functions import to_ms
 from zonelens.functions.names import TOPIC_TAGS
 from zonelens.sources.tables import table
 

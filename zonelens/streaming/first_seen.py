@@ -12,8 +12,6 @@ windows suppress a pair).  The state lives in files, never in memory.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
