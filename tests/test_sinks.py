@@ -51,3 +51,15 @@ def test_avro_frame_header(spark):
     df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x01abc"),), (bytearray(b"\x00\x01"),)], "value binary")
     got = [r[0] for r in df.select(avro_body(F.col("value"))).collect()]
     assert got == [bytearray(b"abc"), None]
+
+
+def test_within_time_bound_and_cap(spark):
+    import datetime as dt
+    from zonelens.sources.kafka import within
+    t0 = dt.datetime(2026, 5, 25, 0, 0, 0)
+    env = spark.createDataFrame([("t", 0, o, t0 + dt.timedelta(minutes=o), bytearray(b"x")) for o in range(10)],
+                                "topic string, partition int, offset bigint, timestamp timestamp, value binary")
+    start = int(t0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000) + 2 * 60_000
+    got = [r.offset for r in within(env, start, start + 5 * 60_000).orderBy("offset").collect()]
+    assert got == [2, 3, 4, 5, 6]
+    assert [r.offset for r in within(env, start, None, max_msgs=3).collect()] == [2, 3, 4]

@@ -26,7 +26,8 @@ def from_ms(ms) -> Column:
 
 def window_end_ms(ms) -> Column:
     """End of the 12-hour window holding `ms`; a time on a boundary opens the next window."""
-    return (F.floor(col_(ms) / F.lit(WINDOW_MS)) + 1).cast("bigint") * F.lit(WINDOW_MS)
+    m = col_(ms).cast("bigint")
+    return m - F.pmod(m, F.lit(WINDOW_MS)) + F.lit(WINDOW_MS)
 
 
 def snap_date_of_ms(ms) -> Column:
