@@ -94,13 +94,16 @@ def _nonempty(c: Column) -> Column:
     return F.when(F.size(c) > 0, c)
 
 
-def ct_signal(today_new: DataFrame, certs: DataFrame) -> DataFrame:
+def ct_signal(today_new: DataFrame, certs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """JOIN-3 / AGG-8: attach sorted distinct CT sources / fingerprints by apex.
 
     The lists are NULL when no certificate name has the domain as apex.
+    `wanted` (a `domain` column, default: today_new's domains) reduces the
+    certificate side before its aggregation; any superset of today_new's
+    domains gives the same result.
     """
     names = ct_names(certs)
-    wanted = today_new.select(F.col("domain").alias("apex")).distinct()
+    wanted = (wanted if wanted is not None else today_new).select(F.col("domain").alias("apex")).distinct()
     per_apex = (names.join(wanted, "apex", "left_semi").groupBy("apex")
                 .agg(F.sort_array(F.collect_set("source")).alias("ct_sources"),
                      F.sort_array(F.collect_set("fingerprint")).alias("ct_fingerprints")))
@@ -122,8 +125,13 @@ def ct_signal_rows(today_new: DataFrame, certs: DataFrame) -> DataFrame:
 
 def parking_delta(obs: DataFrame, certs: DataFrame, providers: DataFrame,
                   seen: DataFrame | None, snap: str, method: str = "labels") -> DataFrame:
-    """JOB-5: the S4 delta of one window."""
-    return ct_signal(parking_new(parking_today(obs, providers, method), seen, snap), certs)
+    """JOB-5: the S4 delta of one window.
+
+    Certificates are reduced by the domains of *today* (before the anti join),
+    so the seen state is joined once and not again for the reduction.
+    """
+    today = parking_today(obs, providers, method)
+    return ct_signal(parking_new(today, seen, snap), certs, wanted=today)
 
 
 def delta_counts(delta: DataFrame, providers: DataFrame) -> DataFrame:
