@@ -146,14 +146,16 @@ def expired_snapshots(spark, sf):
 
 
 def _listing(spark, sf):
+    # one release asset per landed shard slice, plus a sample file per slice of the domains topic
     s = shard_slices(spark, sf)
     tag = F.concat(F.lit("snap-"), F.col("date"), F.lit("-"), F.col("hour"))
-    files = s.select(tag.alias("tag"), release_asset_name("topic", "shard").alias("name"),
-                     (F.lit(1000) + F.lit(64) * F.col("n_msgs")).cast("bigint").alias("size"))
-    samples = s.filter(F.col("topic") == "newly_registered_domains_measurements").select(
-        tag.alias("tag"), F.format_string("%s.shard-%d.sample.parquet", "topic", "shard").alias("name"),
-        F.lit(500).cast("bigint").alias("size"))
-    return files.unionByName(samples)
+    full = F.struct(release_asset_name("topic", "shard").alias("name"),
+                    (F.lit(1000) + F.lit(64) * F.col("n_msgs")).cast("bigint").alias("size"))
+    sample = F.when(F.col("topic") == "newly_registered_domains_measurements", F.struct(
+        F.format_string("%s.shard-%d.sample.parquet", "topic", "shard").alias("name"),
+        F.lit(500).cast("bigint").alias("size")))
+    x = s.select(tag.alias("tag"), F.explode(F.array(full, sample)).alias("f")).filter(F.col("f").isNotNull())
+    return x.select("tag", "f.name", "f.size")
 
 
 def _local(listing):
