@@ -63,3 +63,15 @@ def test_within_time_bound_and_cap(spark):
     got = [r.offset for r in within(env, start, start + 5 * 60_000).orderBy("offset").collect()]
     assert got == [2, 3, 4, 5, 6]
     assert [r.offset for r in within(env, start, None, max_msgs=3).collect()] == [2, 3, 4]
+
+
+def test_rewrite_of_one_window_keeps_the_others(spark, tmp_out):
+    from zonelens.schemas import OBSERVATION
+    cols = OBSERVATION.simpleString()[len("struct<"):-1] + ",date:string,hour:string"
+    def rows(hour, d, n):
+        return spark.createDataFrame([("ns", "domains", d, "ns1.x", None, None, None, None, None, None, None, 60, 1, 2, n,
+                                       None, "2026-05-25", hour)], cols)
+    W.write_observations(rows("00", "a.com", 1).unionByName(rows("12", "b.com", 2)), tmp_out, ["date", "hour"])
+    W.write_observations(rows("00", "c.com", 3), tmp_out, ["date", "hour"])          # re-run of window 00
+    got = sorted((r.hour, r.d, r.n) for r in spark.read.schema(rows("00", "x", 0).schema).parquet(tmp_out).collect())
+    assert got == [("00", "c.com", 3), ("12", "b.com", 2)]

@@ -50,3 +50,16 @@ def test_first_seen_replay_is_idempotent(spark, tmp_out):
     run_first_seen(stream, prov, f"{tmp_out}/state", f"{tmp_out}/ck")
     st2 = sorted((r.domain, r.first_snap, r.first_ms) for r in final_state(spark, f"{tmp_out}/state").collect())
     assert st2 == st
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_out):
+    early = spark.createDataFrame([ans(1, 1 * H, "1.1.1.1", "1"), ans(2, 30 * H, "2.2.2.2", "2")], ANS)
+    late = spark.createDataFrame([ans(3, 2 * H, "1.1.1.1", "3")], ANS)       # window [0, 12h) already closed
+    early.write.parquet(f"{tmp_out}/in/a")
+    time.sleep(1.1)
+    late.write.parquet(f"{tmp_out}/in/b")
+    stream = spark.readStream.schema(early.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_out}/in/*")
+    prog = run_available_now(streaming_rollup(stream, "1 hour"), f"{tmp_out}/out", f"{tmp_out}/ck")
+    got = [(r.window_end_ms, r.ip, r.n) for r in spark.read.parquet(f"{tmp_out}/out").collect()]
+    assert got == [(12 * H, "1.1.1.1", 1)]
+    assert late_rows(prog) == 1
