@@ -56,6 +56,19 @@ def rows_of(cols, rows):
     return [cols[i] for i in order], sorted(out, key=repr)
 
 
+_SPARK_T = {"bigint": "int64", "int": "int32", "smallint": "int32", "tinyint": "int32", "double": "float",
+            "float": "float", "string": "str", "boolean": "bool"}
+_DUCK_T = {"BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int32", "TINYINT": "int32", "DOUBLE": "float",
+           "FLOAT": "float", "VARCHAR": "str", "BOOLEAN": "bool"}
+
+
+def type_diff(sdf, rel_cols, rel_types):
+    """Columns whose Spark and DuckDB types fall in different classes (int64, float, str, ...)."""
+    s = {f.name: _SPARK_T.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d = {c: _DUCK_T.get(str(t).upper(), str(t)) for c, t in zip(rel_cols, rel_types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -66,14 +79,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if sql is None:
         res["status"] = "no-oracle"
         return res
-    cur = con.execute(sql)
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(sql)
+    dcols, dtypes = rel.columns, rel.types
+    drows = rel.fetchall()
     res["duck_rows"] = len(drows)
     a_cols, a = rows_of(scols, srows)
     b_cols, b = rows_of(dcols, drows)
+    tdiff = type_diff(sdf, dcols, dtypes)
     if a_cols != b_cols:
         res["status"] = f"SCHEMA {a_cols} vs {b_cols}"
+    elif tdiff:
+        res["status"] = f"TYPES {tdiff}"
     elif a != b:
         diff_a = [r for r in a if r not in set(b)][:3]
         diff_b = [r for r in b if r not in set(a)][:3]
