@@ -58,7 +58,7 @@ def test_provider_config(spark, tmp_out):
     p = _local(tmp_out) + ".json"
     os.makedirs(os.path.dirname(p), exist_ok=True)
     cfg = {"version": 1, "providers": [
-        {"name": "sedo", "org": "Sedo", "active": True, "watchlist": False, "ns_suffix": [".sedoparking.com"]},
+        {"name": "alpha", "org": "Alpha", "active": True, "watchlist": False, "ns_suffix": [".alpha-park.example"]},
         {"name": "Bad-Name", "active": True, "ns_suffix": ["noleadingdot.com"]},
         {"name": "watch", "active": False, "watchlist": True, "ns_suffix": [".w.net"], "seeded_from": "snap-2026-05-28-06"}]}
     with open(p, "w") as f:
@@ -68,7 +68,7 @@ def test_provider_config(spark, tmp_out):
     v = sorted((r.name, r.rule) for r in C.provider_violations(prov).collect())
     assert v == [("Bad-Name", "name_format"), ("Bad-Name", "suffix_format"), ("watch", "seeded_from_format")]
     sfx = sorted((r.provider, r.suffix) for r in C.provider_suffixes(prov).collect())
-    assert ("sedo", ".sedoparking.com") in sfx
+    assert ("alpha", ".alpha-park.example") in sfx
 
 
 def test_shard_config_and_files(spark, tmp_out):
