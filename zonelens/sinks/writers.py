@@ -94,11 +94,13 @@ def write_seen_state(seen: DataFrame, path: str, partitions: int | None = None)
 
     Range partitioning gives globally ordered, evenly sized files (sampled
     boundaries, no single-task sort); the caller swaps the path in after the
-    write succeeded, so a failed run leaves the old state intact.
+    write succeeded, so a failed run leaves the old state intact.  The new
+    path belongs to this run: a re-run after a failure overwrites its own
+    partial output.
     """
     n = partitions or seen.sparkSession.sparkContext.defaultParallelism
     (seen.repartitionByRange(n, "provider", "domain").sortWithinPartitions("provider", "domain")
-     .write.mode("errorifexists").option("compression", "zstd").parquet(path))
+     .write.mode("overwrite").option("compression", "zstd").parquet(path))
 
 
 def write_audit(topk: DataFrame, path: str) -> None:
