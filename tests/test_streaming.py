@@ -50,6 +50,10 @@ def test_first_seen_replay_is_idempotent(spark, tmp_out):
     run_first_seen(stream, prov, f"{tmp_out}/state", f"{tmp_out}/ck")
     st2 = sorted((r.domain, r.first_snap, r.first_ms) for r in final_state(spark, f"{tmp_out}/state").collect())
     assert st2 == st
+    from zonelens.streaming.first_seen import compact_state
+    compact_state(spark, f"{tmp_out}/state", f"{tmp_out}/state2/batch=00000000")
+    st3 = sorted((r.domain, r.first_snap, r.first_ms) for r in final_state(spark, f"{tmp_out}/state2").collect())
+    assert st3 == st
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_out):

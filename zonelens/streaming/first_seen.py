@@ -65,3 +65,11 @@ def final_state(spark: SparkSession, state_root: str) -> DataFrame:
     return (s.groupBy("provider", "domain").agg(best.alias("b"))
             .select("provider", "domain", F.col("b.first_snap").alias("first_snap"),
                     F.col("b.first_ms").alias("first_ms")))
+
+
+def compact_state(spark: SparkSession, state_root: str, out_path: str) -> None:
+    """Merge all batch directories into one ordered state table at a new path
+    (SNK-8); the caller then points the stream at it (e.g. as `batch=00000000`
+    of a fresh state root).  Pairs are merged earliest-window-first."""
+    from zonelens.sinks.writers import write_seen_state
+    write_seen_state(final_state(spark, state_root), out_path)
