@@ -129,3 +129,13 @@ def test_ct_signal_rows_match_lists(spark):
     today = K.parking_today(obs(spark), providers(spark))
     rows = sorted((r.provider, r.domain, r.source, r.fingerprint) for r in K.ct_signal_rows(today, certs).collect())
     assert rows == [("p_one", "a.com", "log1", "f1"), ("p_one", "a.com", "log3", "f3")]
+
+
+def test_suffix_without_leading_dot_matches_literally(spark):
+    p = spark.createDataFrame([("p_one", ".park.com", True), ("p_raw", "ark.com", True), ("p_all", "", True)],
+                              "provider string, suffix string, active boolean")
+    a = K.match_providers(K.ns_rows(obs(spark)), p, "labels")
+    b = K.match_providers(K.ns_rows(obs(spark)), p, "theta")
+    key = lambda r: (r.provider, r.d, r.s, r.topic)
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    assert {r.provider for r in a.collect()} == {"p_one", "p_raw", "p_all"}

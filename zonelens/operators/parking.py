@@ -53,11 +53,19 @@ def match_providers(ns: DataFrame, providers: DataFrame, method: str = "labels")
     UNION ALL of one filter per suffix.  `method='theta'` runs the literal
     ends_with join (nested loop) and exists to check the rewrite.
     """
-    suf = broadcast_if_small(active_suffixes(providers))
+    suf = active_suffixes(providers)
     if method == "theta":
-        return ns.join(suf, ns["s"].endswith(suf["suffix"])).drop("suffix")
-    x = ns.withColumn("suffix", F.explode(label_suffixes("s")))
-    return x.join(suf, "suffix").drop("suffix")
+        s = broadcast_if_small(suf)
+        return ns.join(s, ns["s"].endswith(s["suffix"])).drop("suffix")
+    dotted = broadcast_if_small(suf.filter(F.col("suffix").startswith(".")))
+    x = ns.withColumn("suffix", F.explode(label_suffixes("s"))).join(dotted, "suffix").drop("suffix")
+    # suffixes without a leading dot (outside the config rules) can end inside a
+    # label; the few of them, if any, are matched literally
+    other = suf.filter(~F.col("suffix").startswith(".") | F.col("suffix").isNull())
+    if other.limit(1).count() == 0:
+        return x
+    o = broadcast_if_small(other)
+    return x.unionByName(ns.join(o, ns["s"].endswith(o["suffix"])).drop("suffix"))
 
 
 def parking_today(obs: DataFrame, providers: DataFrame, method: str = "labels") -> DataFrame:
