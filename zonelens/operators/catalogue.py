@@ -33,13 +33,16 @@ def ip_churn(obs: DataFrame, k: int = 20) -> DataFrame:
             .orderBy(F.desc("distinct_ips"), "domain").limit(k))
 
 
-def cert_ip_join(cert_names: DataFrame, obs: DataFrame, asn: str) -> DataFrame:
-    """JOIN-4 / GEN-2: certificates whose (apex) name was measured on an `ip` row of one ASN.
+def cert_ip_join(cert_names: DataFrame, obs: DataFrame, asn: str, match: str = "exact") -> DataFrame:
+    """JOIN-4 / GEN-2: certificates whose name was measured on an `ip` row of one ASN.
 
     `cert_names` has one row per certificate name (certIndex, source,
     fingerprint, name), i.e. `explode(domain_list)` of the list form.
+    `match='exact'` joins the raw name; `match='apex'` joins its apex (the rule
+    the parking delta uses), so `www.` and wildcard names count as well.
     """
-    cs = cert_names.select("source", "fingerprint", apex_of("name").alias("d"))
+    key = apex_of("name") if match == "apex" else F.col("name")
+    cs = cert_names.select("source", "fingerprint", key.alias("d"))
     ip = obs.filter((F.col("k") == "ip") & (F.col("a") == asn)).select("d", "ip", F.col("a").alias("asn"))
     return cs.join(ip, "d").select("source", "fingerprint", F.col("d").alias("domain"), "ip", "asn")
 

@@ -54,7 +54,10 @@ GROUP BY half, k, topic, d, s, m, q, ip, pref, rcode)"""
 
 CERT_NAMES = r"""cert_names AS (
 SELECT off AS certIndex, concat('log', CAST(off % 4 AS VARCHAR)) AS source, md5(CAST(off AS VARCHAR)) AS fingerprint, half,
-       concat('www.', domain) AS name FROM dns_rows WHERE qtype = 'AAAA'
+       domain AS name FROM dns_rows WHERE qtype = 'AAAA'
+UNION ALL
+SELECT off, concat('log', CAST(off % 4 AS VARCHAR)), md5(CAST(off AS VARCHAR)), half,
+       concat('www.', domain) FROM dns_rows WHERE qtype = 'AAAA'
 UNION ALL
 SELECT off, concat('log', CAST(off % 4 AS VARCHAR)), md5(CAST(off AS VARCHAR)), half,
        concat('*.', upper(domain), '.') FROM dns_rows WHERE qtype = 'AAAA')"""

@@ -66,7 +66,17 @@ JOIN obs ip ON ip.d = cs.d AND ip.k = 'ip' AND ip.half = 'now'
 WHERE ip.a = '{ASN}'""")
 def cert_ip_join(spark, sf):
     certs = P.cert_names(spark, sf).filter(F.col("half") == "now")
-    return C.cert_ip_join(certs, X.obs_half(spark, sf, "now"), ASN)
+    return C.cert_ip_join(certs, X.obs_half(spark, sf, "now"), ASN, match="apex")
+
+
+@register("cert_ip_exact", O.with_(*O.OBS_CTES, O.CERT_NAMES) + f"""
+SELECT cs.source, cs.fingerprint, ip.d AS domain, ip.ip, ip.a AS asn
+FROM (SELECT source, fingerprint, name AS d FROM cert_names WHERE half = 'now') cs
+JOIN obs ip ON ip.d = cs.d AND ip.k = 'ip' AND ip.half = 'now'
+WHERE ip.a = '{ASN}'""")
+def cert_ip_exact(spark, sf):
+    certs = P.cert_names(spark, sf).filter(F.col("half") == "now")
+    return C.cert_ip_join(certs, X.obs_half(spark, sf, "now"), ASN, match="exact")
 
 
 @register("ns_domains", W + f"""

@@ -27,7 +27,7 @@ SELECT event_id AS certIndex, epoch_us(ts) // 1000000 AS seen, CAST(trunc(value)
        'log' || CAST(event_id % 4 AS VARCHAR) AS source,
        CASE WHEN event_id % 2 = 0 THEN 'X509LogEntry' ELSE 'PrecertLogEntry' END AS updateType,
        md5(CAST(event_id AS VARCHAR)) AS fingerprint,
-       array_to_string(list_sort(['www.' || {DOM_SQL}, '*.' || upper({DOM_SQL}) || '.']), ',') AS domain_list,
+       array_to_string(list_sort([{DOM_SQL}, 'www.' || {DOM_SQL}, '*.' || upper({DOM_SQL}) || '.']), ',') AS domain_list,
        {DOM_SQL} AS sld_list
 FROM events WHERE event_type <> 'error'""")
 def json_coerce(spark, sf):

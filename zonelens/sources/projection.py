@@ -143,7 +143,7 @@ def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('log', CAST(off % 4 AS STRING)) AS source",
         "CASE WHEN off % 2 = 0 THEN 'X509LogEntry' ELSE 'PrecertLogEntry' END AS updateType",
         "md5(CAST(off AS STRING)) AS fingerprint",
-        "array(concat('www.', domain), concat('*.', upper(domain), '.')) AS domain_list",
+        "array(domain, concat('www.', domain), concat('*.', upper(domain), '.')) AS domain_list",
         "array(domain) AS sld_list", "half")
 
 
@@ -167,7 +167,7 @@ def cert_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "'submission_timestamp', value, 'source', concat('log', CAST(event_id % 4 AS STRING)), "
             "'updateType', CASE WHEN event_id % 2 = 0 THEN 'X509LogEntry' ELSE 'PrecertLogEntry' END, "
             "'fingerprint', md5(CAST(event_id AS STRING)), "
-            f"'domain_list', array(concat('www.', {dom}), concat('*.', upper({dom}), '.')), "
+            f"'domain_list', array({dom}, concat('www.', {dom}), concat('*.', upper({dom}), '.')), "
             f"'sld_list', array({dom})))")
     x = e.selectExpr("event_id", "ts", "event_type", "props", f"{body} AS body")
     text = ("CASE WHEN event_type = 'error' THEN substring(body, 1, 20) "
