@@ -69,3 +69,12 @@ def audit_configured(topk: DataFrame, providers: DataFrame, threshold: int = 100
     return (topk.filter(F.col("new_domains") >= threshold).join(conf, "ns_apex", "left_semi")
             .select("ns_apex", "new_domains", "distinct_ns_hosts")
             .orderBy(F.desc("new_domains"), "ns_apex").limit(limit))
+
+
+def recent(obs_archive: DataFrame, today: str, days: int = 30) -> DataFrame:
+    """FN-11 / PRJ-15: the windows dated within the last `days` days before `today`.
+
+    `date` is the archive's partition column, so this is a directory prune.
+    """
+    from zonelens.functions.timefmt import cutoff_date
+    return obs_archive.filter(F.col("date") >= cutoff_date(today, days))

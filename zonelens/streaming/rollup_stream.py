@@ -73,3 +73,16 @@ def late_rows(progress: list) -> int:
 
 
 __all__ = ["streaming_rollup", "run_available_now", "late_rows", "WINDOW", "WINDOW_MS"]
+
+
+def kafka_rollup_stream(spark, bootstrap: str, topic: str, start_ms: int, writer_schema_json: str,
+                        watermark: str = "1 hour", max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Production path: Kafka topic -> Avro decode -> flatten -> watermarked 12-hour rollup.
+
+    Needs Spark's Kafka and Avro connectors on the classpath.
+    """
+    from zonelens.operators.rollup import flatten_measurements
+    from zonelens.sources.kafka import decode_measurements, stream_topic
+    env = decode_measurements(stream_topic(spark, bootstrap, topic, start_ms, max_offsets_per_trigger),
+                              writer_schema_json)
+    return streaming_rollup(flatten_measurements(env), watermark)
