@@ -24,7 +24,8 @@ def test_delta_job_outputs(spark, tmp_out):
     delta = spark.read.parquet(paths["delta"])
     assert delta.count() == sum(counts.values())
     dirs = sorted(d for d in os.listdir(_local(paths["delta"])) if d.startswith("provider="))
-    assert all(counts[d.split("=")[1]] > 0 for d in dirs)
+    assert [d.split("=")[1] for d in dirs] == sorted(counts)          # also the providers without rows
+    assert spark.read.parquet(paths["delta"] + "/provider=park_none").count() == 0
     m = spark.read.json(paths["manifest"]).collect()[0]
     assert m.snap_tag == P.NOW_SNAP and [p.new_domains for p in m.providers] == sorted(counts.values(), reverse=True)
     seen = spark.read.parquet(paths["seen"])

@@ -35,8 +35,13 @@ def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, see
     out = out_root.rstrip("/")
     W.write_per_provider(delta, f"{out}/delta", "parquet")
     W.write_per_provider(delta, f"{out}/delta_jsonl", "json")
-    counts = K.delta_counts(delta, providers)
+    counts = K.delta_counts(delta, providers).checkpoint(eager=True)     # one row per active provider
     W.write_csv(counts.orderBy(F.desc("new_domains"), "provider"), f"{out}/counts")
+    # every active provider gets a Parquet file, also without new domains (the
+    # partitioned writer creates no directory for them); a loop over config rows
+    empty = delta.limit(0).drop("provider")
+    for r in counts.filter(F.col("new_domains") == 0).select("provider").collect():
+        empty.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/delta/provider={r.provider}")
     K.delta_manifest(counts, snap, config_version).coalesce(1).write.mode("overwrite").json(f"{out}/manifest")
     W.write_seen_state(K.merge_seen(seen, delta, snap), seen_out)
     return {"delta": f"{out}/delta", "counts": f"{out}/counts", "manifest": f"{out}/manifest", "seen": seen_out}

@@ -79,8 +79,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_per_provider(delta: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """SNK-4: one output directory per provider (`provider=<name>/`).
 
-    Spark writes no directory for a provider without rows; the zero counts of
-    such providers are in the counts / manifest table (AGG-13).
+    Spark writes no directory for a provider without rows; `jobs.run_delta`
+    adds an empty Parquet file for each of them (counts come from AGG-13).
     """
     w = delta.write.mode(mode).partitionBy("provider")
     if fmt == "parquet":
