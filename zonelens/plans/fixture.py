@@ -37,7 +37,7 @@ def _stored_path(spark: SparkSession, sf_dir: str) -> str:
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, "obs")
-        write_observations(rollup(spark, sf_dir), path, partition_cols=["half"])
+        write_observations(rollup(spark, sf_dir), path, partition_cols=["half"], bloom=True)
         _STORED[key] = path
     return path
 

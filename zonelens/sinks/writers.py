@@ -21,7 +21,9 @@ ROW_GROUP_ROWS = 200_000
 
 
 # point lookups filter on domain (`d`) and name server (`s`): bloom filters let
-# the reader skip row groups whose min / max cannot exclude the value
+# the reader skip row groups whose min / max cannot exclude the value.  A filter
+# takes up to 1 MB per column and row group, so it is worth it for large
+# window files only (opt-in), not for small per-shard files.
 BLOOM_COLUMNS = ("d", "s")
 
 
@@ -36,7 +38,8 @@ def _parquet(df: DataFrame, mode: str, bloom=()):
 
 
 def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                       mode: str = "overwrite", one_file_per_partition: bool = False) -> None:
+                       mode: str = "overwrite", one_file_per_partition: bool = False,
+                       bloom: bool = False) -> None:
     """SNK-1 / SNK-7: zstd-3 Parquet, rows clustered by (k, d) inside each file so
     that row-group statistics skip most groups for kind / domain filters.
 
@@ -46,13 +49,14 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     windows present in `obs` are replaced.  A DataFrame without rows still
     writes a valid (empty) file.
 
+    `bloom` adds bloom filters on `d` and `s` (for large window files).
     `one_file_per_partition` shuffles by the partition columns first; use it
     only when one partition value is bounded in size (an offset slice of a
     window, as in the per-shard archive), never for a whole window.
     """
     df = obs.repartition(*partition_cols) if (one_file_per_partition and partition_cols) else obs
     df = df.sortWithinPartitions(*partition_cols, "k", "d")
-    w = _parquet(df, mode, BLOOM_COLUMNS)
+    w = _parquet(df, mode, BLOOM_COLUMNS if bloom else ())
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
