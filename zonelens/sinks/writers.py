@@ -54,7 +54,13 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     only when one partition value is bounded in size (an offset slice of a
     window, as in the per-shard archive), never for a whole window.
     """
-    df = obs.repartition(*partition_cols) if (one_file_per_partition and partition_cols) else obs
+    if one_file_per_partition and partition_cols:
+        # an explicit count: AQE would otherwise coalesce a small shuffle into a
+        # few tasks that then write every directory one after the other
+        n = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = obs.repartition(max(n, obs.sparkSession.sparkContext.defaultParallelism), *partition_cols)
+    else:
+        df = obs
     df = df.sortWithinPartitions(*partition_cols, "k", "d")
     w = _parquet(df, mode, BLOOM_COLUMNS if bloom else ())
     if partition_cols:
