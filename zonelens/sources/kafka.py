@@ -53,7 +53,11 @@ def stream_topic(spark: SparkSession, bootstrap: str, topic: str, start_ms: int,
          .option("subscribe", topic).option("startingTimestamp", str(start_ms)))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load().select("topic", "partition", "offset", "timestamp", "value")
+    try:
+        df = r.load()
+    except Exception as e:  # connector absent
+        raise ConnectorMissing(f"Kafka source unavailable: {e}") from e
+    return df.select("topic", "partition", "offset", "timestamp", "value")
 
 
 def within(envelopes: DataFrame, start_ms: int, end_ms: int | None = None, max_msgs: int | None = None) -> DataFrame:
@@ -78,8 +82,11 @@ def decode_measurements(envelopes: DataFrame, writer_schema_json: str) -> DataFr
     except ImportError as e:  # pragma: no cover
         raise ConnectorMissing("pyspark avro functions unavailable") from e
     body = avro_body(F.col("value"))
-    return envelopes.select("topic", "partition", "offset", "timestamp",
-                            from_avro(body, writer_schema_json, {"mode": "PERMISSIVE"}).alias("measurement"))
+    try:
+        decoded = from_avro(body, writer_schema_json, {"mode": "PERMISSIVE"})
+        return envelopes.select("topic", "partition", "offset", "timestamp", decoded.alias("measurement"))
+    except Exception as e:  # spark-avro not on the classpath
+        raise ConnectorMissing(f"Avro functions unavailable: {e}") from e
 
 
 def decode_errors(decoded: DataFrame) -> DataFrame:
