@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonelens.functions.names import (BACKFILL_TAG_PATTERN, RETENTION_DELTA_PATTERN,
                                       RETENTION_SNAP_PATTERN, file_is_sample, file_shard, file_topic)
-from zonelens.functions.timefmt import WINDOW_MS, cutoff_date, from_ms
+from zonelens.functions.timefmt import WINDOW_MS, cutoff_date, from_ms, window_end_ms
 from zonelens.operators.joins import broadcast_if_small
 
 # fixed values: shards per topic in one window (three Avro topics + the certificate-log topic)
@@ -50,10 +50,12 @@ def assign_shards(msgs: DataFrame, config: DataFrame, window_col: str = "window_
     return x.withColumn("shard", shard.cast("int")).drop("_start", "_end", "shards")
 
 
-def windows_between(spark, first_end_ms: int, last_end_ms: int) -> DataFrame:
-    """GEN-4 helper: every 12-hour window end in [first, last] as (date, hour)."""
-    ends = spark.range(1).select(F.explode(F.sequence(F.lit(first_end_ms), F.lit(last_end_ms),
-                                                      F.lit(WINDOW_MS))).alias("end_ms"))
+def windows_spanning(df: DataFrame, ms_col: str) -> DataFrame:
+    """GEN-4 helper: every 12-hour window (date, hour of its end) from the first to
+    the last time in `ms_col`, including windows without any row.  One partial
+    min / max per map task, then one generated row per window."""
+    span = df.agg(F.min(window_end_ms(ms_col)).alias("a"), F.max(window_end_ms(ms_col)).alias("b"))
+    ends = span.select(F.explode(F.sequence("a", "b", F.lit(WINDOW_MS))).alias("end_ms"))
     return ends.select(F.date_format(from_ms("end_ms"), "yyyy-MM-dd").alias("date"),
                        F.date_format(from_ms("end_ms"), "HH").alias("hour"))
 

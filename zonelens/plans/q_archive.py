@@ -98,11 +98,8 @@ def _inventory(spark, sf):
 
 
 def _expected(spark, sf):
-    e = table(spark, sf, "events", "ts")
-    span = e.agg(F.min(window_end_ms(to_ms("ts"))).alias("a"), F.max(window_end_ms(to_ms("ts"))).alias("b"))
-    ends = span.select(F.explode(F.sequence("a", "b", F.lit(H.WINDOW_MS))).alias("end_ms"))
-    wins = ends.select(F.date_format(F.timestamp_millis("end_ms"), "yyyy-MM-dd").alias("date"),
-                       F.date_format(F.timestamp_millis("end_ms"), "HH").alias("hour"))
+    e = table(spark, sf, "events", "ts").select(to_ms("ts").alias("ms"))
+    wins = H.windows_spanning(e, "ms")
     cfg = [c for c in H.SHARD_CONFIG if c[0] in X.ARCHIVE_TOPICS]
     return H.expected_shards(wins, cfg)
 
