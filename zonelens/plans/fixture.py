@@ -43,8 +43,14 @@ def _stored_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored observation table (S2 + half)."""
-    return spark.read.schema(OBS_FILE_SCHEMA).parquet(_stored_path(spark, sf_dir))
+    """The stored observation table (S2 + half); one DataFrame per session, so its
+    file listing is done once."""
+    path = _stored_path(spark, sf_dir)
+    key = ("obs-df", path)
+    df = _STORED.get(key)
+    if df is None:
+        df = _STORED[key] = spark.read.schema(OBS_FILE_SCHEMA).parquet(path)
+    return df
 
 
 def obs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:

@@ -49,16 +49,23 @@ def build_session(master: str | None = None, app: str = "zonelens",
     return spark
 
 
+_APPLIED: set = set()
+
+
 def ensure_scale_conf(spark: SparkSession) -> SparkSession:
-    """Fill in AQE / time-zone settings the caller did not set."""
+    """Fill in AQE / time-zone settings the caller did not set (once per application)."""
+    # all epoch-millisecond arithmetic assumes UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    app = spark.sparkContext.applicationId
+    if app in _APPLIED:
+        return spark
+    _APPLIED.add(app)
     for k, v in SCALE_DEFAULTS.items():
         try:
             if spark.conf.get(k, None) in (None, ""):
                 spark.conf.set(k, v)
         except Exception:  # static conf on a running session
             pass
-    # all epoch-millisecond arithmetic assumes UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
