@@ -141,3 +141,18 @@ def test_parking_delta_matches_python_model(spark):
         srcs, fps = ct.get(d, [set(), set()])
         want[(p, d)] = (sorted(ns), sorted(tp), fs, ls, n, sorted(srcs) or None, sorted(fps) or None)
     assert got == want and len(want) > 5
+
+
+def test_label_suffix_join_equals_ends_with_on_adversarial_names(spark):
+    rng = random.Random(3)
+    parts = ["a", "b", "ab", "", "x-y"]
+    def name():
+        return ".".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))
+    hosts = list({name() for _ in range(300)} | {"", ".", "..", "a.", ".a", "a..b"})
+    sufs = list({("." + name()) for _ in range(40)} | {".", "..", ".a", "a", "", "b.ab"})
+    O = spark.createDataFrame([("ns", "t", f"d{i}", h, 0, 0, 1) for i, h in enumerate(hosts)],
+                              "k string, topic string, d string, s string, fs bigint, ls bigint, n bigint")
+    P = spark.createDataFrame([(f"p{i}", s, True) for i, s in enumerate(sufs)], "provider string, suffix string, active boolean")
+    got = sorted((r.provider, r.d) for r in K.match_providers(K.ns_rows(O), P, "labels").collect())
+    want = sorted((f"p{j}", f"d{i}") for i, h in enumerate(hosts) for j, s in enumerate(sufs) if h.endswith(s))
+    assert got == want and len(want) > 100
