@@ -62,9 +62,11 @@ UNION ALL
 SELECT off, concat('log', CAST(off % 4 AS VARCHAR)), md5(CAST(off AS VARCHAR)), half,
        concat('*.', upper(domain), '.') FROM dns_rows WHERE qtype = 'AAAA')"""
 
-PROVIDERS = r"""providers AS (
-SELECT * FROM (VALUES ('park_a', '.parkone.com', true), ('park_b', '.parktwo.net', true), ('park_dual', '.dualpark.com', true),
-  ('park_dual', '.dualpark.net', true), ('park_none', '.nowhere.example', true), ('watch_c', '.bigdns.io', false)) AS p(provider, suffix, active))"""
+PROVIDERS_VALUES = r"""SELECT * FROM (VALUES ('park_a', '.parkone.com', true), ('park_b', '.parktwo.net', true),
+  ('park_dual', '.dualpark.com', true), ('park_dual', '.dualpark.net', true), ('park_none', '.nowhere.example', true),
+  ('watch_c', '.bigdns.io', false)) AS p(provider, suffix, active)"""
+
+PROVIDERS = f"providers AS (\n{PROVIDERS_VALUES})"
 
 SEEN = r"""seen AS (
 SELECT provider, domain, 'snap-' || strftime(epoch_ms((first_ms // 43200000 + 1) * 43200000), '%Y-%m-%d-%H') AS first_snap,
