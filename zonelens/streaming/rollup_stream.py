@@ -25,7 +25,10 @@ def streaming_rollup(answers: DataFrame, watermark: str = "1 hour", window: str
 
     Output: window_end_ms, date, hour and the 16 observation columns.
     """
-    c = classify_answers(answers).withColumn("event_time", F.timestamp_millis("ts"))
+    # an answer without a time has no window; the watermark could never close
+    # it, so its state would be kept forever: it is left out of the stream
+    c = (classify_answers(answers).filter(F.col("ts").isNotNull())
+         .withColumn("event_time", F.timestamp_millis("ts")))
     c = c.withWatermark("event_time", watermark)
     g = c.groupBy(F.window("event_time", window).alias("w"), *OBS_KEY).agg(*rollup_aggregates())
     g = g.withColumn("window_end_ms", F.unix_millis(F.col("w.end"))).drop("w")
