@@ -14,6 +14,18 @@ ANS = ("offset bigint, pos int, topic string, id string, query_type string, quer
 H = 3_600_000
 
 
+def _order_files(dirs):
+    """Give the files of each directory a distinct, increasing modification time,
+    so the file source reads them in that order (one file per trigger)."""
+    import glob
+    import os
+    base = time.time() - 1000
+    for i, d in enumerate(dirs):
+        local = d[len("file:"):] if d.startswith("file:") else d
+        for f in glob.glob(local + "/*.parquet"):
+            os.utime(f, (base + 100 * i, base + 100 * i))
+
+
 def ans(off, ts, ip, asn):
     return (off, 0, "domains", "a.com", "A", "a.com", ts, 0, 60, ip, None, asn, "US", None, None, None, None, 1.0)
 
@@ -39,9 +51,9 @@ def test_first_seen_replay_is_idempotent(spark, tmp_out):
     b1 = spark.createDataFrame([("ns", "domains", "a.com", "ns1.park.com", 50, 60, 1, "snap-2026-01-02-00")], sch)
     b2 = spark.createDataFrame([("ns", "domains", "a.com", "ns1.park.com", 10, 20, 1, "snap-2026-01-01-12"),
                                 ("ns", "domains", "b.com", "ns1.park.com", 11, 20, 1, "snap-2026-01-01-12")], sch)
-    b1.write.parquet(f"{tmp_out}/in/1")
-    time.sleep(1.1)
-    b2.write.parquet(f"{tmp_out}/in/2")
+    b1.coalesce(1).write.parquet(f"{tmp_out}/in/1")
+    b2.coalesce(1).write.parquet(f"{tmp_out}/in/2")
+    _order_files([f"{tmp_out}/in/1", f"{tmp_out}/in/2"])
     stream = spark.readStream.schema(b1.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_out}/in/*")
     run_first_seen(stream, prov, f"{tmp_out}/state", f"{tmp_out}/ck")
     st = sorted((r.domain, r.first_snap, r.first_ms) for r in final_state(spark, f"{tmp_out}/state").collect())
@@ -57,11 +69,15 @@ def test_first_seen_replay_is_idempotent(spark, tmp_out):
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_out):
+    # batch 0 moves the watermark to 29h; a row is late against the watermark of
+    # the previous batch, so the late row comes in a third batch
     early = spark.createDataFrame([ans(1, 1 * H, "1.1.1.1", "1"), ans(2, 30 * H, "2.2.2.2", "2")], ANS)
-    late = spark.createDataFrame([ans(3, 2 * H, "1.1.1.1", "3")], ANS)       # window [0, 12h) already closed
-    early.write.parquet(f"{tmp_out}/in/a")
-    time.sleep(1.1)
-    late.write.parquet(f"{tmp_out}/in/b")
+    mid = spark.createDataFrame([ans(3, 31 * H, "3.3.3.3", "3")], ANS)
+    late = spark.createDataFrame([ans(4, 2 * H, "1.1.1.1", "4")], ANS)       # window [0, 12h) already closed
+    dirs = [f"{tmp_out}/in/{x}" for x in ("a", "b", "c")]
+    for df, d in zip((early, mid, late), dirs):
+        df.coalesce(1).write.parquet(d)
+    _order_files(dirs)
     stream = spark.readStream.schema(early.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_out}/in/*")
     prog = run_available_now(streaming_rollup(stream, "1 hour"), f"{tmp_out}/out", f"{tmp_out}/ck")
     got = [(r.window_end_ms, r.ip, r.n) for r in spark.read.parquet(f"{tmp_out}/out").collect()]

@@ -3,9 +3,9 @@
 Messages are grouped by the 12-hour event-time window of the answer and by
 the observation key; the state holds min / max / count and the first-arrival
 attributes (`min_by` over (offset, pos)).  With a watermark, append mode
-emits a window once the watermark passes its end and drops its state; rows
-later than the watermark are dropped by the state operator (and counted in
-the query's progress metrics).  `availableNow` processes what is there and
+emits a window once the watermark passes its end and drops its state; a row
+older than the watermark of the previous micro-batch is dropped by the state
+operator (and counted in the query's progress metrics).  `availableNow` processes what is there and
 stops, as the reference's bounded per-window jobs do.
 """
 
