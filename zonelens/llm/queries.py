@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import langid
+from zonelens.llm import decontam, langid
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -17,3 +17,36 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(crc_fold() == 0, F.lit(False))
     model = langid.fit(docs.filter(crc_fold() != 0).select("doc_id", "text", "lang"))
     return langid.predict(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+
+
+WORDS_SQL = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+it AS (SELECT item_id, w FROM (SELECT item_id, {WORDS_SQL} AS w FROM benchmark) WHERE len(w) > 0),
+grams AS (
+  SELECT item_id, 10 AS m, array_to_string(w[k:k + 9], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM it WHERE len(w) >= 10)
+  UNION SELECT item_id, len(w), array_to_string(w, ' ') FROM it WHERE len(w) < 10),
+sizes AS (SELECT DISTINCT m FROM grams),
+spot AS (SELECT doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') AS g
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, sizes WHERE len(w) >= m)),
+occ AS (SELECT doc_id, k, m, item_id FROM spot JOIN grams USING (m, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + m)) AS p FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(its.n, 0) AS BIGINT) AS n_items, sha256(coalesce(its.s, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+@register("op6_decontamination", OP6_SQL)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hit = decontam.match_items(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return hit.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array("item_ids"), ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
