@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import decontam, langid, packing
+from zonelens.llm import credentials, decontam, langid, packing
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -60,3 +60,27 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @register("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def span_text(spans: str, kinds: tuple[str, ...] | None = None):
+    """`kind:start:end`, comma-joined, of the spans (of some kinds) in their order."""
+    col = F.col(spans)
+    if kinds:
+        col = F.filter(col, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(col, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def kind_count(spans: str, kind: str):
+    return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    return found.select("doc_id", *(kind_count("spans", k) for k in kinds),
+                        F.sha2(span_text("spans", kinds).cast("binary"), 256).alias("base_sha256"),
+                        span_text("spans").alias("spans"))
+
+
+@register("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(credentials.scan(table(spark, sf_dir, "documents")), credentials.KINDS[:3])
