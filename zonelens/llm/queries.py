@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import credentials, decontam, langid, packing
+from zonelens.llm import credentials, decontam, langid, packing, pii_crf
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -84,3 +84,13 @@ def span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 @register("op3_secret_scan")
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(credentials.scan(table(spark, sf_dir, "documents")), credentials.KINDS[:3])
+
+
+@register("op5_pii_crf")
+def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_crf.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["source"] == "base")
+    found = found.withColumn("base", base)
+    return found.select("doc_id", *(kind_count("base", k) for k in pii_crf.KINDS),
+                        F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"),
+                        span_text("spans").alias("spans"))
