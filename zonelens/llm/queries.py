@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import credentials, decontam, langid, packing, pii_crf
+from zonelens.llm import credentials, decontam, langid, packing, pii_crf, quality
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -94,3 +94,8 @@ def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(kind_count("base", k) for k in pii_crf.KINDS),
                         F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"),
                         span_text("spans").alias("spans"))
+
+
+@register("op9_quality_resampling")
+def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
