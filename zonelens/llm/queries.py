@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import credentials, decontam, langid, packing, parity_join, pii_crf, quality
+from zonelens.llm import credentials, decontam, langid, packing, parity_join, pii_crf, quality, topk
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -120,3 +120,20 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 @register("op4_ngram_jaccard_join", OP4_SQL)
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+
+@register("op2_exact_topk", OP2_SQL)
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
