@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import credentials, decontam, langid, packing, parity_join, pii_crf, quality, topk
+from zonelens.llm import credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, topk
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -137,3 +137,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 @register("op2_exact_topk", OP2_SQL)
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op10_backoff_lm")
+def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), crc_fold() == 1)
