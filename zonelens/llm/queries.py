@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, topk
+from zonelens.llm import credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, repeats, topk
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -142,3 +142,8 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_backoff_lm")
 def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), crc_fold() == 1)
+
+
+@register("op7_repeat_removal")
+def op7_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
