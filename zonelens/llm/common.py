@@ -35,6 +35,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_IDS = 500_000          # id lists up to this many rows are broadcast, longer ones are joined by a shuffle
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """`docs` with (left_semi) or without (left_anti) the rows whose doc_id is in `ids`."""
+    ids = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
+    small = ids.limit(SMALL_IDS + 1).count() <= SMALL_IDS
+    return docs.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), how)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of the plan's input files as the optimizer knows it (no job is run)."""
     try:

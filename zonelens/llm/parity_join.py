@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import (LOWER, SPACE_WORDS, combine, flat_text, input_bytes, mix, slices, word_hashes,
+from zonelens.llm.common import (LOWER, SPACE_WORDS, by_ids, combine, flat_text, input_bytes, mix, slices, word_hashes,
                                  word_spans, written)
 from zonelens.llm.components import components
 
@@ -298,19 +298,14 @@ def _attach(pairs: DataFrame, side: DataFrame) -> DataFrame:
     return pairs.join(x, "x").join(y, "y")
 
 
-SMALL_IDS = 500_000          # ids of pairs below this many are broadcast to the scan of texts
-
-
 def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (distinct x < y) that are similar."""
     spark = docs.sparkSession
     sketches = profiles.select("doc_id", F.col("sketch").alias("s"), "n")
     near = _attach(pairs, sketches).filter(F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
     near = written(spark, near.mapInArrow(_sketch_filter, "x long, y long"), "near")
-    ids = near.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    n = ids.count()
-    ids = F.broadcast(ids) if n <= SMALL_IDS else ids
-    sets = (docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    ids = near.select(F.explode(F.array("x", "y")).alias("id"))
+    sets = (by_ids(docs.select("doc_id", "text"), ids, "left_semi")
             .mapInArrow(_sets_of(width), "doc_id long, s binary"))
     return written(spark, _attach(near, sets).mapInArrow(_exact(percent), "x long, y long"), "similar")
 
