@@ -3,7 +3,8 @@
 Two generative models over hashed n-grams: the *target* (documents labelled
 good) and the *raw* corpus.  A document's importance is the sum of the log
 ratios of its n-grams; documents are drawn without replacement by Gumbel
-top-k: key = sharpness x log weight + Gumbel noise, the k largest keys stay.
+top-k: key = sharpness x log weight / |cut| + Gumbel noise, the k largest keys
+stay.
 
 N-grams are words, their heads of four bytes, pairs of short neighbours and
 word shapes (letter / capital / digit runs and punctuation), each counted once per document so that
@@ -111,7 +112,7 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, z: float, dead_zone: float)
     return np.minimum(0.0, np.log(upper / np.maximum(expected, 1e-9)) - middle + dead_zone).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 3.0, dead_zone: float = 0.5) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 1.5, dead_zone: float = 0.3) -> dict:
     """Ratios per bucket and the held-back labelled rows ({id: good}) that set k."""
     spark = docs.sparkSession
     rated = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -186,17 +187,19 @@ def kth_largest(keys: DataFrame, column: str, k: int, bins: int = 4096, few: int
             need -= r["n"]
 
 
-def resample(docs: DataFrame, labels: DataFrame, sharpness: float = 4.0, seed: int = 7, **fit_args) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, sharpness: float = 20.0, seed: int = 7, **fit_args) -> DataFrame:
     """doc_id, log_weight, gumbel_key, keep of every document."""
     spark = docs.sparkSession
     model = fit(docs, labels, **fit_args)
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")), F.lit(seed))
     unit = (F.shiftrightunsigned(key, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     scored = weigh(docs.select("doc_id", "text", (-F.log(-F.log(unit))).alias("noise")), model["ratios"])
-    scored = written(spark, scored.select("doc_id", "log_weight", (sharpness * F.col("log_weight") + F.col("noise")).alias("gumbel_key")), "weights")
+    scored = written(spark, scored.select("doc_id", "log_weight", "noise"), "weights")
     held = scored.join(F.broadcast(model["held"].withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")) \
         .select("log_weight", "good").toPandas()          # at most about 15 % of `sample` labelled rows
     cut = best_cut(held["log_weight"].to_numpy(float), held["good"].to_numpy(bool)) if model["ratios"] is not None else -math.inf
+    scale = sharpness / abs(cut) if math.isfinite(cut) and cut else 1.0
+    scored = scored.select("doc_id", "log_weight", (scale * F.col("log_weight") + F.col("noise")).alias("gumbel_key"))
     k = scored.filter(F.col("log_weight") >= F.lit(cut)).count()
     if not k:
         return scored.withColumn("keep", F.lit(True))
