@@ -12,9 +12,10 @@ band also takes part in it as the larger partner, so every pair that can reach
 t meets in one band.  Of a sketch's non-empty segments the first D + 1 in one
 global order are enough for two similar sketches to share one (prefix
 argument); sketches with too few non-empty segments also give a prefix of
-their elements.  The order puts *hot* segments last: those that many sketches
-of one task share, such as a licence line on its own.  Any order is right;
-this one keeps unrelated texts with a common passage apart.
+their elements.  The order puts *hot* segments last, the hotter the later:
+those that several sketches of one task share, such as a licence line on its
+own.  Any order is right; this one keeps unrelated texts with a common passage
+apart.
 
 Steps.
 1. One pass writes size, fingerprint and a foldable bit sketch of each text
@@ -26,9 +27,11 @@ Steps.
    all pairs).  Star pairs with fitting sizes pass the bit sketch (Hamming
    distance at most D) and are verified on the whole sets; verified links
    give components.
-4. A value whose documents lie in several components may hide further links:
-   its members outside the largest component meet all its members, the same
-   checks follow, and the links give the final components.
+4. A value whose documents lie in several components may hide further links.
+   In a few rounds its members outside the largest component meet some of that
+   component's (the same ones under all values), which merges what belongs
+   together; then those still outside meet all members.  The same checks
+   follow, and the links give the final components.
 Equal sets are one class throughout, so copies never multiply.
 
 Defined results: a NULL text or one without words has 0 shingles and links
@@ -49,7 +52,8 @@ from zonelens.llm.common import (LOWER, SPACE_WORDS, by_ids, combine, flat_text,
 from zonelens.llm.components import components
 
 _U = np.uint64
-FLUSH = 1 << 21              # entries a task holds before it combines and sends them
+WORDS = 16                   # 64-bit words of the sketch size that a join compares
+FLUSH = 1 << 20              # entries a task holds before it combines and sends them
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int):
@@ -70,9 +74,9 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int):
 
 
 def bit_sketch(x: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, a power of two of at least 4 bits per element; halves XORed give
-    the sketch of half the size."""
-    m = max(64, 1 << (4 * max(1, len(x)) - 1).bit_length())
+    """Parity bits of a set: a power of two, at least 4 bits per element and 64 * WORDS bits;
+    halves XORed give the sketch of half the size."""
+    m = max(64 * WORDS, 1 << (4 * max(1, len(x)) - 1).bit_length())
     odd = np.bincount((x & _U(m - 1)).astype(np.int64), minlength=m) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
@@ -99,7 +103,7 @@ def bands(n: int) -> list[tuple[int, int]]:
 def band_segments(x: np.ndarray, band: int):
     """Values of the non-empty segments of a set's sketch in a band."""
     top = (4 * (2 << band)) // 3 + 1
-    k = 4 * top if top <= 64 else int(0.45 * top) + 1
+    k = 4 * top
     seg = (x >> _U(33)) % _U(k)
     order = np.argsort(seg, kind="stable")
     seg, x = seg[order], x[order]
@@ -107,18 +111,23 @@ def band_segments(x: np.ndarray, band: int):
     return mix(np.bitwise_xor.reduceat(x, first) + seg[first] * _U(0x9E3779B97F4A7C15) + _U(band))
 
 
-def signatures(x: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Values under which a set meets every set it may be similar to."""
+def every_value(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([band_segments(x, band) for band, _ in bands(len(x))])
+
+
+def signatures(x: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Values under which a set meets every set it may be similar to.  `hot`: sorted values that
+    many sets share and how late each comes in the order."""
     out = []
     for band, most in bands(len(x)):
         values = np.sort(band_segments(x, band))
         if len(values) <= most:                    # too few segments: also meet by elements
             out.append(mix(x[:len(x) - -(-3 * len(x) // 4) + 1] + _U(0x5851F42D) + _U(band)))
-        if len(hot):
-            at = np.searchsorted(hot, values)
-            at[at == len(hot)] = 0
-            late = hot[at] == values
-            values = np.concatenate([values[~late], values[late]])
+        if len(hot[0]):
+            at = np.searchsorted(hot[0], values)
+            at[at == len(hot[0])] = 0
+            late = np.where(hot[0][at] == values, hot[1][at], 0)
+            values = values[np.argsort(late, kind="stable")]
         out.append(values[:most + 1])
     return np.unique(np.concatenate(out))
 
@@ -144,8 +153,6 @@ PROFILE = "doc_id long, n int, k1 long, k2 long, sketch binary, shared binary"
 
 def _profiles(width: int):
     """One row per text; one more per task with the segment values that its texts share."""
-    none = np.zeros(0, _U)
-
     def run(batches):
         rows, held, size, seen = [], [], 0, set()
 
@@ -169,7 +176,7 @@ def _profiles(width: int):
             rows.append((doc, len(x), *key, bit_sketch(x).tobytes() if len(x) else b""))
             if len(x) and key not in seen:
                 seen.add(key)
-                held.append(signatures(x, none))
+                held.append(every_value(x))
                 size += len(held[-1])
             if size >= FLUSH:
                 size = 0
@@ -196,7 +203,7 @@ ENTRY = "bucket int, value binary, head binary, doc binary, head_n binary, doc_n
 BYTES = {"value": 6, "head": 8, "doc": 8, "head_n": 4, "doc_n": 4}
 
 
-def _entries(width: int, buckets: int, hot: np.ndarray):
+def _entries(width: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]):
     """Packed (segment value, head, document) entries; head = document for the one that
     stands for its task, which goes to the value's bucket, others go anywhere."""
     def run(batches):
@@ -310,7 +317,43 @@ def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, p
     return written(spark, _attach(near, sets).mapInArrow(_exact(percent), "x long, y long"), "similar")
 
 
-def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 24,
+PIVOT_ROUNDS, PIVOTS = 3, 3
+
+def _fits(n: str, m: str, percent: int):
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def _sketch_words(profiles: DataFrame, ids: DataFrame) -> DataFrame:
+    """d and the bit sketch of some documents at one size, as columns s0, s1, ... so that joins
+    compare them in generated code."""
+    def run(batches):
+        for b in batches:
+            rows = [np.frombuffer(s, np.uint8) for s in b.column("sketch").to_pylist()]       # at least 8 * WORDS bytes
+            out = np.zeros((len(rows), 8 * WORDS), np.uint8)
+            for k, s in enumerate(rows):
+                while len(s) > 8 * WORDS:
+                    s = s[:len(s) // 2] ^ s[len(s) // 2:]
+                out[k] = s
+            v = out.view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v[:, i].copy()) for i in range(WORDS))],
+                                             names=["d", *(f"s{i}" for i in range(WORDS))])
+    some = profiles.select("doc_id", "sketch").join(ids.withColumnRenamed("d", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return some.mapInArrow(run, "d long, " + ", ".join(f"s{i} long" for i in range(WORDS)))
+
+
+def _unsettled(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (value, d, dn) of the values of three or more documents that lie in several
+    components, with their component and the value's largest one (`main`)."""
+    several = members.groupBy("value").agg(F.count(F.lit(1)).alias("all")).filter("all > 2")
+    m = (members.join(several, "value").join(comp.withColumnRenamed("node", "d"), "d", "left")
+         .withColumn("component", F.coalesce("component", "d")))
+    main = (m.groupBy("value", "component", "all").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("value", "all").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"))
+            .filter("all > top.c").select("value", F.col("top.m").alias("main")))
+    return written(members.sparkSession, m.drop("all").join(main, "value"), "open")
+
+
+def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 6,
                        max_hot: int = 1 << 18, bucket_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id of every document (`docs`: doc_id, text).
     Sizes and bands are laid out for `percent` of 75 and more."""
@@ -328,8 +371,11 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     counts = shared.groupBy("v").agg(F.sum("c").alias("c")).filter(F.col("c") >= hot_from)
     counts = written(spark, counts, "hot")
     total = counts.agg(F.sum("c")).first()[0] or 0
-    hot = counts.filter(F.col("c") >= F.lit(max(hot_from, total // max_hot))).select("v").toArrow()   # <= max_hot rows
-    hot = np.sort(hot.column("v").to_numpy().view(_U)) if hot.num_rows else np.zeros(0, _U)
+    hot = counts.filter(F.col("c") >= F.lit(max(hot_from, total // max_hot))).toArrow()              # <= max_hot rows
+    values = hot.column("v").to_numpy().view(_U) if hot.num_rows else np.zeros(0, _U)
+    order = np.argsort(values)
+    late = np.log2(hot.column("c").to_numpy()).astype(np.int64) if hot.num_rows else np.zeros(0, np.int64)
+    hot = (values[order], late[order])
     shared_hot = spark.sparkContext.broadcast(hot)
     buckets = int(max(8, min(1 << 20, input_bytes(docs) // bucket_bytes)))
 
@@ -356,26 +402,43 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     links = written(spark, on_reps(links), "links")
     comp = written(spark, components(links), "components")
 
-    # values whose documents lie in several components
+    # values of three or more documents that lie in several components
     members = stars.select("value", F.col("doc").alias("d"), F.col("doc_n").alias("dn")).unionByName(
-        stars.select("value", F.col("head").alias("d"), F.col("head_n").alias("dn"))).distinct()
-    members = members.join(rep_of.withColumnRenamed("doc_id", "d"), "d", "left").withColumn("d", F.coalesce("rep", "d")).drop("rep")
-    members = members.join(comp.withColumnRenamed("node", "d"), "d", "left") \
-        .withColumn("component", F.coalesce("component", "d")).distinct()
-    members = written(spark, members, "members")
-    per = members.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = per.groupBy("value").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"), F.sum("c").alias("all")) \
-        .filter("all > top.c and all > 2").select("value", F.col("top.m").alias("main"))
-    open_ = written(spark, members.join(main, "value"), "open")
-    others = open_.filter("component <> main").select("value", F.col("d").alias("a"), F.col("dn").alias("an"), F.col("component").alias("ac"))
-    rest = others.join(open_, "value").filter((F.col("ac") != F.col("component")) & (
-        F.least("an", "dn") * 100 >= F.greatest("an", "dn") * percent))
-    rest = rest.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct() \
-        .join(pairs, ["x", "y"], "left_anti")
-    rest = written(spark, rest, "pairs")
-    if rest.count():
-        more = on_reps(_links(docs, profiles, rest, width, percent))
-        comp = components(links.unionByName(more))
+        stars.select("value", F.col("head").alias("d"), F.col("head_n").alias("dn")))
+    members = members.join(rep_of.withColumnRenamed("doc_id", "d"), "d", "left") \
+        .select("value", F.coalesce("rep", "d").alias("d"), "dn").distinct()
+    open_ = _unsettled(members, comp)
+    for turn in range(PIVOT_ROUNDS + 1):
+        if open_.isEmpty():
+            break
+        others = open_.filter("component <> main").select("value", F.col("d").alias("a"), F.col("dn").alias("an"), F.col("component").alias("ac"))
+        if turn < PIVOT_ROUNDS:
+            salts = [F.min(F.struct(F.xxhash64("d", F.lit(8 * turn + i)).alias("h"), "d", "dn", "component")).alias(f"p{i}") for i in range(PIVOTS)]
+            centre = open_.filter("component = main").groupBy("value").agg(*salts)
+            met = others.join(centre, "value").select("a", "an", "ac", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")) \
+                .select("a", "an", "ac", "p.d", "p.dn", "p.component")
+            met = met.filter((F.col("ac") != F.col("component")) & _fits("an", "dn", percent))
+        else:
+            words = _sketch_words(profiles, open_.select("d").distinct())
+            bits = [f"s{i}" for i in range(WORDS)]
+            left = others.join(words.select(F.col("d").alias("a"), *[F.col(c).alias(f"a{c}") for c in bits]), "a")
+            right = open_.select("value", "d", "dn", "component").join(words, "d")
+            differ = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(c))) for c in bits), F.lit(0))
+            met = left.join(right, (left["value"] == right["value"]) & (F.col("ac") != F.col("component"))
+                            & _fits("an", "dn", percent) & (differ * 7 <= F.col("an") + F.col("dn")))
+        rest = met
+        rest = written(spark, rest.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
+                       .join(pairs, ["x", "y"], "left_anti"), "pairs")
+        if rest.isEmpty():
+            continue
+        pairs = pairs.unionByName(rest)
+        more = written(spark, on_reps(_links(docs, profiles, rest, width, percent)), "links")
+        if more.isEmpty():
+            continue
+        links = links.unionByName(more)
+        comp = written(spark, components(links), "components")
+        if turn < PIVOT_ROUNDS:
+            open_ = _unsettled(open_.select("value", "d", "dn"), comp)
     return (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("component", "rep", "doc_id").alias("component_id")))
