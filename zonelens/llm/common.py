@@ -17,12 +17,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20        # texts are worked on in slices of about this many bytes
+CHUNK_BYTES = 1 << 19        # texts are worked on in slices of about this many bytes
 _U = np.uint64
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most `rows` rows for the session: rows here are whole texts or packed
+    arrays, so Spark's default of 10,000 would hold far more bytes than a worker should.  A
+    smaller setting of the caller's stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver tables."""
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -30,6 +41,7 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet below spark.checkpoint.dir and read again: cuts the lineage
     with a table that every executor can read, so a lost executor costs no recomputation."""
     from zonelens.session import scratch_path
+    text_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -41,7 +41,7 @@ from zonelens.llm.common import LOWER, SPACE_WORDS, flat_text, input_bytes, mix,
 
 _U = np.uint64
 END, START = _U(0x0E0D0E0D0E0D0E0D), _U(0x5A5A5A5A5A5A5A5A)
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 
 def with_blocks(docs: DataFrame, rows: int = 2048) -> DataFrame:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, flat_text, slices, word_spans, written
 
+SLICE = 2 << 20              # bytes of text whose units are looked up together
 CACHE_UNITS = 1 << 20        # distinct units a task remembers before it starts anew
 
 
@@ -152,7 +153,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
         for batch in batches:
             buf, offs = flat_text(batch.column("text"))
             rows = []                                     # (row, piece, start, length, crc, rank)
-            for i, j in slices(offs):
+            for i, j in slices(offs, SLICE):
                 ids, at = tok.encode(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                 for k in range(j - i):
                     own = np.append(ids[at[k]:at[k + 1]], np.uint32(end_id)).astype("<u4")
