@@ -23,8 +23,8 @@ anchors are one stretch of the suffix array of the whole corpus.  So
 scan yields every interval, and the diversity of the bytes to the left tells
 which ones are maximal repeats.  `repeat_groups` reports them for a corpus.
 
-Skew.  A block sends one occurrence (the smallest document's) of each distinct
-neighbourhood; the others in it are covered without leaving it.  Anchors with
+Skew.  A block sends the smallest document's occurrences of each distinct
+neighbourhood; the other documents' are covered without leaving it.  Anchors with
 `hot_from` occurrences or more travel as window hashes instead, one entry per
 distinct window and block, so even a passage that a third of all documents
 share spreads over all buckets.
@@ -49,6 +49,7 @@ from zonelens.llm.lm import _block_runs, planes, unplanes, with_blocks
 
 _U = np.uint64
 GRAM = 18
+STEP = 1 << 13               # anchors whose neighbourhoods are held at a time
 PLACE = 28                    # low bits that break ties by position
 LOW = _U((1 << 48) - 1)
 
@@ -187,16 +188,13 @@ def _unpack(data: bytes, width: int) -> dict:
     return out
 
 
-def _smallest(key: np.ndarray, doc: np.ndarray):
-    """For each row: the smallest document with its key, and whether the row is the one that
-    stands for the key."""
+def _smallest(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each row: the smallest document with its key."""
     order = np.lexsort((doc, key))
     first = np.concatenate([[True], key[order][1:] != key[order][:-1]])
     head = np.empty(len(key), np.int64)
     head[order] = doc[order][np.flatnonzero(first)[np.cumsum(first) - 1]]
-    stands = np.zeros(len(key), bool)
-    stands[order[first]] = True
-    return head, stands
+    return head
 
 
 def _neighbourhoods(buf, offs, pos, length):
@@ -218,7 +216,16 @@ def _suffixes(length: int, buckets: int):
         plain = np.unique(np.concatenate([np.zeros(0, _U), *(np.frombuffer(k, _U) for k in marks.column("key").to_pylist())]))
         hot = np.unique(np.concatenate([np.zeros(0, _U), *(np.frombuffer(k, _U) for k in marks.column("hot").to_pylist())]))
         parts: dict = {0: [], 1: []}
+        rows: list = []
         block = docs.column("block")[0].as_py() if docs.num_rows else None
+
+        def settle(c: dict) -> dict:
+            """Record what smaller documents here cover; go on with the smallest document's rows."""
+            head = _smallest(c["same"], c["doc"])
+            done = (c["doc"] > head) & (c["left"].astype(np.int64) + c["right"] >= length)
+            if done.any():
+                rows.append((-1, 2, block, _cover(c, done, c["left"], c["right"])))
+            return {k: v[c["doc"] == head] for k, v in c.items()}
         for ids, buf, offs in _block_slices(docs) if block is not None and len(plain) + len(hot) else []:
             pos, h = anchors(buf, offs, length)
             low = h & LOW
@@ -228,33 +235,28 @@ def _suffixes(length: int, buckets: int):
                     continue
                 k = np.searchsorted(known, low)
                 k[k == len(known)] = 0
-                p, key = pos[known[k] == low], h[known[k] == low]
-                if not len(p):
-                    continue
-                d = np.searchsorted(offs, p, side="right") - 1
-                near, before, after = _neighbourhoods(buf, offs, p, length)
-                c = {"key": key, "doc": ids[d], "text": prints[d], "at": (p - offs[d]), "left": before, "right": after, "near": near}
-                parts[kind].append(_windows(c, length) if kind else c)
-        rows = []
+                every, keys = pos[known[k] == low], h[known[k] == low]
+                for a in range(0, len(every), STEP):
+                    p, key = every[a:a + STEP], keys[a:a + STEP]
+                    d = np.searchsorted(offs, p, side="right") - 1
+                    near, before, after = _neighbourhoods(buf, offs, p, length)
+                    c = {"key": key, "doc": ids[d], "text": prints[d], "at": (p - offs[d]).astype(np.uint32),
+                         "left": before.astype(np.uint8), "right": after.astype(np.uint8), "near": near}
+                    if kind:
+                        c = _windows(c, length)
+                        c["same"] = c["key"]
+                    else:
+                        spans = np.arange(len(near) + 1) * near.shape[1]
+                        same = HASHER.spans(HASHER.prefix(near.ravel()), spans[:-1], spans[1:])
+                        c["same"] = mix(same + key + (before.astype(_U) << _U(8)) + after.astype(_U))
+                    if len(c["key"]):
+                        parts[kind].append(settle(c))
         for kind, found in parts.items():
             if not found:
                 continue
-            c = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
-            if kind:
-                same = c["key"]
-            else:
-                flat = np.ascontiguousarray(c["near"])
-                spans = np.arange(len(flat) + 1) * flat.shape[1]
-                same = np.empty(len(flat), _U)
-                for a in range(0, len(flat), 1 << 14):
-                    b = min(len(flat), a + (1 << 14))
-                    same[a:b] = HASHER.spans(HASHER.prefix(flat[a:b].ravel()), spans[a:b] - spans[a], spans[a + 1:b + 1] - spans[a])
-                same = mix(same + c["key"] + (c["left"].astype(_U) << _U(8)) + c["right"].astype(_U))
-            head, stands = _smallest(same, c["doc"])
-            done = (c["doc"] > head) & (c["left"] + c["right"] >= length)
-            if done.any():
-                rows.append((-1, 2, block, _cover(c, done, c["left"], c["right"])))
-            for b, part in _by_bucket(c["key"][stands], buckets, {k: v[stands] for k, v in c.items()}):
+            c = settle({k: np.concatenate([f[k] for f in found]) for k in found[0]})
+            found.clear()
+            for b, part in _by_bucket(c["key"], buckets, c):
                 rows.append((b, kind, block, _pack(part)))
         cols = list(zip(*rows)) or [()] * 4
         return pa.table({"bucket": pa.array(cols[0], pa.int32()), "kind": pa.array(cols[1], pa.int32()),
@@ -263,21 +265,14 @@ def _suffixes(length: int, buckets: int):
     def _windows(c: dict, length: int) -> dict:
         """The windows around hot anchors, each with its hash as key."""
         out = []
-        width = c["near"].shape[1]
         for s in range(left + 1):
             fits = np.flatnonzero((left - s <= c["left"]) & (length - left + s <= c["right"]))
-            if len(fits):
-                w = np.ascontiguousarray(c["near"][fits, s:s + length])
-                key = np.empty(len(fits), _U)
-                for a in range(0, len(fits), 1 << 14):
-                    part = w[a:a + (1 << 14)]
-                    spans = np.arange(len(part) + 1) * length
-                    key[a:a + (1 << 14)] = HASHER.spans(HASHER.prefix(part.ravel()), spans[:-1], spans[1:])
-                out.append({"key": mix(key + _U(77)), "doc": c["doc"][fits], "text": c["text"][fits], "at": c["at"][fits],
-                            "left": np.full(len(fits), left - s), "right": np.full(len(fits), length - left + s),
-                            "near": np.zeros((len(fits), 0), np.uint8)})
-        if not out:
-            return {**{k: v[:0] for k, v in c.items()}, "near": np.zeros((0, 0), np.uint8)}
+            w = np.ascontiguousarray(c["near"][fits, s:s + length])
+            spans = np.arange(len(w) + 1) * length
+            key = HASHER.spans(HASHER.prefix(w.ravel()), spans[:-1], spans[1:])
+            out.append({"key": mix(key + _U(77)), **{k: c[k][fits] for k in ("doc", "text", "at")},
+                        "left": np.full(len(fits), left - s, np.uint8), "right": np.full(len(fits), length - left + s, np.uint8),
+                        "near": np.zeros((len(fits), 0), np.uint8)})
         return {k: np.concatenate([o[k] for o in out]) for k in out[0]}
     return run
 
@@ -286,10 +281,15 @@ COVER = [("doc", np.int64), ("text", np.uint32), ("a", np.uint32), ("b", np.uint
 
 
 def _cover(c: dict, pick: np.ndarray, left: np.ndarray, right: np.ndarray) -> bytes:
-    """Covered stretches [at - left, at + right) of the picked rows."""
+    """Covered stretches [at - left, at + right) of the picked rows, one per anchor (stretches of
+    one anchor all hold it, so their union is a stretch)."""
     at = c["at"][pick].astype(np.int64)
-    cols = {"doc": c["doc"][pick], "text": c["text"][pick], "a": at - left[pick], "b": at + right[pick]}
-    return len(at).to_bytes(4, "little") + b"".join(planes(np.ascontiguousarray(cols[k], dtype=t)) for k, t in COVER)
+    doc, text, a, b = c["doc"][pick], c["text"][pick], at - left[pick], at + right[pick]
+    order = np.lexsort((at, text, doc))
+    at, doc, text, a, b = at[order], doc[order], text[order], a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | (doc[1:] != doc[:-1])]))
+    cols = {"doc": doc[first], "text": text[first], "a": np.minimum.reduceat(a, first), "b": np.maximum.reduceat(b, first)}
+    return len(first).to_bytes(4, "little") + b"".join(planes(np.ascontiguousarray(cols[k], dtype=t)) for k, t in COVER)
 
 
 def _covered(data: bytes) -> dict:
@@ -343,7 +343,7 @@ def _tree_cover(c: dict, length: int):
         if not len(fits):
             continue
         group = node[fits] * (len(sa) + 1) + side[fits]
-        head, _ = _smallest(group, c["doc"][fits])
+        head = _smallest(group, c["doc"][fits])
         hit = fits[c["doc"][fits] > head]
         reach_r[hit] = r                                          # r ascends: the largest one stays
         reach_l[hit] = np.maximum(reach_l[hit], ext)
@@ -363,7 +363,7 @@ def _trees(length: int):
             c = {k: np.concatenate([g[k] for _, g in got]) for k in got[0][1]}
             block = np.repeat(np.array([b for b, _ in got], np.int64), [len(g["key"]) for _, g in got])
             if kind:
-                head, _ = _smallest(c["key"], c["doc"])
+                head = _smallest(c["key"], c["doc"])
                 hit, reach_l, reach_r = c["doc"] > head, c["left"], c["right"]
             else:
                 reach_l, reach_r = _tree_cover(c, length)
