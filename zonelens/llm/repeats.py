@@ -51,7 +51,8 @@ _U = np.uint64
 GRAM = 18
 STEP = 1 << 13               # anchors whose neighbourhoods are held at a time
 PLACE = 28                    # low bits that break ties by position
-LOW = _U((1 << 48) - 1)
+KEY = 5                       # low bytes of an anchor's hash that its report carries (the bucket tells the others)
+LOW = _U((1 << 8 * KEY) - 1)
 
 
 def anchors(buf: np.ndarray, offs: np.ndarray, length: int):
@@ -92,7 +93,7 @@ def _block_slices(docs: pa.Table | pa.RecordBatch):
 
 
 def _by_bucket(keys: np.ndarray, buckets: int, cols: dict):
-    to = (keys >> _U(24)) % _U(buckets)
+    to = (keys >> _U(8 * KEY)) % _U(buckets)
     order = np.argsort(to, kind="stable")
     cut = np.searchsorted(to[order], np.arange(buckets + 1, dtype=_U))
     for b in np.flatnonzero(np.diff(cut)).tolist():
@@ -117,7 +118,7 @@ def _reports(length: int, buckets: int):
             several = np.minimum.reduceat(docs[order], starts) != np.maximum.reduceat(docs[order], starts)
             n = np.where(several, np.maximum(2, np.minimum(n, 255)), 1).astype(np.uint8)
             for b, c in _by_bucket(key, buckets, {"k": key, "n": n}):
-                rows.append((b, block, planes(c["k"])[:6 * len(c["n"])], c["n"].tobytes()))
+                rows.append((b, block, planes(c["k"])[:KEY * len(c["n"])], c["n"].tobytes()))
         held.clear()
         cols = list(zip(*rows)) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()),
@@ -133,7 +134,7 @@ def _reports(length: int, buckets: int):
                 for ids, buf, offs in _block_slices(batch.slice(a, b - a)):
                     pos, h = anchors(buf, offs, length)
                     if len(pos):
-                        held.setdefault(block, []).append((h & LOW, ids[np.searchsorted(offs, pos, side="right") - 1]))
+                        held.setdefault(block, []).append((h, ids[np.searchsorted(offs, pos, side="right") - 1]))
                         size += len(pos)
             if size >= 1 << 22:
                 yield out(held)
@@ -142,10 +143,10 @@ def _reports(length: int, buckets: int):
     return run
 
 
-def _low48(b: bytes) -> np.ndarray:
-    part = np.frombuffer(b, np.uint8).reshape(6, -1)
+def _low(b: bytes) -> np.ndarray:
+    part = np.frombuffer(b, np.uint8).reshape(KEY, -1)
     full = np.zeros((part.shape[1], 8), np.uint8)
-    full[:, :6] = part.T
+    full[:, :KEY] = part.T
     return full.view(_U).ravel()
 
 
@@ -153,7 +154,7 @@ def _shared(hot_from: int):
     """Per block: its anchors that two or more documents have; hot ones apart."""
     def run(table: pa.Table) -> pa.Table:
         blocks = table.column("block").to_pylist()
-        keys = [_low48(k) for k in table.column("key").to_pylist()]
+        keys = [_low(k) for k in table.column("key").to_pylist()]
         n = [np.frombuffer(x, np.uint8) for x in table.column("n").to_pylist()]
         uniq, inv = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(inv, weights=np.concatenate(n), minlength=len(uniq))
@@ -249,6 +250,7 @@ def _suffixes(length: int, buckets: int):
                         spans = np.arange(len(near) + 1) * near.shape[1]
                         same = HASHER.spans(HASHER.prefix(near.ravel()), spans[:-1], spans[1:])
                         c["same"] = mix(same + key + (before.astype(_U) << _U(8)) + after.astype(_U))
+                        c["near"] = np.delete(near, np.s_[left:left + GRAM], axis=1)      # equal keys: equal anchors
                     if len(c["key"]):
                         parts[kind].append(settle(c))
         for kind, found in parts.items():
@@ -313,7 +315,7 @@ def _words(rows: np.ndarray) -> list[np.ndarray]:
 
 def sorted_stretch(rows: np.ndarray, size: np.ndarray, key: np.ndarray | None = None):
     """Suffix array of byte rows (zero beyond `size`) and the common prefix of each row with the
-    one before it (0 where the key changes)."""
+    one before it (-1 where the key changes)."""
     order = np.lexsort([size, *_words(rows)] + ([key] if key is not None else []))
     r, s = rows[order], size[order].astype(np.int64)
     common = np.zeros(len(order), np.int64)
@@ -322,7 +324,7 @@ def sorted_stretch(rows: np.ndarray, size: np.ndarray, key: np.ndarray | None =
         common[1:] = np.where(differs.any(1), differs.argmax(1), rows.shape[1])
         common[1:] = np.minimum(common[1:], np.minimum(s[1:], s[:-1]))
         if key is not None:
-            common[1:][key[order][1:] != key[order][:-1]] = 0
+            common[1:][key[order][1:] != key[order][:-1]] = -1
     return order, common
 
 
@@ -331,13 +333,13 @@ def _tree_cover(c: dict, length: int):
     left = length - GRAM
     back = np.ascontiguousarray(c["near"][:, :left][:, ::-1])
     ahead = c["near"][:, left:]
-    sa, lcp = sorted_stretch(ahead, c["right"], c["key"])
+    sa, lcp = sorted_stretch(ahead, c["right"] - np.uint8(GRAM), c["key"])      # beyond the anchor itself
     la, lcs = sorted_stretch(back, c["left"])
     reach_l, reach_r = np.zeros(len(sa), np.int64), np.zeros(len(sa), np.int64)
     for r in range(GRAM, length + 1):
         ext = length - r
         node, side = np.empty(len(sa), np.int64), np.empty(len(sa), np.int64)
-        node[sa] = np.cumsum(lcp < r)
+        node[sa] = np.cumsum(lcp < r - GRAM)
         side[la] = np.cumsum(lcs < ext)
         fits = np.flatnonzero((c["right"] >= r) & (c["left"] >= ext))
         if not len(fits):
@@ -351,7 +353,7 @@ def _tree_cover(c: dict, length: int):
 
 
 def _trees(length: int):
-    width = 2 * length - GRAM
+    width = 2 * (length - GRAM)
 
     def run(table: pa.Table) -> pa.Table:
         kinds, blocks, data = (table.column(x).to_pylist() for x in ("kind", "block", "data"))
