@@ -57,6 +57,24 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), how)
 
 
+def release() -> None:
+    """Hand freed memory of a Python worker back to the system (workers live on between tasks)."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _find_trim():
+    import ctypes
+    import sys
+    if not sys.platform.startswith("linux"):
+        return None
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)          # glibc only
+
+
+_TRIM = _find_trim()
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of the plan's input files as the optimizer knows it (no job is run)."""
     try:

@@ -37,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import LOWER, SPACE_WORDS, flat_text, input_bytes, mix, slices, word_hashes, word_spans, written
+from zonelens.llm.common import LOWER, SPACE_WORDS, flat_text, input_bytes, mix, release, slices, word_hashes, word_spans, written
 
 _U = np.uint64
 END, START = _U(0x0E0D0E0D0E0D0E0D), _U(0x5A5A5A5A5A5A5A5A)
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 
 def with_blocks(docs: DataFrame, rows: int = 2048) -> DataFrame:
@@ -141,8 +141,10 @@ def _counter(buckets: int, keys_of):
                 if size >= FLUSH:
                     yield _emit(held, buckets)
                     size = 0
+                    release()
         if held:
             yield _emit(held, buckets)
+        release()
     return run
 
 
@@ -172,6 +174,8 @@ def _totals(often_from: int, first_of: int | None):
             often, inv = np.unique(first, return_inverse=True)
             often_n = np.bincount(inv, weights=total, minlength=len(often)).astype(np.int64)
         rows.append((None, None, None, int(total.sum()), int((total > 0).sum()), often.tobytes(), often_n.tobytes()))
+        del parts, inv, total
+        release()
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.table({name: pa.array(c, k) for name, c, k in zip(
             ("block", "key", "n", "tokens", "words", "often", "often_n"), zip(*rows), kinds)})
@@ -281,6 +285,8 @@ def _scorer(shared):
             cols["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), at[:-1]))
             cols["base_score"].append(np.add.reduceat(np.log10(automaton.root(c)), at[:-1]))
             cols["score"].append(np.add.reduceat(automaton.walk(tokens, at, c, arcs, arc_counts), at[:-1]))
+        del words, counts, arcs, arc_counts
+        release()
         return pa.table({"doc_id": ids, "held_out": held,
                          **{k: pa.array(np.concatenate(v) if v else [], pa.float64() if "score" in k else pa.int64())
                             for k, v in cols.items()}})
@@ -288,7 +294,7 @@ def _scorer(shared):
 
 
 def score(docs: DataFrame, held_out, frequency: float = 1e-6, least_count: int = 64, prior: float = 100.0,
-          bucket_bytes: int = 16 << 20) -> DataFrame:
+          bucket_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text.
     `held_out`: condition that keeps a row out of training."""
     spark = docs.sparkSession

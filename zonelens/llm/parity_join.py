@@ -47,13 +47,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import (LOWER, SPACE_WORDS, by_ids, combine, flat_text, input_bytes, mix, slices, word_hashes,
+from zonelens.llm.common import (LOWER, SPACE_WORDS, by_ids, combine, flat_text, input_bytes, mix, release, slices, word_hashes,
                                  word_spans, written)
 from zonelens.llm.components import components
 
 _U = np.uint64
 WORDS = 16                   # 64-bit words of the sketch size that a join compares
-FLUSH = 1 << 20              # entries a task holds before it combines and sends them
+FLUSH = 1 << 19              # entries a task holds before it combines and sends them
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int):
@@ -181,6 +181,7 @@ def _profiles(width: int):
             if size >= FLUSH:
                 size = 0
                 yield out(shared())
+                release()
             elif len(rows) >= 2000:
                 yield out()
         yield out(shared() if held else None)
@@ -240,8 +241,10 @@ def _entries(width: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]):
             if size >= FLUSH:
                 yield out()
                 size = 0
+                release()
         if held:
             yield out()
+        release()
     return run
 
 
@@ -261,6 +264,8 @@ def _stars(table: pa.Table) -> pa.Table:
     parts = [(v[more], d[at][more], d[more], n[at][more], n[more]),
              tuple(cols[c][~lead] for c in ("value", "head", "doc", "head_n", "doc_n"))]
     out = [np.concatenate(p) for p in zip(*parts)]
+    del cols, parts, v, d, n, order, at
+    release()
     return pa.table({"value": pa.array(out[0]), "head": pa.array(out[1]), "doc": pa.array(out[2]),
                      "head_n": pa.array(out[3].astype(np.int32)), "doc_n": pa.array(out[4].astype(np.int32))})
 
@@ -317,7 +322,7 @@ def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, p
     return written(spark, _attach(near, sets).mapInArrow(_exact(percent), "x long, y long"), "similar")
 
 
-PIVOT_ROUNDS, PIVOTS = 3, 3
+PIVOT_ROUNDS, PIVOTS, FEW = 2, 4, 8
 
 def _fits(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -354,7 +359,7 @@ def _unsettled(members: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 6,
-                       max_hot: int = 1 << 18, bucket_bytes: int = 8 << 20) -> DataFrame:
+                       max_hot: int = 1 << 18, bucket_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id of every document (`docs`: doc_id, text).
     Sizes and bands are laid out for `percent` of 75 and more."""
     spark = docs.sparkSession
@@ -408,11 +413,17 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     members = members.join(rep_of.withColumnRenamed("doc_id", "d"), "d", "left") \
         .select("value", F.coalesce("rep", "d").alias("d"), "dn").distinct()
     open_ = _unsettled(members, comp)
-    for turn in range(PIVOT_ROUNDS + 1):
-        if open_.isEmpty():
+    turn = 0
+    while turn <= PIVOT_ROUNDS:
+        rows, meetings = open_.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("component") != F.col("main")).alias("o")) \
+            .agg(F.sum("n"), F.sum(F.col("n") * F.col("o"))).first()
+        if not rows:
             break
+        if meetings <= FEW * rows:             # the last step is cheap: no more rounds before it
+            turn = PIVOT_ROUNDS
+        turn += 1
         others = open_.filter("component <> main").select("value", F.col("d").alias("a"), F.col("dn").alias("an"), F.col("component").alias("ac"))
-        if turn < PIVOT_ROUNDS:
+        if turn <= PIVOT_ROUNDS:
             salts = [F.min(F.struct(F.xxhash64("d", F.lit(8 * turn + i)).alias("h"), "d", "dn", "component")).alias(f"p{i}") for i in range(PIVOTS)]
             centre = open_.filter("component = main").groupBy("value").agg(*salts)
             met = others.join(centre, "value").select("a", "an", "ac", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")) \
@@ -426,8 +437,7 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
             differ = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(c))) for c in bits), F.lit(0))
             met = left.join(right, (left["value"] == right["value"]) & (F.col("ac") != F.col("component"))
                             & _fits("an", "dn", percent) & (differ * 7 <= F.col("an") + F.col("dn")))
-        rest = met
-        rest = written(spark, rest.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
+        rest = written(spark, met.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
                        .join(pairs, ["x", "y"], "left_anti"), "pairs")
         if rest.isEmpty():
             continue
@@ -437,7 +447,7 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
             continue
         links = links.unionByName(more)
         comp = written(spark, components(links), "components")
-        if turn < PIVOT_ROUNDS:
+        if turn <= PIVOT_ROUNDS:
             open_ = _unsettled(open_.select("value", "d", "dn"), comp)
     return (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),

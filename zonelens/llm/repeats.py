@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import HASHER, flat_text, input_bytes, mix, slices, written
+from zonelens.llm.common import HASHER, flat_text, input_bytes, mix, release, slices, written
 from zonelens.llm.lm import _block_runs, planes, unplanes, with_blocks
 
 _U = np.uint64
@@ -136,9 +136,10 @@ def _reports(length: int, buckets: int):
                     if len(pos):
                         held.setdefault(block, []).append((h, ids[np.searchsorted(offs, pos, side="right") - 1]))
                         size += len(pos)
-            if size >= 1 << 22:
+            if size >= 1 << 20:
                 yield out(held)
                 size = 0
+                release()
         yield out(held)
     return run
 
@@ -261,6 +262,7 @@ def _suffixes(length: int, buckets: int):
             for b, part in _by_bucket(c["key"], buckets, c):
                 rows.append((b, kind, block, _pack(part)))
         cols = list(zip(*rows)) or [()] * 4
+        release()
         return pa.table({"bucket": pa.array(cols[0], pa.int32()), "kind": pa.array(cols[1], pa.int32()),
                          "block": pa.array(cols[2], pa.int64()), "data": pa.array(cols[3], pa.binary())})
 
@@ -372,6 +374,7 @@ def _trees(length: int):
                 hit = reach_r > 0
             for b in np.unique(block[hit]):
                 rows.append((int(b), _cover(c, hit & (block == b), reach_l, reach_r)))
+        release()
         return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "data": pa.array([r[1] for r in rows], pa.binary())})
     return run
 
@@ -438,13 +441,13 @@ def _removal(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, hot_from: int = 1000, bucket_bytes: int = 8 << 20,
+def remove_repeats(docs: DataFrame, length: int = 50, hot_from: int = 1000, bucket_bytes: int = 2 << 20,
                    with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (or `kept`, the remaining bytes) of
     every document.  `length` may be 18 to 127."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = with_blocks(docs.select("doc_id", "text") if "block" in docs.columns else docs).select("doc_id", "text", "block")
+    dealt = with_blocks(docs.select("doc_id", "text") if "block" in docs.columns else docs, 1024).select("doc_id", "text", "block")
     buckets = int(max(8, min(1 << 20, input_bytes(docs) // bucket_bytes)))
     reports = dealt.mapInArrow(_reports(length, buckets), REPORT)
     marks = written(spark, reports.repartition(buckets, "bucket").groupBy("bucket")
