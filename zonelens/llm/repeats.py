@@ -176,8 +176,11 @@ FIELDS = [("key", _U), ("doc", np.int64), ("text", np.uint32), ("at", np.uint32)
 
 
 def _pack(c: dict) -> bytes:
+    """Entries as one byte string: numbers byte by byte, neighbourhoods entropy-coded (text has
+    few long matches but a narrow alphabet)."""
     n = len(c["key"])
-    return n.to_bytes(4, "little") + b"".join(planes(np.ascontiguousarray(c[k], dtype=t)) for k, t in FIELDS) + c["near"].tobytes()
+    numbers = b"".join(planes(np.ascontiguousarray(c[k], dtype=t)) for k, t in FIELDS)
+    return n.to_bytes(4, "little") + numbers + pa.compress(c["near"].tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, width: int) -> dict:
@@ -186,7 +189,8 @@ def _unpack(data: bytes, width: int) -> dict:
         size = n * np.dtype(t).itemsize
         out[k] = unplanes(data[at:at + size], t)
         at += size
-    out["near"] = np.frombuffer(data, np.uint8, offset=at).reshape(n, width)
+    near = pa.decompress(data[at:], decompressed_size=n * width, codec="zstd", asbytes=True) if width else b""
+    out["near"] = np.frombuffer(near, np.uint8).reshape(n, width)
     return out
 
 
