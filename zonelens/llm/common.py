@@ -52,9 +52,9 @@ SMALL_IDS = 500_000          # id lists up to this many rows are broadcast, long
 
 def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """`docs` with (left_semi) or without (left_anti) the rows whose doc_id is in `ids`."""
-    ids = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
+    ids = ids.select(F.col(ids.columns[0]).alias("__listed")).distinct()
     small = ids.limit(SMALL_IDS + 1).count() <= SMALL_IDS
-    return docs.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), how)
+    return docs.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("__listed"), how)
 
 
 def release() -> None:

@@ -22,7 +22,7 @@ def components(links: DataFrame) -> DataFrame:
                 .filter("u <> v").distinct(), "links")
     print_of = lambda d: tuple(d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     before = print_of(e)
-    while True:
+    while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = both.join(least, F.col("u") == F.col("c")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

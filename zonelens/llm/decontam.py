@@ -241,8 +241,9 @@ def match_items(docs: DataFrame, items: DataFrame, window: int = 10, block_words
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """`docs` without their hit spans (text rewritten, white space around a cut kept on its left
-    side); documents with more than `max_coverage` of their words hit are dropped."""
-    cols = docs.columns
+    side); documents with more than `max_coverage` of their words hit are dropped.  Columns named
+    like the match columns are not kept."""
+    cols = [c for c in docs.columns if c not in ("n_words", "n_hit", "longest", "item_ids", "hit_spans")]
     m = match_items(docs, items, window)
     keep = F.col("n_hit") <= F.lit(max_coverage) * F.greatest(F.col("n_words"), F.lit(1))
     raw = F.col("text").cast("binary")

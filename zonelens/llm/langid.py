@@ -102,7 +102,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def training_sample(docs: DataFrame, per_lang: int) -> DataFrame:
     """At most `per_lang` texts of each language, chosen by a hash of the id."""
-    by = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    by = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rate = (by.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
             .select(F.col("lang").alias("_lang"), (F.lit(2.0 * per_lang) / F.col("_n")).alias("_rate")))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid"))

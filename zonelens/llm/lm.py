@@ -44,17 +44,17 @@ END, START = _U(0x0E0D0E0D0E0D0E0D), _U(0x5A5A5A5A5A5A5A5A)
 FLUSH = 1 << 19
 
 
-def with_blocks(docs: DataFrame, rows: int = 2048) -> DataFrame:
-    """`docs` plus `block`: the row range of its file when it is a file scan, which keeps
+def with_blocks(docs: DataFrame, columns: list[str], rows: int = 2048) -> DataFrame:
+    """Some columns of `docs` plus `block`: the row range of its file when it is a file scan, which keeps
     neighbours together, else a hash of the id.  Both are functions of the row, so every pass
     (and every retry) deals alike."""
     try:
-        return docs.select("*", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)).alias("block"))
+        return docs.select(*columns, F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)).alias("block"))
     except Exception as e:
         if "UNRESOLVED_COLUMN" not in str(e) and "FIELD_NOT_FOUND" not in str(e):
             raise
         blocks = max(1, input_bytes(docs) >> 22)
-        return docs.withColumn("block", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)))
+        return docs.select(*columns, F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)).alias("block"))
 
 
 def token_hashes(buf: np.ndarray, offs: np.ndarray):
@@ -300,7 +300,7 @@ def score(docs: DataFrame, held_out, frequency: float = 1e-6, least_count: int =
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = F.coalesce(held_out, F.lit(False))
-    dealt = with_blocks(docs).select("doc_id", "text", "block", held.alias("held_out"), (~held).alias("train"))
+    dealt = with_blocks(docs, ["doc_id", "text"]).select("doc_id", "text", "block", held.alias("held_out"), (~held).alias("train"))
     buckets = int(max(8, min(1 << 20, input_bytes(docs) // bucket_bytes)))
 
     def counted(keys_of, name, often_from, first_of):

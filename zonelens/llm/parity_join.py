@@ -322,7 +322,7 @@ def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, p
     return written(spark, _attach(near, sets).mapInArrow(_exact(percent), "x long, y long"), "similar")
 
 
-PIVOT_ROUNDS, PIVOTS, FEW = 2, 4, 8
+PIVOT_ROUNDS, PIVOTS, FEW = 1, 8, 64
 
 def _fits(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -349,13 +349,12 @@ def _sketch_words(profiles: DataFrame, ids: DataFrame) -> DataFrame:
 def _unsettled(members: DataFrame, comp: DataFrame) -> DataFrame:
     """Members (value, d, dn) of the values of three or more documents that lie in several
     components, with their component and the value's largest one (`main`)."""
-    several = members.groupBy("value").agg(F.count(F.lit(1)).alias("all")).filter("all > 2")
-    m = (members.join(several, "value").join(comp.withColumnRenamed("node", "d"), "d", "left")
+    m = (members.join(comp.withColumnRenamed("node", "d"), "d", "left")
          .withColumn("component", F.coalesce("component", "d")))
-    main = (m.groupBy("value", "component", "all").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("value", "all").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"))
-            .filter("all > top.c").select("value", F.col("top.m").alias("main")))
-    return written(members.sparkSession, m.drop("all").join(main, "value"), "open")
+    main = (m.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("value").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"), F.sum("c").alias("all"))
+            .filter("all > 2 and all > top.c").select("value", F.col("top.m").alias("main")))
+    return written(members.sparkSession, m.join(main, "value"), "open")
 
 
 def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 6,
@@ -445,8 +444,15 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
         more = written(spark, on_reps(_links(docs, profiles, rest, width, percent)), "links")
         if more.isEmpty():
             continue
-        links = links.unionByName(more)
-        comp = written(spark, components(links), "components")
+        # only the new links need joining: between the components so far
+        known = comp.withColumnRenamed("component", "_c")
+        for c in ("x", "y"):
+            more = more.join(known.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("_c", c)).drop("_c")
+        merged = written(spark, components(more), "merged")
+        before = comp.withColumnRenamed("component", "_c").join(merged.select(F.col("node").alias("_c"), F.col("component").alias("_m")), "_c", "left") \
+            .select("node", F.coalesce("_m", "_c").alias("component"))
+        fresh = merged.join(comp.select("node"), "node", "left_anti")
+        comp = written(spark, before.unionByName(fresh), "components")
         if turn <= PIVOT_ROUNDS:
             open_ = _unsettled(open_.select("value", "d", "dn"), comp)
     return (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")

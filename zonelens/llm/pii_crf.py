@@ -374,6 +374,7 @@ def scan(docs: DataFrame, crf: Crf | None = None, redact: bool = False) -> DataF
     """`docs` plus `spans` (kind, start, end in code points, source base / crf; by kind as in
     KINDS, then start).  With `redact`, every span in `text` becomes [kind] instead."""
     crf = crf or fit()
+    docs = docs if redact else docs.drop("spans")
     cols = docs.columns
 
     def run(batches):

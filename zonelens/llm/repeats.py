@@ -451,7 +451,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot_from: int = 1000, buck
     every document.  `length` may be 18 to 127."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = with_blocks(docs.select("doc_id", "text") if "block" in docs.columns else docs, 1024).select("doc_id", "text", "block")
+    dealt = with_blocks(docs, ["doc_id", "text"], 1024)
     buckets = int(max(8, min(1 << 20, input_bytes(docs) // bucket_bytes)))
     reports = dealt.mapInArrow(_reports(length, buckets), REPORT)
     marks = written(spark, reports.repartition(buckets, "bucket").groupBy("bucket")
