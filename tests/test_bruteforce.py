@@ -39,40 +39,50 @@ def _messages(rng, n):
     return out
 
 
-def _py_rollup(msgs):
-    """The rollup as a loop over messages in offset order (first arrival wins)."""
-    acc = {}
-    for topic, off, mid, rl in sorted(msgs, key=lambda m: m[1]):
-        dom = (mid or "").rstrip(".")
-        if not dom:
-            continue
-        for r in rl or []:
-            qt, qn = r["query_type"], (r["query_name"] or "").rstrip(".")
-            prim = (qn == dom) if qn else False
-            rc, ts = r["status_code"] or 0, r["timestamp"]
-            row = dict.fromkeys(OBS_COLUMNS)
-            row["topic"] = TAG[topic]
-            if qt in ("A", "AAAA"):
-                ip = r["ip4_address"] or r["ip6_address"]
-                if ip is None:
-                    continue
-                row.update(k="ip" if prim else "ns_ip", q=qt, ip=ip, a=r["as"], c=r["country"], p=r["ip_prefix"])
-                row.update(d=dom) if prim else row.update(s=qn)
-            elif qt == "NS" and prim and (r["ns_address"] or "").rstrip("."):
-                row.update(k="ns", d=dom, s=r["ns_address"].rstrip("."))
-            elif qt == "MX" and prim and (r["mx_address"] or "").rstrip("."):
-                row.update(k="mx", d=dom, m=r["mx_address"].rstrip("."), pr=r["mx_preference"])
-            else:
-                continue
-            key = tuple(row[c] for c in ("k", "topic", "d", "s", "m", "q", "ip", "pr")) + (rc,)
-            e = acc.get(key)
-            if e is None:
-                e = acc[key] = dict(row, tl=r["response_ttl"], fs=None, ls=None, n=0, rc=rc or None)
-            if ts is not None:
-                e["fs"] = ts if e["fs"] is None else min(e["fs"], ts)
-                e["ls"] = ts if e["ls"] is None else max(e["ls"], ts)
-            e["n"] += 1
-    return sorted((tuple(e[c] for c in OBS_COLUMNS) for e in acc.values()), key=repr)
+def _bare(name):
+    """A name without trailing dots; None for an empty one."""
+    return (name or "").rstrip(".") or None
+
+
+def _addresses(r, own):
+    ip = r["ip4_address"] or r["ip6_address"]
+    place = dict(k="ip", d=own) if _bare(r["query_name"]) == own else dict(k="ns_ip", s=(r["query_name"] or "").rstrip("."))
+    return ip is not None and dict(place, q=r["query_type"], ip=ip, a=r["as"], c=r["country"], p=r["ip_prefix"])
+
+
+def _delegations(r, own):
+    return _bare(r["query_name"]) == own and _bare(r["ns_address"]) and dict(k="ns", d=own, s=_bare(r["ns_address"]))
+
+
+def _exchanges(r, own):
+    return _bare(r["query_name"]) == own and _bare(r["mx_address"]) and dict(
+        k="mx", d=own, m=_bare(r["mx_address"]), pr=r["mx_preference"])
+
+
+# the documented rules, one per record type: what an answer says, or nothing
+RULES = {"A": _addresses, "AAAA": _addresses, "NS": _delegations, "MX": _exchanges}
+IDENTITY = ("k", "topic", "d", "s", "m", "q", "ip", "pr")
+
+
+def _model(msgs):
+    """Observations by the documented rules: say what each answer states, put the statements in
+    order of (offset, position), gather those of one identity, describe the group by its head."""
+    stated = []
+    for topic, off, mid, answers in msgs:
+        for pos, r in enumerate(answers or []):
+            says = RULES.get(r["query_type"], lambda *_: False)(r, _bare(mid)) if _bare(mid) else False
+            if says:
+                row = {**dict.fromkeys(OBS_COLUMNS), **says, "topic": TAG[topic], "tl": r["response_ttl"], "rc": r["status_code"] or None}
+                stated.append(((off, pos), row, r["timestamp"]))
+    groups = {}
+    for _, row, ts in sorted(stated, key=lambda x: x[0]):
+        groups.setdefault(tuple(row[c] for c in IDENTITY) + (row["rc"],), []).append((row, ts))
+    out = []
+    for members in groups.values():
+        times = [ts for _, ts in members if ts is not None]
+        head = dict(members[0][0], n=len(members), fs=min(times, default=None), ls=max(times, default=None))
+        out.append(tuple(head[c] for c in OBS_COLUMNS))
+    return sorted(out, key=repr)
 
 
 def test_rollup_matches_python_model(spark):
@@ -80,7 +90,7 @@ def test_rollup_matches_python_model(spark):
     msgs = _messages(rng, 600)
     rows = [(t, o, (m, [tuple(r[f] for f in FIELDS) for r in rl] if rl is not None else None)) for t, o, m, rl in msgs]
     got = rollup_measurements(spark.createDataFrame(rows, ENV)).collect()
-    want = _py_rollup(msgs)
+    want = _model(msgs)
     assert sorted((tuple(r[c] for c in OBS_COLUMNS) for r in got), key=repr) == want
     assert len(want) > 50 and {w[0] for w in want} == {"ip", "ns_ip", "ns", "mx"}
 

@@ -47,8 +47,9 @@ def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, see
     return {"delta": f"{out}/delta", "counts": f"{out}/counts", "manifest": f"{out}/manifest", "seen": seen_out}
 
 
-def run_audit(obs: DataFrame, providers: DataFrame, out_root: str, k: int = 500, threshold: int = 1000):
-    """JOB-8 + SNK-9: top-K table (Parquet + CSV) and the configured / unhandled split."""
-    topk = A.ns_audit_topk(obs, k).checkpoint(eager=True)
+def run_audit(obs: DataFrame, providers: DataFrame, out_root: str, k: int = 500, threshold: int = 1000,
+              topic: str | None = "domains"):
+    """JOB-8 + SNK-9: top-K table (Parquet + CSV) and the configured / unhandled split of one topic."""
+    topk = A.ns_audit_topk(obs, k, topic=topic).checkpoint(eager=True)
     W.write_audit(topk, out_root)
     return topk, A.audit_unhandled(topk, providers, threshold), A.audit_configured(topk, providers, threshold)

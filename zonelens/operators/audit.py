@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonelens.functions.names import ns_apex, strip_leading_dot
+from zonelens.operators.catalogue import TOPIC, pinned
 from zonelens.operators.joins import broadcast_if_small
 from zonelens.operators.parking import active_suffixes
 
@@ -30,8 +31,9 @@ def first_n_per_group(df: DataFrame, group: str, order: str, n: int) -> DataFram
     return r.groupBy(group).agg(F.sort_array(F.collect_list(order)).alias("_firstn"))
 
 
-def ns_audit_topk(obs: DataFrame, k: int = 500, samples: int = 5) -> DataFrame:
-    """JOB-8 / AGG-12 / TOP-1: top-K NS apexes by distinct new domains (S6).
+def ns_audit_topk(obs: DataFrame, k: int = 500, samples: int = 5, topic: str | None = TOPIC) -> DataFrame:
+    """JOB-8 / AGG-12 / TOP-1: top-K NS apexes by distinct new domains (S6),
+    over the rows of one topic (registered domains; None: all).
 
     Distinct (apex, domain) pairs feed the domain count and the five sample
     domains; distinct (apex, host) pairs give the host count and the sample
@@ -40,13 +42,15 @@ def ns_audit_topk(obs: DataFrame, k: int = 500, samples: int = 5) -> DataFrame:
     partial row per map task and apex, so a hot apex is spread over all
     reducers.  The scans read only (k, d, s) with `k = 'ns'` pushed down.
     """
-    b = ns_base(obs)
+    b = ns_base(pinned(obs, topic))
     doms = b.select("ns_apex", "d").distinct()
     hosts = (b.select("ns_apex", "s").distinct().groupBy("ns_apex")
              .agg(F.count(F.lit(1)).alias("distinct_ns_hosts"), F.min("s").alias("sample_ns_host")))
     counts = doms.groupBy("ns_apex").agg(F.count(F.lit(1)).alias("new_domains"))
     top = counts.join(hosts, "ns_apex").orderBy(F.desc("new_domains"), "ns_apex").limit(k)
-    sample = first_n_per_group(doms, "ns_apex", "d", samples).withColumnRenamed("_firstn", "sample_domains")
+    # the samples are wanted for the top apexes only
+    of_top = doms.join(broadcast_if_small(top.select("ns_apex")), "ns_apex", "left_semi")
+    sample = first_n_per_group(of_top, "ns_apex", "d", samples).withColumnRenamed("_firstn", "sample_domains")
     return (top.join(sample, "ns_apex", "left")
             .select("ns_apex", "new_domains", "distinct_ns_hosts", "sample_ns_host", "sample_domains"))
 

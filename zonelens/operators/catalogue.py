@@ -4,6 +4,8 @@ Each function takes an observation DataFrame (S2 columns, optionally
 with window columns) and returns a DataFrame; filters come first so that
 they reach the Parquet scan, and semi joins replace DISTINCT + inner join.
 Top-K queries carry a tie-break key so that their output is deterministic.
+The catalogue reads the rows of one topic (`topic`, by default the registered
+domains); None reads all topics.
 """
 
 from __future__ import annotations
@@ -14,26 +16,37 @@ from pyspark.sql import functions as F
 from zonelens.functions.names import apex_of
 
 
+TOPIC = "domains"
+
+
+def pinned(obs: DataFrame, topic: str | None) -> DataFrame:
+    """The rows of one topic (None: all)."""
+    return obs if topic is None else obs.filter(F.col("topic") == topic)
+
+
 def kind_counts(obs: DataFrame) -> DataFrame:
     """AGG-16: rows per kind."""
     return obs.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def top_asn(obs: DataFrame, k: int = 15) -> DataFrame:
+def top_asn(obs: DataFrame, k: int = 15, topic: str | None = TOPIC) -> DataFrame:
     """AGG-2 / TOP-1: hosting ASN distribution of `ip` rows, top K."""
+    obs = pinned(obs, topic)
     return (obs.filter(F.col("k") == "ip").groupBy(F.col("a").alias("asn"))
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .orderBy(F.desc("n_rows"), F.asc_nulls_last("asn")).limit(k))
 
 
-def ip_churn(obs: DataFrame, k: int = 20) -> DataFrame:
+def ip_churn(obs: DataFrame, k: int = 20, topic: str | None = TOPIC) -> DataFrame:
     """AGG-3: domains with the most distinct IPs, top K."""
+    obs = pinned(obs, topic)
     return (obs.filter((F.col("k") == "ip") & F.col("d").isNotNull())
             .groupBy(F.col("d").alias("domain")).agg(F.countDistinct("ip").alias("distinct_ips"))
             .orderBy(F.desc("distinct_ips"), "domain").limit(k))
 
 
-def cert_ip_join(cert_names: DataFrame, obs: DataFrame, asn: str, match: str = "exact") -> DataFrame:
+def cert_ip_join(cert_names: DataFrame, obs: DataFrame, asn: str, match: str = "exact",
+                 topic: str | None = TOPIC) -> DataFrame:
     """JOIN-4 / GEN-2: certificates whose name was measured on an `ip` row of one ASN.
 
     `cert_names` has one row per certificate name (certIndex, source,
@@ -42,19 +55,22 @@ def cert_ip_join(cert_names: DataFrame, obs: DataFrame, asn: str, match: str = "
     the parking delta uses), so `www.` and wildcard names count as well.
     """
     key = apex_of("name") if match == "apex" else F.col("name")
-    cs = cert_names.select("source", "fingerprint", key.alias("d"))
-    ip = obs.filter((F.col("k") == "ip") & (F.col("a") == asn)).select("d", "ip", F.col("a").alias("asn"))
+    # several names of a certificate can give one key: it counts once
+    cs = cert_names.select("source", "fingerprint", key.alias("d")).distinct()
+    ip = pinned(obs, topic).filter((F.col("k") == "ip") & (F.col("a") == asn)).select("d", "ip", F.col("a").alias("asn"))
     return cs.join(ip, "d").select("source", "fingerprint", F.col("d").alias("domain"), "ip", "asn")
 
 
-def ns_domains(obs: DataFrame, ns_host: str) -> DataFrame:
+def ns_domains(obs: DataFrame, ns_host: str, topic: str | None = TOPIC) -> DataFrame:
     """PRJ-13 / TOP-4: domains delegated to one name-server host, in time order."""
+    obs = pinned(obs, topic)
     return (obs.filter((F.col("k") == "ns") & (F.col("s") == ns_host))
             .select(F.col("d").alias("domain"), "fs", "ls", "n").orderBy("fs", "domain"))
 
 
-def ns_concentration(obs: DataFrame, suffix: str) -> DataFrame:
+def ns_concentration(obs: DataFrame, suffix: str, topic: str | None = TOPIC) -> DataFrame:
     """AGG-4 / PRJ-14: per NS host under a suffix: distinct domains, measurements, first / last time."""
+    obs = pinned(obs, topic)
     return (obs.filter((F.col("k") == "ns") & F.col("s").endswith(suffix))
             .groupBy(F.col("s").alias("ns_host"))
             .agg(F.countDistinct("d").alias("new_domains"), F.sum("n").alias("total_measurements"),
@@ -62,8 +78,9 @@ def ns_concentration(obs: DataFrame, suffix: str) -> DataFrame:
             .orderBy(F.desc("new_domains"), "ns_host"))
 
 
-def ns_asn_reverse(obs: DataFrame, asn: str) -> DataFrame:
+def ns_asn_reverse(obs: DataFrame, asn: str, topic: str | None = TOPIC) -> DataFrame:
     """JOIN-5: NS hosts seen on an ASN (`ns_ip` rows) -> the domains delegated to them."""
+    obs = pinned(obs, topic)
     hosts = obs.filter((F.col("k") == "ns_ip") & (F.col("a") == asn)).select(F.col("s").alias("ns_host"))
     ns = obs.filter(F.col("k") == "ns")
     return (ns.join(hosts, ns["s"] == hosts["ns_host"], "left_semi")
@@ -71,8 +88,9 @@ def ns_asn_reverse(obs: DataFrame, asn: str) -> DataFrame:
             .orderBy("fs", "domain"))
 
 
-def ns_hosting_as(obs: DataFrame, ns_host: str) -> DataFrame:
+def ns_hosting_as(obs: DataFrame, ns_host: str, topic: str | None = TOPIC) -> DataFrame:
     """JOIN-6 / AGG-5: for the domains of one NS host, hosting AS / country concentration."""
+    obs = pinned(obs, topic)
     doms = obs.filter((F.col("k") == "ns") & (F.col("s") == ns_host)).select("d")
     ip = obs.filter(F.col("k") == "ip")
     return (ip.join(doms, "d", "left_semi")
@@ -88,15 +106,17 @@ def _ns_sets(obs: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_set("s")).alias("ns_set")))
 
 
-def ns_set_change(prev_obs: DataFrame, now_obs: DataFrame) -> DataFrame:
+def ns_set_change(prev_obs: DataFrame, now_obs: DataFrame, topic: str | None = TOPIC) -> DataFrame:
     """JOIN-7 / AGG-6: domains whose sorted NS set differs between two windows."""
+    prev_obs, now_obs = pinned(prev_obs, topic), pinned(now_obs, topic)
     y, t = _ns_sets(prev_obs).alias("y"), _ns_sets(now_obs).alias("t")
     return (y.join(t, "d").filter(F.col("y.ns_set") != F.col("t.ns_set"))
             .select(F.col("d").alias("domain"), F.col("y.ns_set").alias("prev_ns"), F.col("t.ns_set").alias("now_ns")))
 
 
-def as_change(prev_obs: DataFrame, now_obs: DataFrame) -> DataFrame:
+def as_change(prev_obs: DataFrame, now_obs: DataFrame, topic: str | None = TOPIC) -> DataFrame:
     """JOIN-8 / AGG-11: domains whose (string-)minimum hosting ASN changed between two windows."""
+    prev_obs, now_obs = pinned(prev_obs, topic), pinned(now_obs, topic)
     def per(o):
         return o.filter(F.col("k") == "ip").groupBy("d").agg(F.min("a").alias("asn"))
     y, t = per(prev_obs).alias("y"), per(now_obs).alias("t")

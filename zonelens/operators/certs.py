@@ -17,14 +17,27 @@ from zonelens.schemas import CERTIFICATE, CERTIFICATE_TEXT
 
 
 def coerce_int(text: Column) -> Column:
-    """PRJ-10: JSON number text -> BIGINT, fraction dropped (toward zero); NULL if not a number."""
-    return text.try_cast(T.DecimalType(38, 6)).try_cast(T.LongType())
+    """PRJ-10: JSON number text -> BIGINT, fraction dropped (toward zero); NULL if not a number
+    or beyond BIGINT.  Exact: plain numbers keep only the digits before the point, and a number
+    with an exponent has its point moved in the text, so nothing is ever rounded."""
+    t = F.trim(text)
+    sign = F.regexp_extract(t, NUMBER, 1)
+    whole, frac = F.regexp_extract(t, NUMBER, 2), F.regexp_extract(t, NUMBER, 3)
+    exp = F.regexp_extract(t, NUMBER, 4).try_cast(T.IntegerType())
+    digits, point = F.concat(whole, frac), F.length(whole) + exp
+    moved = F.when(point <= 0, F.lit("0")).when(point > 40, F.lit(None)).otherwise(
+        F.rpad(F.substring(digits, F.lit(1), F.least(point, F.length(digits))), point, "0"))
+    zero = (F.length(digits) > 0) & (F.length(F.translate(digits, "0", "")) == 0)
+    out = F.when(zero, F.lit("0")).when(exp.isNull(), whole).otherwise(moved)
+    return F.when(t.rlike(NUMBER) & (F.length(whole) > 0), F.concat(sign, out).try_cast(T.LongType()))
 
 
 def payload_text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
+# sign, digits before and after the point, exponent
+NUMBER = r"^([-+]?)([0-9]+)(?:\.([0-9]*))?(?:[eE]([-+]?[0-9]+))?$"
 CORRUPT = "_corrupt"
 _PARSE_SCHEMA = T.StructType(CERTIFICATE_TEXT.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
@@ -40,7 +53,7 @@ def parse_certificates(envelopes: DataFrame) -> DataFrame:
     """
     txt = payload_text(F.col("value"))
     parsed = F.from_json(txt, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    row = F.struct(F.col("topic"), F.col("offset").alias("_offset"), F.length(txt).alias("_bytes"), parsed.alias("j"))
+    row = F.struct(F.col("topic"), F.col("offset").alias("_offset"), F.coalesce(F.octet_length("value"), F.lit(0)).alias("_bytes"), parsed.alias("j"))
     x = envelopes.select(F.inline(F.array(row)))
     j = F.col("j")
     ok = (F.col("_bytes") > 0) & j.isNotNull() & j.getField(CORRUPT).isNull()

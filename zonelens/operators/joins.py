@@ -8,29 +8,13 @@ from pyspark.sql import functions as F
 # a side is broadcast only when it is proven to hold at most this many rows
 BROADCAST_MAX_ROWS = 100_000
 
-# verdicts per (application, canonical plan); a verdict only steers the join
-# strategy, never the result
-_SMALL: dict = {}
-
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast `df` only after checking its row count; otherwise leave the
     choice to the optimizer (sort-merge, or AQE's runtime size check).
 
     Use for dimension tables (provider config, top-K lists) whose size does
-    not grow with the scanned data; the count reads at most max_rows + 1 rows.
+    not grow with the scanned data.  The check reads at most max_rows + 1 rows
+    and is made on every call, so a table that has grown is not hinted any more.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    small = _SMALL.get(key)
-    if small is None:
-        small = _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
-def small_table_has_rows(df: DataFrame) -> bool:
-    """Whether a small configuration table has any row (cached per canonical plan)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), "nonempty")
-    v = _SMALL.get(key)
-    if v is None:
-        v = _SMALL[key] = df.limit(1).count() > 0
-    return v
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

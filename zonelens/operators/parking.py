@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.functions.names import apex_of, label_suffixes, target_url
-from zonelens.operators.joins import broadcast_if_small, small_table_has_rows
+from zonelens.operators.joins import broadcast_if_small
 
 
 def active_suffixes(providers: DataFrame) -> DataFrame:
@@ -60,11 +60,8 @@ def match_providers(ns: DataFrame, providers: DataFrame, method: str = "labels")
     dotted = broadcast_if_small(suf.filter(F.col("suffix").startswith(".")))
     x = ns.withColumn("suffix", F.explode(label_suffixes("s"))).join(dotted, "suffix").drop("suffix")
     # suffixes without a leading dot (outside the config rules) can end inside a
-    # label; the few of them, if any, are matched literally
-    other = suf.filter(~F.col("suffix").startswith(".") | F.col("suffix").isNull())
-    if not small_table_has_rows(other):
-        return x
-    o = broadcast_if_small(other)
+    # label; the few of them, if any, are matched literally (an empty side costs nothing)
+    o = broadcast_if_small(suf.filter(~F.col("suffix").startswith(".") | F.col("suffix").isNull()))
     return x.unionByName(ns.join(o, ns["s"].endswith(o["suffix"])).drop("suffix"))
 
 

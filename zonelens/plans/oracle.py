@@ -77,9 +77,32 @@ FROM (SELECT p.provider, o.d AS domain, CAST(min(o.fs) AS BIGINT) AS first_ms
       GROUP BY p.provider, o.d) x
 WHERE first_ms < 1704240000000)"""
 
-# apex of a name: lowercase, trailing dots removed, last two labels
+def last_two_labels(x: str) -> str:
+    """The last two dot-separated labels of a name (all of a shorter one)."""
+    return f"regexp_extract({x}, '[^.]*(?:\\.[^.]*)?$')"
+
+
 def apex_sql(x: str) -> str:
-    return (f"array_to_string(list_slice(string_split(lower(rtrim({x}, '.')), '.'), -2, -1), '.')")
+    """Registered domain of a name: lower case, no trailing dots, last two labels."""
+    return last_two_labels(f"lower(rtrim({x}, '.'))")
+
+
+def sorted_set(x: str, where: str = "") -> str:
+    """Distinct values, sorted and comma-joined; NULL without any."""
+    return f"string_agg(DISTINCT {x}, ',' ORDER BY {x})" + (f" FILTER (WHERE {where})" if where else "")
+
+
+def audit_sql(rows: str, k: int) -> str:
+    """Common table expressions that end in `audit`: the k apexes with the most domains.  `rows`: a
+    query with d and s.  Domains are numbered inside their apex, so the samples are the first five."""
+    return f"""named AS (SELECT {last_two_labels('s')} AS apex, d, s FROM ({rows})),
+numbered AS (SELECT apex, d, row_number() OVER (PARTITION BY apex ORDER BY d) AS nth FROM (SELECT apex, d FROM named GROUP BY apex, d)),
+by_domain AS (SELECT apex, max(nth) AS new_domains, string_agg(d, ',' ORDER BY nth) FILTER (WHERE nth <= 5) AS sample_domains
+              FROM numbered GROUP BY apex),
+by_host AS (SELECT apex, count(*) AS distinct_ns_hosts, min(s) AS sample_ns_host FROM (SELECT DISTINCT apex, s FROM named) GROUP BY apex),
+audit AS (SELECT apex AS ns_apex, new_domains, distinct_ns_hosts, sample_ns_host, sample_domains
+          FROM by_domain JOIN by_host USING (apex)
+          QUALIFY row_number() OVER (ORDER BY new_domains DESC, apex) <= {k})"""
 
 
 def with_(*ctes: str) -> str:
@@ -87,3 +110,6 @@ def with_(*ctes: str) -> str:
 
 
 OBS_CTES = (DNS_ROWS, KEYED, OBS)
+
+# the catalogue and the audit read the files of one topic (registered domains)
+PINNED = "pinned AS (SELECT * FROM obs WHERE topic = 'domains')"

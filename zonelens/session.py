@@ -4,7 +4,7 @@ On a cluster the session comes from the launcher; ``ensure_scale_conf`` only
 fills in settings that were not given.  Scratch output (written tables that
 cut lineage, streaming checkpoints) always goes below the folder named by
 ``spark.checkpoint.dir``; a local folder is created only when that setting
-is absent, which is the case in tests and local runs.
+is absent and the master is local (tests, local runs).
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -52,34 +50,49 @@ def build_session(master: str | None = None, app: str = "zonelens",
 _APPLIED: set = set()
 
 
+def was_set(spark: SparkSession, key: str) -> bool:
+    """Whether a setting was given explicitly (its default value does not count)."""
+    return bool(spark._jsparkSession.sessionState().conf().contains(key))
+
+
 def ensure_scale_conf(spark: SparkSession) -> SparkSession:
-    """Fill in AQE / time-zone settings the caller did not set (once per application)."""
-    # all epoch-millisecond arithmetic assumes UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Fill in the settings the caller did not give (once per application).
+
+    All epoch-millisecond arithmetic assumes UTC, so another explicit time zone is an error.
+    """
     app = spark.sparkContext.applicationId
-    if app in _APPLIED:
-        return spark
-    _APPLIED.add(app)
-    for k, v in SCALE_DEFAULTS.items():
-        try:
-            if spark.conf.get(k, None) in (None, ""):
+    if app not in _APPLIED:
+        _APPLIED.add(app)
+        for k, v in SCALE_DEFAULTS.items():
+            if not was_set(spark, k):
                 spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "+00:00", "Z"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; the snapshot arithmetic needs UTC")
     return spark
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, through Hadoop's file system (so any store Spark reads);
+    empty when there are none, an error when the store cannot be reached."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(s.getPath().toString() for s in found or [])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written tables, from ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, local runs) a local folder is
-    created and registered, so that later calls agree on it.
+    Only a local master (tests, local runs) may go without the setting: there a
+    folder is created and registered, so that later calls agree on it.  On a
+    cluster the executors could not see such a folder, so that is an error.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="zonelens-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -64,7 +64,8 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     df = df.sortWithinPartitions(*partition_cols, "k", "d")
     w = _parquet(df, mode, BLOOM_COLUMNS if bloom else ())
     if partition_cols:
-        w = w.partitionBy(*partition_cols)
+        # whatever the session says: only the windows present in `obs` are replaced
+        w = w.partitionBy(*partition_cols).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
@@ -92,7 +93,9 @@ def write_per_provider(delta: DataFrame, path: str, fmt: str = "parquet", mode:
     Spark writes no directory for a provider without rows; `jobs.run_delta`
     adds an empty Parquet file for each of them (counts come from AGG-13).
     """
-    w = delta.write.mode(mode).partitionBy("provider")
+    # whatever the session says: the output is this run's alone, so a provider that is no
+    # longer in the result leaves nothing behind
+    w = delta.write.mode(mode).partitionBy("provider").option("partitionOverwriteMode", "static")
     if fmt == "parquet":
         w.option("compression", "zstd").parquet(path)
     else:

@@ -17,14 +17,20 @@ from pyspark.sql import functions as F
 
 from zonelens.operators.parking import match_providers, ns_rows
 from zonelens.schemas import SEEN
+from zonelens.session import list_paths
+from zonelens.streaming.budget import finish
 
 
-def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """SRC-13: all state files, or an empty state."""
-    try:
-        return spark.read.schema(SEEN).parquet(f"{state_root.rstrip('/')}/batch=*")
-    except Exception:  # no batch written yet
-        return spark.createDataFrame([], SEEN)
+def read_state(spark: SparkSession, state_root: str, without_batch: int | None = None) -> DataFrame:
+    """SRC-13: all state files, or an empty state when no batch has been written yet.
+
+    Only a missing path means "empty"; a folder that cannot be reached raises.
+    `without_batch` leaves one batch's own folder out (a replay rewrites it).
+    """
+    found = list_paths(spark, f"{state_root.rstrip('/')}/batch=*")
+    own = None if without_batch is None else f"batch={without_batch:08d}"
+    found = [p for p in found if p.rstrip("/").rsplit("/", 1)[-1] != own]
+    return spark.read.schema(SEEN).parquet(*found) if found else spark.createDataFrame([], SEEN)
 
 
 def first_seen_batch(batch: DataFrame, providers: DataFrame, state: DataFrame, snap_col: str = "snap") -> DataFrame:
@@ -42,7 +48,7 @@ def first_seen_batch(batch: DataFrame, providers: DataFrame, state: DataFrame, s
 def make_batch_writer(state_root: str, providers: DataFrame, snap_col: str = "snap"):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        state = read_state(spark, state_root)
+        state = read_state(spark, state_root, without_batch=epoch_id)
         new = first_seen_batch(batch, providers, state, snap_col)
         (new.write.mode("overwrite").option("compression", "zstd")
          .parquet(f"{state_root.rstrip('/')}/batch={epoch_id:08d}"))
@@ -53,9 +59,7 @@ def run_first_seen(stream: DataFrame, providers: DataFrame, state_root: str, che
                    snap_col: str = "snap", timeout_s: int | None = None) -> None:
     q = (stream.writeStream.foreachBatch(make_batch_writer(state_root, providers, snap_col))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    finish(q, timeout_s)
 
 
 def final_state(spark: SparkSession, state_root: str) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.functions.timefmt import WINDOW_MS
+from zonelens.session import was_set
+from zonelens.streaming.budget import finish
 from zonelens.operators.rollup import OBS_KEY, classify_answers, finish_rollup, rollup_aggregates
 
 WINDOW = "12 hours"
@@ -45,8 +47,7 @@ def use_rocksdb(spark) -> None:
     """Keep streaming state in RocksDB (off-heap, spills to local disk, checkpointed
     to the checkpoint location) unless the session chose a provider already."""
     k = "spark.sql.streaming.stateStore.providerClass"
-    cur = spark.conf.get(k, "") or ""
-    if cur == "" or cur.endswith("HDFSBackedStateStoreProvider"):
+    if not was_set(spark, k):
         spark.conf.set(k, ROCKSDB)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
@@ -64,9 +65,7 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
     q = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink_path)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    finish(q, timeout_s)
     return q.recentProgress
 
 
