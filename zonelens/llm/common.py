@@ -76,11 +76,12 @@ _TRIM = _find_trim()
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of the plan's input files as the optimizer knows it (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # a plan without statistics: one partition's worth
-        return 1 << 27
+    """Size of the plan's input as the optimizer knows it; where it knows none (rows that come
+    from no file), the text is measured."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        size = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return size
 
 
 def crc_fold(doc_id: str = "doc_id", mod: int = 5):
