@@ -44,7 +44,7 @@ def test_odd_rows(spark, odd_docs):
     assert by["repeats"][6]["n_removed"] == by["repeats"][6]["n_bytes"] > 50 and by["repeats"][1]["n_removed"] == 0
     assert by["repeats"][2]["n_bytes"] == 0 and by["repeats"][None]["n_removed"] == 0
     assert by["matches"][2]["n_words"] == 0 and by["matches"][8]["n_hit"] == 1 and by["matches"][8]["item_ids"] == ["null"]
-    assert by["matches"][1]["n_hit"] == 10 and 8 not in by["clean"]        # all of its words are hit
+    assert by["matches"][1]["n_hit"] == 11 and not {1, 8} & set(by["clean"])      # mostly benchmark words
     assert by["lm"][2]["n_tokens"] == 1 and by["lm"][5]["n_tokens"] == 60_001
     pieces = [r for r in out["packed"] if r["doc_id"] == 2]
     assert [(p["piece"], p["length"]) for p in pieces] == [(0, 1)]
