@@ -51,3 +51,13 @@ def test_ingest_job(spark, tmp_out):
     back = spark.read.schema(_with_parts(OBSERVATION, ["date", "hour"])).parquet(tmp_out)
     assert back.count() == rollup_measurements(env, ["date", "hour"]).count()
     assert {r.hour for r in back.select("hour").distinct().collect()} == {"00", "12"}
+
+
+def test_incomplete_window_writes_nothing(spark, tmp_out):
+    import pytest
+    gap = spark.createDataFrame([("newly_registered_domains_measurements", "2026-05-25", "00", 2)],
+                                "topic string, date string, hour string, shard int")
+    with pytest.raises(jobs.IncompleteWindow, match="shard 2"):
+        jobs.run_delta(X.obs_half(spark, SF, "now"), X.certs_half(spark, SF, "now"), P.providers(spark),
+                       X.seen(spark, SF), P.NOW_SNAP, tmp_out, f"{tmp_out}/seen", missing=gap)
+    assert not os.path.exists(_local(tmp_out))

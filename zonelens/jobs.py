@@ -1,9 +1,8 @@
 """User-level jobs: one window's ingest, parking delta and monthly audit.
 
-Each job is a handful of DataFrame actions.  The delta is materialised once
-with `checkpoint()` (reliable, below `spark.checkpoint.dir`) so that its
-three consumers — per-provider files, counts / manifest and the new state —
-do not re-run the plan.  Outputs of a window are overwritten as a whole, and
+Each job is a handful of DataFrame actions.  The delta is written once, as its
+Parquet output, and read back for its other consumers (JSON copy, counts,
+manifest and the new state), so the plan is not run again.  Outputs of a window are overwritten as a whole, and
 the new state goes to a new path that the caller swaps in afterwards.
 """
 
@@ -22,18 +21,33 @@ from zonelens.sinks import writers as W
 def run_ingest(envelopes: DataFrame, out_root: str, window_cols=("date", "hour")) -> DataFrame:
     """JOB-1 + SNK-1 / SNK-7: rollup of decoded messages, written per window (dynamic overwrite)."""
     obs = rollup_measurements(envelopes, window_cols=list(window_cols))
-    W.write_observations(obs, out_root, partition_cols=list(window_cols))
+    W.write_observations(obs, out_root, partition_cols=list(window_cols), bloom=True)
     return obs
 
 
+class IncompleteWindow(RuntimeError):
+    """The window lacks shard files; its delta would miss domains for good."""
+
+
 def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, seen: DataFrame | None,
-              snap: str, out_root: str, seen_out: str, config_version: int = 1) -> dict:
-    """JOB-5 / JOB-6 / JOB-7 with sinks SNK-4, SNK-5, SNK-6, SNK-8."""
+              snap: str, out_root: str, seen_out: str, config_version: int = 1,
+              missing: DataFrame | None = None) -> dict:
+    """JOB-5 / JOB-6 / JOB-7 with sinks SNK-4, SNK-5, SNK-6, SNK-8.
+
+    `missing` (`housekeeping.missing_shards` of the window) is the completeness
+    gate: with any row in it nothing is written.  The delta is written once;
+    its JSON copy, counts, manifest and the new state are derived from the files.
+    """
     spark = obs_window.sparkSession
     checkpoint_root(spark)
-    delta = K.parking_delta(obs_window, certs, providers, seen, snap).checkpoint(eager=True)
+    if missing is not None:
+        some = [f"{r['topic']} {r['date']} {r['hour']} shard {r['shard']}" for r in missing.limit(5).collect()]
+        if some:
+            raise IncompleteWindow(f"{snap}: missing {', '.join(some)}")
     out = out_root.rstrip("/")
+    delta = K.parking_delta(obs_window, certs, providers, seen, snap)
     W.write_per_provider(delta, f"{out}/delta", "parquet")
+    delta = spark.read.schema(delta.schema).parquet(f"{out}/delta").select(*delta.columns)
     W.write_per_provider(delta, f"{out}/delta_jsonl", "json")
     counts = K.delta_counts(delta, providers).checkpoint(eager=True)     # one row per active provider
     W.write_csv(counts.orderBy(F.desc("new_domains"), "provider"), f"{out}/counts")

@@ -80,11 +80,14 @@ def parking_counts(spark, sf):
     return K.delta_counts(X.delta(spark, sf, "now"), P.providers(spark))
 
 
-@register("seen_merge", DELTA_NOW + f"""
+SEEN_MERGED_SQL = DELTA_NOW + f"""
 SELECT provider, domain, first_snap, first_ms
 FROM (SELECT provider, domain, first_snap, first_ms FROM seen
       UNION ALL BY NAME SELECT provider, domain, first_ms, '{P.NOW_SNAP}' AS first_snap FROM delta)
-QUALIFY row_number() OVER (PARTITION BY provider, domain ORDER BY first_ms, first_snap) = 1""")
+QUALIFY row_number() OVER (PARTITION BY provider, domain ORDER BY first_ms, first_snap) = 1"""
+
+
+@register("seen_merge", SEEN_MERGED_SQL)
 def seen_merge(spark, sf):
     return K.merge_seen(X.seen(spark, sf), X.delta(spark, sf, "now"), P.NOW_SNAP)
 
@@ -142,14 +145,33 @@ def audit_configured(spark, sf):
 
 @register("delta_job", DELTA_NOW + COUNTS_SQL)
 def delta_job(spark, sf):
-    """The whole delta job (files per provider, counts CSV, manifest, new state); its counts read back."""
+    """The whole delta job; its counts read back."""
+    return spark.read.schema("provider string, new_domains bigint, ct_signal_count bigint") \
+        .option("header", True).csv(_delta_job(spark, sf)["counts"])
+
+
+def _delta_job(spark, sf) -> dict:
+    """One run of the whole job (files per provider, counts CSV, manifest, new state)."""
     from zonelens.jobs import run_delta
     from zonelens.session import scratch_path
     base = scratch_path(spark, "delta-job")
-    paths = run_delta(X.obs_half(spark, sf, "now"), X.certs_half(spark, sf, "now"), P.providers(spark),
-                      X.seen(spark, sf), P.NOW_SNAP, base, f"{base}/seen-new")
-    return spark.read.schema("provider string, new_domains bigint, ct_signal_count bigint") \
-        .option("header", True).csv(paths["counts"])
+    return run_delta(X.obs_half(spark, sf, "now"), X.certs_half(spark, sf, "now"), P.providers(spark),
+                     X.seen(spark, sf), P.NOW_SNAP, base, f"{base}/seen-new")
+
+
+@register("delta_job_files", DELTA_NOW + f"SELECT {NS_COLS}, ct_sources, ct_fingerprints FROM delta")
+def delta_job_files(spark, sf):
+    """The per-provider Parquet files of a delta run, read back."""
+    paths = _delta_job(spark, sf)
+    like = X.delta(spark, sf, "now")
+    return _lists(spark.read.schema(like.schema).parquet(paths["delta"]).select(*like.columns))
+
+
+@register("delta_job_state", SEEN_MERGED_SQL)
+def delta_job_state(spark, sf):
+    """The new first-seen state of a delta run, read back."""
+    from zonelens.schemas import SEEN
+    return spark.read.schema(SEEN).parquet(_delta_job(spark, sf)["seen"])
 
 
 VOLUME_NS = f"""vol AS (
