@@ -200,8 +200,8 @@ def unplanes(b: bytes, keep: int) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
-ENTRY = "bucket int, value binary, head binary, doc binary, head_n binary, doc_n binary"
-BYTES = {"value": 6, "head": 8, "doc": 8, "head_n": 4, "doc_n": 4}
+ENTRY = "bucket int, value binary, head binary, doc binary, head_n binary, doc_n binary, more binary"
+BYTES = {"value": 6, "head": 8, "doc": 8, "head_n": 4, "doc_n": 4, "more": 1}
 
 
 def _entries(width: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]):
@@ -219,8 +219,9 @@ def _entries(width: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]):
             v, d, n = v[order], d[order], n[order]
             first = np.concatenate([[True], v[1:] != v[:-1]])
             at = np.flatnonzero(first)[np.cumsum(first) - 1]
+            size = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1]       # documents here with the value
             to = np.where(first, (v >> _U(40)) % _U(buckets), (mix(d.view(_U)) ^ v) % _U(buckets)).astype(np.int32)
-            cols = {"value": v.view(np.int64), "head": d[at], "doc": d, "head_n": n[at], "doc_n": n}
+            cols = {"value": v.view(np.int64), "head": d[at], "doc": d, "head_n": n[at], "doc_n": n, "more": (size > 1).astype(np.int64)}
             order = np.argsort(to, kind="stable")
             cut = np.searchsorted(to[order], np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(cut))
@@ -248,26 +249,29 @@ def _entries(width: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]):
     return run
 
 
-STAR = "value long, head long, doc long, head_n int, doc_n int"
+STAR = "value long, head long, doc long, head_n int, doc_n int, several boolean"
 
 
 def _stars(table: pa.Table) -> pa.Table:
-    """Stars of one bucket: every value that two documents share, hung on its smallest head."""
+    """Stars of one bucket: every value that two documents share, hung on its smallest head.
+    `several`: the value may have three documents or more."""
     cols = {c: np.concatenate([unplanes(b, k) for b in table.column(c).to_pylist()]) for c, k in BYTES.items()}
     lead = cols["head"] == cols["doc"]
-    v, d, n = (cols[c][lead] for c in ("value", "doc", "doc_n"))
+    v, d, n, more = (cols[c][lead] for c in ("value", "doc", "doc_n", "more"))
     order = np.lexsort((d, v))
-    v, d, n = v[order], d[order], n[order]
+    v, d, n, more = v[order], d[order], n[order], more[order]
     first = np.concatenate([[True], v[1:] != v[:-1]]) if len(v) else np.zeros(0, bool)
     at = np.flatnonzero(first)[np.cumsum(first) - 1] if len(v) else np.zeros(0, np.int64)
-    more = ~first & (d != d[at])
-    parts = [(v[more], d[at][more], d[more], n[at][more], n[more]),
-             tuple(cols[c][~lead] for c in ("value", "head", "doc", "head_n", "doc_n"))]
+    group = np.cumsum(first) - 1
+    several = ((np.bincount(group) > 2) | (np.bincount(group, weights=more) > 0))[group] if len(v) else np.zeros(0, bool)
+    hung = ~first & (d != d[at])
+    parts = [(v[hung], d[at][hung], d[hung], n[at][hung], n[hung], several[hung].astype(np.int64)),
+             tuple(cols[c][~lead] for c in ("value", "head", "doc", "head_n", "doc_n", "more"))]
     out = [np.concatenate(p) for p in zip(*parts)]
-    del cols, parts, v, d, n, order, at
+    del cols, parts, v, d, n, order, at, group
     release()
     return pa.table({"value": pa.array(out[0]), "head": pa.array(out[1]), "doc": pa.array(out[2]),
-                     "head_n": pa.array(out[3].astype(np.int32)), "doc_n": pa.array(out[4].astype(np.int32))})
+                     "head_n": pa.array(out[3].astype(np.int32)), "doc_n": pa.array(out[4].astype(np.int32)), "several": pa.array(out[5] > 0)})
 
 
 # ------------------------------------------------------------------ verification
@@ -407,8 +411,9 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     comp = written(spark, components(links), "components")
 
     # values of three or more documents that lie in several components
-    members = stars.select("value", F.col("doc").alias("d"), F.col("doc_n").alias("dn")).unionByName(
-        stars.select("value", F.col("head").alias("d"), F.col("head_n").alias("dn")))
+    wide = stars.filter("several")
+    members = wide.select("value", F.col("doc").alias("d"), F.col("doc_n").alias("dn")).unionByName(
+        wide.select("value", F.col("head").alias("d"), F.col("head_n").alias("dn")).distinct())
     members = members.join(rep_of.withColumnRenamed("doc_id", "d"), "d", "left") \
         .select("value", F.coalesce("rep", "d").alias("d"), "dn").distinct()
     open_ = _unsettled(members, comp)
