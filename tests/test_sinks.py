@@ -34,9 +34,12 @@ def test_json_lines_drop_nulls_and_gzip(spark, tmp_out):
     assert sorted(lines, key=lambda d: d["k"]) == [{"k": "a", "n": 1}, {"k": "b", "v": "x"}]
 
 
-def test_rows_per_file(spark, tmp_out):
+def test_rows_per_row_group(spark, tmp_out):
+    import pyarrow.parquet as pq
     W.write_rows_per_group(spark.range(0, 1000).coalesce(1), tmp_out, rows=300)
-    assert len(glob.glob(_local(tmp_out) + "/*.parquet")) == 4
+    (name,) = glob.glob(_local(tmp_out) + "/*.parquet")
+    meta = pq.ParquetFile(name).metadata
+    assert [meta.row_group(k).num_rows for k in range(meta.num_row_groups)] == [300, 300, 300, 100]
     assert spark.read.parquet(tmp_out).count() == 1000
 
 

@@ -196,8 +196,11 @@ def day_rollup(*deltas: DataFrame) -> DataFrame:
                  _union_sets("ct_fingerprints").alias("ct_fingerprints")))
 
 
-def archive_candidates(delta: DataFrame, limit: int | None = None) -> DataFrame:
-    """PRJ-16 / PRJ-17: newly seen apexes from the registered-domains topic, with their page address."""
+def archive_candidates(delta: DataFrame, limit: int | None = None, provider: str | None = None) -> DataFrame:
+    """PRJ-16 / PRJ-17: newly seen apexes from the registered-domains topic, with their page address;
+    of one provider when given, so that the limit holds per provider."""
+    if provider is not None:
+        delta = delta.filter(F.col("provider") == provider)
     c = (delta.filter(F.array_contains("source_topics", "domains"))
          .select("domain", "provider", target_url("domain").alias("url")).orderBy("domain", "provider"))
     return c.limit(limit) if limit else c

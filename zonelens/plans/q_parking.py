@@ -80,6 +80,15 @@ def parking_counts(spark, sf):
     return K.delta_counts(X.delta(spark, sf, "now"), P.providers(spark))
 
 
+@register("archive_candidates_of", DELTA_NOW + """
+SELECT domain, provider, 'http://' || domain || '/' AS url FROM delta
+WHERE provider = 'park_dual' AND 'domains' IN (SELECT unnest(string_split(source_topics, ',')))
+ORDER BY domain LIMIT 10""")
+def archive_candidates_of(spark, sf):
+    """One provider's candidates, limited (the limit is the feature)."""
+    return K.archive_candidates(X.delta(spark, sf, "now"), limit=10, provider="park_dual")
+
+
 SEEN_MERGED_SQL = DELTA_NOW + f"""
 SELECT provider, domain, first_snap, first_ms
 FROM (SELECT provider, domain, first_snap, first_ms FROM seen

@@ -70,8 +70,8 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
 
 
 def write_rows_per_group(df: DataFrame, path: str, rows: int = ROW_GROUP_ROWS) -> None:
-    """SNK-2: bounded memory per file: at most `rows` rows per output file."""
-    _parquet(df, "overwrite").option("maxRecordsPerFile", rows).parquet(path)
+    """SNK-2: bounded memory per row group: at most `rows` rows in each (files may hold many)."""
+    _parquet(df, "overwrite").option("parquet.block.row.count.limit", rows).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite") -> None:
