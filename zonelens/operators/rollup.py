@@ -88,13 +88,25 @@ def rollup_observations(answers: DataFrame, window_cols: Sequence[str] = ()) ->
     a NULL of that first arrival is kept.  A NULL time is ignored by the
     min / max and still counted.
     """
-    c = classify_answers(answers, keep=window_cols)
-    g = c.groupBy(*window_cols, *OBS_KEY).agg(*rollup_aggregates())
+    c = classify_answers(answers, keep=window_cols).withColumn("_ord", arrival("offset", "pos"))
+    # the raw answers are combined by hash: every buffer of this step has a fixed width
+    v = c.groupBy(*window_cols, *OBS_KEY, "a", "c", "p").agg(
+        F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"),
+        F.min_by("tl", "_ord").alias("tl"), F.min("_ord").alias("_ord"))
+    # then the few variants of a key are put together
+    g = v.groupBy(*window_cols, *OBS_KEY).agg(
+        F.min("fs").alias("fs"), F.max("ls").alias("ls"), F.sum("n").alias("n"),
+        F.min_by(F.struct("tl", "a", "c", "p"), "_ord").alias("f"))
     return finish_rollup(g, window_cols)
 
 
+def arrival(offset: str, pos: str):
+    """Order of arrival as one number: the offset, then the place in the message."""
+    return F.col(offset).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col(pos).cast("decimal(10,0)")
+
+
 def rollup_aggregates():
-    """The per-key aggregates of AGG-1 (also used by the streaming rollup)."""
+    """The per-key aggregates of AGG-1 in one step, as the streaming rollup keeps them."""
     first = F.min_by(F.struct("tl", "a", "c", "p"), F.struct("offset", "pos"))
     return [F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"), first.alias("f")]
 
