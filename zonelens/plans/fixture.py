@@ -9,15 +9,13 @@ observation files; the `obs_rollup` query measures the rollup itself.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonelens.operators.rollup import rollup_measurements
 from zonelens.schemas import OBSERVATION
-from zonelens.session import scratch_path
+from zonelens.session import path_version, scratch_path
 from zonelens.sinks.writers import write_observations
 from zonelens.sources import projection as P
 
@@ -30,10 +28,14 @@ def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_measurements(P.measurement_envelopes(spark, sf_dir), window_cols=["half"])
 
 
-def _stored_path(spark: SparkSession, sf_dir: str) -> str:
+def _source_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identifies the state of the events table that a stored table was derived from."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    st = os.stat(src) if os.path.exists(src) else None
-    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), st and (st.st_size, st.st_mtime))
+    return spark.sparkContext.applicationId, src, path_version(spark, src)
+
+
+def _stored_path(spark: SparkSession, sf_dir: str) -> str:
+    key = _source_key(spark, sf_dir)
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, "obs")
@@ -102,7 +104,7 @@ ARCHIVE_PARTS = ["topic_name", "date", "hour", "shard"]
 
 def archive_root(spark: SparkSession, sf_dir: str) -> str:
     """The observation archive of the fixture, written once per session."""
-    key = ("archive", spark.sparkContext.applicationId, os.path.realpath(sf_dir))
+    key = ("archive", *_source_key(spark, sf_dir))
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, "archive")

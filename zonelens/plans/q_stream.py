@@ -68,7 +68,7 @@ def stream_first_seen(spark, sf):
 
 
 def _legacy_root(spark, sf):
-    key = ("legacy", spark.sparkContext.applicationId, sf)
+    key = ("legacy", *X._source_key(spark, sf))
     path = X._STORED.get(key)
     if path is None:
         path = scratch_path(spark, "legacy")

@@ -81,6 +81,16 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found or [])
 
 
+def path_version(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(bytes, modification time) of a file or folder on any store Spark reads; None if absent.
+    Tells whether a table derived from it earlier is still up to date."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written tables, from ``spark.checkpoint.dir``.
 
