@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, flat_text, slices, word_spans, written
+from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, flat_text, release, slices, word_spans, written
 
-SLICE = 2 << 20              # bytes of text whose units are looked up together
-CACHE_UNITS = 1 << 20        # distinct units a task remembers before it starts anew
+SLICE = 1 << 20              # bytes of text whose units are looked up together
+CACHE_UNITS = 1 << 19        # distinct units a task remembers before it starts anew
 
 
 def _byte_classes() -> np.ndarray:
@@ -75,8 +76,7 @@ class UnitTokenizer:
 
     def _reset(self) -> None:
         self.slot: dict[int, int] = {}
-        self.ids: list[int] = []
-        self.first: list[int] = [0]
+        self.ids, self.first = array("I"), array("q", [0])
 
     def _unit(self, raw: bytes, whole: bool) -> list[int]:
         if whole:
@@ -97,10 +97,10 @@ class UnitTokenizer:
             s = self.slot.get(key)
             if s is None:
                 s = self.slot[key] = len(self.first) - 1
-                self.ids += self._unit(raw[starts[i]:ends[i]], bool(whole[i]))
+                self.ids.extend(self._unit(raw[starts[i]:ends[i]], bool(whole[i])))
                 self.first.append(len(self.ids))
             slots[k] = s
-        pool, first = np.array(self.ids, np.uint32), np.array(self.first, np.int64)
+        pool, first = np.frombuffer(self.ids.tobytes(), np.uint32), np.frombuffer(self.first.tobytes(), np.int64)
         slots = slots[inv]
         size = first[slots + 1] - first[slots]
         begin = np.concatenate([[0], np.cumsum(size)])
@@ -162,6 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                         rows.append((i + k, p, s, len(part), zlib.crc32(part.tobytes()), int(seen[len(part)])))
                         seen[len(part)] += 1
             cols = list(zip(*rows)) or [()] * 6
+            release()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()),
                  pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()),
