@@ -333,6 +333,23 @@ def test_language_model(spark, docs):
                         sum(p(some, w) for w in c) + (prior + c[some] - after[some]) * 0.5 / (n + 0.5 * (v + 1)) / (c[some] + prior), 1.0)
 
 
+def test_language_model_rare_pairs(spark):
+    """Pairs and words count however rare they are."""
+    rows = [(i, t) for i, t in enumerate(["a b c", "a b d", "b c", "x y z"])]
+    out = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 2, prior=2.0).collect()}
+    c, pair = Counter(), Counter()
+    for _, t in rows[:2] + rows[3:]:
+        w = t.split() + ["\0"]
+        c.update(w)
+        pair.update(zip(["\1"] + w, w))
+    n, v = sum(c.values()), len(c)
+    c["\1"] = c["\0"]
+    for i, t in rows:
+        w = t.split() + ["\0"]
+        want = sum(math.log10((pair[u, x] + 2.0 * (c[x] + 0.5) / (n + 0.5 * (v + 1))) / (c[u] + 2.0)) for u, x in zip(["\1"] + w, w))
+        assert math.isclose(out[i].score, want, rel_tol=1e-9)
+
+
 def test_language_id(spark):
     out = queries.op1_language_id(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()

@@ -2,32 +2,35 @@
 
 Tokens are the blank-separated, ASCII-lower-cased words of a text and one end.
 The root state gives every token its smoothed unigram probability
-(c + 1/2) / (N + (V + 1) / 2).  Each frequent word (and the start of a text) is
-a state; every pair of frequent tokens seen in training is an arc; a state's
-failure arc leads to the root with the weight that makes it a distribution:
+(c + 1/2) / (N + (V + 1) / 2).  Each word seen in training (and the start of a
+text) is a state; every pair of neighbouring tokens seen in training is an arc;
+a state's failure arc leads to the root with the weight that makes it a
+distribution, K / (c(u) + K):
 
-    p(w | u) = (c(u, w) + (K + c(u) - f(u)) p1(w)) / (c(u) + K)
+    p(w | u) = (c(u, w) + K p1(w)) / (c(u) + K)
 
-where f(u) counts the successors of u that have arcs.  Scoring is one
-left-to-right traversal: the state after a token is that token's state (the
-root if it has none), so all positions of a block take their arcs at once and
-those without one follow their failure arc and add its weight.
+No word and no pair is left out, so the arcs of a state stand for all c(u)
+tokens that followed it.  Scoring is one left-to-right traversal: the state
+after a token is that token's state (the root if training has not seen it), so
+all positions of a block take their arcs at once and those without one follow
+their failure arc.
 
 Distribution.  Documents are dealt into blocks (a row range of a file, else a
 hash of the id).
-1. Blocks count their distinct words; buckets of the word hash add them up
-   over all training documents and return the totals to the blocks that asked.
-2. Words above `frequency` of all tokens are the states: at most 1 / frequency
-   of them, whatever the corpus, so that table is broadcast.  Pairs are counted
-   and returned the same way.
-3. Each block meets its totals and is scored.
-What is gathered grows with the corpus and stays in Spark; a word that occurs
-everywhere sends one entry per block.  Entries travel packed, as numpy arrays.
+1. Blocks count their distinct words, and their distinct pairs by a hash of
+   both tokens; buckets of those hashes add them up over all training documents.
+2. A bucket answers every block with the totals of the keys that it sent, in
+   their order and without the keys: the block knows them from its own text.
+3. Each block meets its totals, which tell the states' counts and the arcs'
+   counts of its positions, and is scored.
+What is gathered grows with the corpus and stays in Spark (the driver gets N
+and V); a word or pair that occurs everywhere sends one entry per block.
+Entries travel packed, as numpy arrays.
 
 Defined results: a NULL or empty text is one end token; without training rows
 N = V = 0; a NULL id is training text (its fold is unknown) and not held out;
-repeated rows count and score each; extra columns are ignored.  Words are
-told apart by 64-bit hashes.
+repeated rows count and score each; extra columns are ignored.  Words and pairs
+are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import LOWER, SPACE_WORDS, flat_text, input_bytes, mix, release, slices, word_hashes, word_spans, written
+from zonelens.llm.common import LOWER, SPACE_WORDS, combine, flat_text, input_bytes, mix, release, slices, word_hashes, word_spans, written
 
 _U = np.uint64
 END, START = _U(0x0E0D0E0D0E0D0E0D), _U(0x5A5A5A5A5A5A5A5A)
@@ -91,6 +94,34 @@ def _block_runs(blocks: np.ndarray):
     return [(int(blocks[a]), a, b) for a, b in zip(cut, cut[1:])]
 
 
+def word_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return tokens
+
+
+def pair_keys(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Keys of (token before, token) of every position."""
+    return combine(np.stack([before(tokens, at), tokens], 1).ravel(), 2)[::2]
+
+
+KINDS = (word_keys, pair_keys)
+
+
+def _packed(a: np.ndarray) -> bytes:
+    return len(a).to_bytes(4, "little") + pa.compress(planes(a), codec="zstd", asbytes=True)
+
+
+def _unpacked(b: bytes, kind) -> np.ndarray:
+    n = int.from_bytes(b[:4], "little")
+    return unplanes(pa.decompress(b[4:], decompressed_size=n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+def _by_bucket(keys: np.ndarray, buckets: int):
+    """Order of sorted keys by bucket, and where each bucket begins."""
+    to = (mix(keys) >> _U(20)) % _U(buckets)
+    order = np.argsort(to, kind="stable")
+    return order, np.searchsorted(to[order], np.arange(buckets + 1, dtype=_U))
+
+
 ENTRY = "bucket int, block long, key binary, n binary"
 
 
@@ -102,13 +133,11 @@ def _emit(held: dict, buckets: int):
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         keys, n = keys[first], np.add.reduceat(n, first)
-        to = (mix(keys) >> _U(20)) % _U(buckets)
-        order = np.argsort(to, kind="stable")
-        keys, n, to = keys[order], n[order], to[order]
-        cut = np.searchsorted(to, np.arange(buckets + 1, dtype=_U))
+        order, cut = _by_bucket(keys, buckets)
+        keys, n = keys[order], n[order]
         for b in np.flatnonzero(np.diff(cut)).tolist():
             part = slice(cut[b], cut[b + 1])
-            for col, v in zip(rows, (b, block, planes(keys[part]), planes(n[part].astype(np.uint32)))):
+            for col, v in zip(rows, (b, block, _packed(np.diff(keys[part], prepend=_U(0))), _packed(n[part].astype(np.uint32)))):
                 col.append(v)
     held.clear()
     return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()),
@@ -117,8 +146,7 @@ def _emit(held: dict, buckets: int):
 
 
 def _counter(buckets: int, keys_of):
-    """Distinct keys of every block with their training counts (0: held-out text only).
-    keys_of(tokens, offsets) gives keys and the positions they stand for."""
+    """Distinct keys of every block with their training counts (0: held-out text only)."""
     def run(batches):
         held: dict = {}
         size = 0
@@ -131,11 +159,8 @@ def _counter(buckets: int, keys_of):
                     i, j = a + i, a + j
                     tokens, at = token_hashes(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                     own = np.repeat(train[i:j], np.diff(at))
-                    keys, where = keys_of(tokens, at)
-                    if not len(keys):
-                        continue
-                    keys, inv = np.unique(keys, return_inverse=True)
-                    n = np.bincount(inv, weights=own[where], minlength=len(keys)).astype(np.int64)
+                    keys, inv = np.unique(keys_of(tokens, at), return_inverse=True)
+                    n = np.bincount(inv, weights=own, minlength=len(keys)).astype(np.int64)
                     held.setdefault(block, []).append((keys, n))
                     size += len(keys)
                 if size >= FLUSH:
@@ -148,144 +173,76 @@ def _counter(buckets: int, keys_of):
     return run
 
 
-TOTAL = "block long, key binary, n binary, tokens long, words long, often binary, often_n binary"
-
-
-def _totals(often_from: int, first_of: int | None):
-    """Totals of one bucket, returned to every block that asked, and a summary row (block NULL):
-    sum and number of counted keys, and the keys counted `often_from` times or, for pairs, the
-    sums by first word (key // first_of)."""
-    def run(table: pa.Table) -> pa.Table:
-        parts = [(b, unplanes(k, _U), unplanes(n, np.uint32)) for b, k, n in zip(
-            table.column("block").to_pylist(), table.column("key").to_pylist(), table.column("n").to_pylist())]
-        keys, inv = np.unique(np.concatenate([k for _, k, _ in parts]), return_inverse=True)
-        total = np.bincount(inv, weights=np.concatenate([n for *_, n in parts]), minlength=len(keys)).astype(np.int64)
-        rows, at = [], 0
-        for block, k, _ in parts:
-            n = total[inv[at:at + len(k)]]
-            at += len(k)
-            on = n > 0
-            rows.append((block, planes(k[on]), planes(n[on].astype(np.uint64)), None, None, None, None))
-        if first_of is None:
-            pick = total >= often_from
-            often, often_n = keys[pick], total[pick]
-        else:
-            first = keys // _U(first_of)
-            often, inv = np.unique(first, return_inverse=True)
-            often_n = np.bincount(inv, weights=total, minlength=len(often)).astype(np.int64)
-        rows.append((None, None, None, int(total.sum()), int((total > 0).sum()), often.tobytes(), often_n.tobytes()))
-        del parts, inv, total
-        release()
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.table({name: pa.array(c, k) for name, c, k in zip(
-            ("block", "key", "n", "tokens", "words", "often", "often_n"), zip(*rows), kinds)})
-    return run
+TOTAL = "bucket int, block long, n binary, tokens long, words long"
 
 
-def _often(summary: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the summary rows with their sums, from `least` on (a bounded table)."""
-    def run(batches):
-        for b in batches:
-            for k, n in zip(b.column("often").to_pylist(), b.column("often_n").to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(n, np.int64))],
-                                                 names=["k", "c"])
-    rows = (summary.mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
-            .filter(F.col("c") >= least).toArrow())
-    if not rows.num_rows:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    keys, n = rows.column("k").to_numpy().view(_U), rows.column("c").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
+def _totals(table: pa.Table) -> pa.Table:
+    """Totals of one bucket's keys, returned to every block in the order of the keys it sent,
+    and a summary row (block NULL): sum and number of counted keys."""
+    bucket = table.column("bucket")[0].as_py()
+    sent = [_unpacked(k, _U) for k in table.column("key").to_pylist()]
+    keys, inv = np.unique(np.concatenate([np.cumsum(k, dtype=_U) for k in sent]), return_inverse=True)
+    total = np.bincount(inv, weights=np.concatenate([_unpacked(n, np.uint32) for n in table.column("n").to_pylist()]),
+                        minlength=len(keys)).astype(np.int64)
+    of: dict = {}
+    at = 0
+    for block, k in zip(table.column("block").to_pylist(), sent):
+        of.setdefault(block, []).append(inv[at:at + len(k)])
+        at += len(k)
+    rows = [(bucket, block, _packed(total[parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))].astype(_U)), None, None)
+            for block, parts in of.items()]
+    rows.append((bucket, None, None, int(total.sum()), int((total > 0).sum())))
+    del sent, keys, inv, total, of
+    release()
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    return pa.table({name: pa.array(c, k) for name, c, k in zip(("bucket", "block", "n", "tokens", "words"), zip(*rows), kinds)})
 
 
 class BackoffAutomaton:
-    """States 0 (root), 1.. (frequent words, by sorted hash) and the last one (start)."""
+    """The root, a state for every word of the training text and one for the start of a text.
+    Blocks bring the counts of their states and arcs."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, arcs_from: np.ndarray, texts: int,
-                 tokens: int, distinct: int, prior: float):
-        self.words, self.counts = words, np.concatenate([counts, [texts]]).astype(np.float64)
+    def __init__(self, tokens: int, distinct: int, prior: float):
         self.prior, self.total = prior, tokens + 0.5 * (distinct + 1)
-        self.start = len(words) + 1
-        spare = prior + self.counts - arcs_from
-        self.spare, self.below = spare, self.counts + prior
-        self.failure = np.concatenate([[0.0], np.log10(spare / self.below)])
-
-    def state(self, tokens: np.ndarray) -> np.ndarray:
-        """State of each token (0: none)."""
-        if not len(self.words):
-            return np.zeros(len(tokens), np.int64)
-        at = np.searchsorted(self.words, tokens)
-        at[at == len(self.words)] = 0
-        return np.where(self.words[at] == tokens, at + 1, 0)
-
-    def pair_keys(self, tokens: np.ndarray, at: np.ndarray):
-        """Keys of the positions whose state and token can have an arc."""
-        to = self.state(tokens)
-        on = self.states_before(to, at)
-        where = np.flatnonzero((on > 0) & (to > 0))
-        return (on[where] * (self.start + 1) + to[where]).astype(_U), where
-
-    def states_before(self, to: np.ndarray, at: np.ndarray) -> np.ndarray:
-        on = np.concatenate([[0], to[:-1]])
-        on[at[:-1]] = self.start
-        return on
 
     def root(self, c: np.ndarray) -> np.ndarray:
         return (c + 0.5) / self.total
 
-    def walk(self, tokens: np.ndarray, at: np.ndarray, c: np.ndarray, arcs: np.ndarray, arc_counts: np.ndarray) -> np.ndarray:
-        """log10 probability of every token; c: training counts of the tokens."""
-        to = self.state(tokens)
-        on = self.states_before(to, at)
-        p1 = self.root(c)
-        out = np.zeros(len(tokens))
-        going = np.ones(len(tokens), bool)
-        if len(arcs):
-            key = (on * (self.start + 1) + to).astype(_U)
-            k = np.searchsorted(arcs, key)
-            k[k == len(arcs)] = 0
-            take = (on > 0) & (to > 0) & (arcs[k] == key)
-            s = on[take] - 1
-            out[take] = np.log10((arc_counts[k[take]] + self.spare[s] * p1[take]) / self.below[s])
-            going = ~take
-        out[going] = self.failure[on[going]] + np.log10(p1[going])      # failure arc, then the root's arc
-        return out
-
-
-def _lookup(keys: np.ndarray, values: np.ndarray, ask: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(ask), np.int64)
-    at = np.searchsorted(keys, ask)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == ask, values[at], 0)
-
-
-def _unpack(table: pa.Table, kind: int):
-    pick = table.filter(pa.compute.equal(table.column("kind"), kind))
-    if not pick.num_rows:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    keys = np.concatenate([unplanes(k, _U) for k in pick.column("key").to_pylist()])
-    n = np.concatenate([unplanes(v, _U) for v in pick.column("n").to_pylist()]).astype(np.int64)
-    keys, first = np.unique(keys, return_index=True)
-    return keys, n[first]
-
-
-def _scorer(shared):
+    def walk(self, at: np.ndarray, c: np.ndarray, arcs: np.ndarray) -> np.ndarray:
+        """log10 probability of every token; c, arcs: training counts of the tokens and of the
+        pairs that they end (0: no arc, the failure arc and then the root's)."""
+        state = np.concatenate([[0], c[:-1]])
+        state[at[:-1]] = c[at[1:] - 1]                               # as many starts as ends
+        return np.log10((arcs + self.prior * self.root(c)) / (state + self.prior))
+
+
+def _answered(totals: pa.Table, kind: int, asked: list[np.ndarray], buckets: int):
+    """(keys, counts) of one block from its keys and the buckets' answers."""
+    keys = np.unique(np.concatenate(asked))
+    order, cut = _by_bucket(keys, buckets)
+    counts = np.zeros(len(keys), np.int64)
+    mine = totals.filter(pa.compute.equal(totals.column("kind"), kind))
+    for b, n in zip(mine.column("bucket").to_pylist(), mine.column("n").to_pylist()):
+        counts[order[cut[b]:cut[b + 1]]] = _unpacked(n, _U).astype(np.int64)
+    return keys, counts
+
+
+def _scorer(automaton: BackoffAutomaton, buckets: int):
     def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
-        automaton: BackoffAutomaton = shared.value
-        words, counts = _unpack(totals, 0)
-        arcs, arc_counts = _unpack(totals, 1)
         ids, held = docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks()
         cols: dict = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
         buf, offs = flat_text(docs.column("text"))
-        for i, j in slices(offs):
-            tokens, at = token_hashes(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-            c = _lookup(words, counts, tokens)
+        parts = [token_hashes(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]) for i, j in slices(offs)]
+        (words, counts), (pairs, arcs) = [_answered(totals, kind, [np.unique(keys_of(*p)) for p in parts], buckets)
+                                          if parts else (None, None) for kind, keys_of in enumerate(KINDS)]
+        for tokens, at in parts:
+            c = counts[np.searchsorted(words, tokens)]
+            a = arcs[np.searchsorted(pairs, pair_keys(tokens, at))]
             cols["n_tokens"].append(np.diff(at))
             cols["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), at[:-1]))
             cols["base_score"].append(np.add.reduceat(np.log10(automaton.root(c)), at[:-1]))
-            cols["score"].append(np.add.reduceat(automaton.walk(tokens, at, c, arcs, arc_counts), at[:-1]))
-        del words, counts, arcs, arc_counts
+            cols["score"].append(np.add.reduceat(automaton.walk(at, c, a), at[:-1]))
+        del parts, words, counts, pairs, arcs
         release()
         return pa.table({"doc_id": ids, "held_out": held,
                          **{k: pa.array(np.concatenate(v) if v else [], pa.float64() if "score" in k else pa.int64())
@@ -293,8 +250,7 @@ def _scorer(shared):
     return run
 
 
-def score(docs: DataFrame, held_out, frequency: float = 1e-6, least_count: int = 64, prior: float = 100.0,
-          bucket_bytes: int = 4 << 20) -> DataFrame:
+def score(docs: DataFrame, held_out, prior: float = 100.0, bucket_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text.
     `held_out`: condition that keeps a row out of training."""
     spark = docs.sparkSession
@@ -303,32 +259,17 @@ def score(docs: DataFrame, held_out, frequency: float = 1e-6, least_count: int =
     dealt = with_blocks(docs, ["doc_id", "text"]).select("doc_id", "text", "block", held.alias("held_out"), (~held).alias("train"))
     buckets = int(max(8, min(1 << 20, input_bytes(docs) // bucket_bytes)))
 
-    def counted(keys_of, name, often_from, first_of):
+    def counted(keys_of, name):
         entries = dealt.select("text", "block", "train").mapInArrow(_counter(buckets, keys_of), ENTRY)
-        totals = entries.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_totals(often_from, first_of), TOTAL)
-        totals = written(spark, totals, name)
-        return totals.filter("block is not null").select("block", "key", "n"), totals.filter("block is null")
-    words, summary = counted(lambda t, at: (t, np.arange(len(t))), "word-totals", least_count, None)
-    size = summary.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
+        return written(spark, entries.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_totals, TOTAL), name)
+    words, pairs = (counted(keys_of, name) for keys_of, name in zip(KINDS, ("word-totals", "pair-totals")))
+    size = words.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
     n, v = int(size["n"] or 0), int(size["v"] or 0)
-    often, often_n = _often(summary, max(least_count, int(n * frequency)))           # at most 1 / frequency words
-    if END not in often:
-        ends = dealt.filter("train").count()
-        often, often_n = np.append(often, END), np.append(often_n, ends)
-        order = np.argsort(often)
-        often, often_n = often[order], often_n[order]
-    texts = int(often_n[np.searchsorted(often, END)])
-    states = BackoffAutomaton(often, often_n, np.zeros(len(often) + 1), texts, n, v, prior)
-    states_shared = spark.sparkContext.broadcast(states)
-    pairs, summary = counted(lambda t, at: states_shared.value.pair_keys(t, at), "pair-totals", 1, states.start + 1)
-    first, sums = _often(summary, 1)                                                 # at most one row per state
-    arcs_from = np.zeros(len(often) + 1)
-    arcs_from[first.astype(np.int64) - 1] = sums
-    shared = spark.sparkContext.broadcast(BackoffAutomaton(often, often_n, arcs_from, texts, n, v, prior))
-    totals = words.withColumn("kind", F.lit(0)).unionByName(pairs.withColumn("kind", F.lit(1)))
+    totals = words.withColumn("kind", F.lit(0)).unionByName(pairs.withColumn("kind", F.lit(1))) \
+        .filter("block is not null").select("block", "kind", "bucket", "n")
     scored = (dealt.select("block", "doc_id", "text", "held_out").groupBy("block")
               .cogroup(totals.groupBy("block"))
-              .applyInArrow(_scorer(shared), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
-                                             "base_score double, score double"))
+              .applyInArrow(_scorer(BackoffAutomaton(n, v, prior), buckets),
+                            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          "base_score", "score")
