@@ -15,13 +15,14 @@ anchors are one stretch of the suffix array of the whole corpus.  So
    members of one interval share r bytes to the right.  They are split by their
    left extension of `length` - r bytes, found the same way from the array
    sorted leftwards, so a group is one repeated string with *all* its
-   occurrences, not just neighbours.  All but those of the smallest document
+   sent occurrences, not just neighbours.  All but those of the smallest document
    are covered;
 4. covered stretches go back to the blocks, where the bytes are cut out.
 
-`maximal_repeats` is the plain form of step 3 on one sorted stretch: a stack
-scan yields every interval, and the diversity of the bytes to the left tells
-which ones are maximal repeats.  `repeat_groups` reports them for a corpus.
+The removal needs the cuts at `length` bytes only, so the query reports no
+maximal repeats.  `maximal_repeats` is the plain form of step 3 on one sorted
+stretch, off the query's path: a stack scan yields every interval, and the
+diversity of the bytes to the left tells which ones are maximal repeats.
 
 Skew.  A block sends the smallest document's occurrences of each distinct
 neighbourhood; the other documents' are covered without leaving it.  Anchors with
