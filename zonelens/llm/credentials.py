@@ -39,9 +39,9 @@ _KEYS = "|".join([_either_case(w) for w in ("password", "passwd", "secret", "tok
 ASSIGN = re.compile(rf"""(?=[PpSsTtAa])(?:{_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-WEAK_ID = re.compile(r"""\b(?:client_id|account_id|user(?:name)?|login)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.@-]{3,64})""")
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])[A-Za-z0-9+/_=-]{20,}")
-ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc:[a-z]{2,12}|postgres|mysql|redis|amqp)://[^\s"'<>|]{4,200}|\b[a-z0-9.-]{4,64}\.[a-z]{2,6}:[0-9]{2,5}\b""")
+WEAK_ID = re.compile(r"""\b(?:client_id|account_id|user(?:name)?|login)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.@-]{3,})""")
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}")
+ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc:[a-z]{2,12}|postgres|mysql|redis|amqp)://[^\s"'<>|]{4,}+|\b[a-z0-9.-]{4,64}\.[a-z]{2,6}:[0-9]{2,5}\b""")
 
 ROLE = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
 
