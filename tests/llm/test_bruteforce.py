@@ -202,6 +202,16 @@ def test_pii_field():
         assert len(pii_crf.added_spans(crf, [text], [pii_crf.base_spans(text)])[0]) == n, text
 
 
+def test_pii_field_long_domain():
+    crf = pii_crf.fit()
+    for text, mail in (("contact {} about it", "lee at department dot universityofsomewhere dot edu"),
+                       ("drop {} a line", "jane.roe at physics dot universityofsomewhereverylong dot edu")):
+        text = text.format(mail)
+        assert [text[a:b] for a, b, _ in pii_crf.added_spans(crf, [text], [pii_crf.base_spans(text)])[0]] == [mail]
+    for mail in ("x at some-department dot long-university-name dot edu", f"x at {'a' * 60} dot {'b' * 60} dot edu"):
+        assert pii_crf.windows(f"see {mail}") == [(0, len(mail) + 4)]
+
+
 def test_viterbi_equals_enumeration():
     import itertools
     crf = pii_crf.fit()

@@ -79,7 +79,8 @@ on 17.05.2024 at 9.30 the 2nd part
 """
 
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-TRIGGER = re.compile(r"[0-9@]|\b[Aa][Tt]\b")
+TRIGGER = re.compile(r"[0-9@]|\b(?:[Aa][Tt]|[Dd][Oo][Tt])\b")
+WORD_END = re.compile(r"\S*")
 
 
 # ---------------------------------------------------------------- base spans
@@ -309,12 +310,12 @@ def fit(labelled: list[tuple[str, list[tuple[int, int, str]]]] | None = None) ->
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at signs, ends moved out to blanks."""
+    """Stretches around digits, at signs and written-out dots, ends moved out to blanks."""
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        a, b = max(0, m.start() - CONTEXT), WORD_END.match(text, min(len(text), m.end() + CONTEXT)).end()
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(b, out[-1][1])
         else:
             out.append([a, b])
     for w in out:
