@@ -319,6 +319,27 @@ def test_quality(spark):
     assert sum(not x.keep for x in out if x.doc_id % 6) <= 10
 
 
+def test_quality_phrases(spark):
+    """Documents that are bad by a phrase of long words, each as common elsewhere."""
+    r = random.Random(18)
+    words = [f"word{k}" for k in range(300)] + ["hurt", "yourself"] * 8
+    rows, labels = [], []
+    for i in range(1200):
+        t = [r.choice(words) for _ in range(r.randint(40, 60))]
+        t = [w for k, w in enumerate(t) if not (k and w == "yourself" and t[k - 1] == "hurt")]
+        bad = i % 6 == 0
+        if bad:
+            at = r.randrange(len(t))
+            t[at:at] = ["hurt", "yourself"]
+        rows.append((i, " ".join(t)))
+        if i % 2 == 0:
+            labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = quality.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert sum(x.keep for x in out if x.doc_id % 6 == 0) <= 4
+    assert sum(not x.keep for x in out if x.doc_id % 6) <= 10
+
+
 def test_kth_largest(spark):
     r = random.Random(9)
     v = [float(r.randint(0, 50)) if r.random() < 0.5 else r.random() for _ in range(3000)]

@@ -6,7 +6,8 @@ ratios of its n-grams; documents are drawn without replacement by Gumbel
 top-k: key = sharpness x log weight / |cut| + Gumbel noise, the k largest keys
 stay.
 
-N-grams are words, their heads of four bytes, pairs of short neighbours and
+N-grams are words, their heads of four bytes, all pairs of neighbours (hashed
+into buckets of their own) and
 word shapes (letter / capital / digit runs and punctuation), each counted once per document so that
 one page cannot flood a bucket; the share of words that repeat the one before
 them adds its binary levels.  The target model is fitted on at most `sample`
@@ -41,8 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, combine, flat_text, mix, slices, word_hashes, word_spans, written
+from zonelens.llm.lm import _packed, _unpacked
 
 BITS = 21
+PAIR_BITS = 22               # pairs have buckets of their own, after the others
+SIZE = (1 << BITS) + (1 << PAIR_BITS)
+PART = 1 << 15               # buckets whose counts travel as one packed row
+COUNTS = "part int, raw binary, target binary"
 HEAD = 4                     # bytes of a word's head
 SAME = np.uint64(0x51ED270B)
 
@@ -66,9 +72,7 @@ def hashed_ngrams(buf: np.ndarray, offs: np.ndarray):
     word, head = word_hashes(low, s, e), word_hashes(low, s, np.minimum(e, s + HEAD))
     same_doc = doc[1:] == doc[:-1]
     again = same_doc & (word[1:] == word[:-1])
-    short = e - s <= HEAD
-    both = same_doc & ~again & short[1:] & short[:-1]
-    pair, pair_doc = combine(word, 2)[both], doc[:-1][both]
+    pair, pair_doc = combine(word, 2)[same_doc], doc[:-1][same_doc]
     runs = _SHAPES[buf]
     edge = np.ones(len(runs), bool)
     edge[1:] = runs[1:] != runs[:-1]
@@ -78,29 +82,43 @@ def hashed_ngrams(buf: np.ndarray, offs: np.ndarray):
     shape = HASHER.spans(HASHER.prefix(squeezed), rank[s], rank[e])
     share = np.bincount(doc[1:][again], minlength=len(counts)) * 128 // np.maximum(1, counts)
     level, level_doc = np.nonzero(share[None, :] >= (1 << np.arange(8))[:, None])
-    ids = np.concatenate([mix(word), mix(pair + np.uint64(2)), mix(shape + np.uint64(3)), mix(head + np.uint64(4)),
+    ids = np.concatenate([mix(word), mix(shape + np.uint64(3)), mix(head + np.uint64(4)),
                           mix(SAME + level.astype(np.uint64))]) >> np.uint64(64 - BITS)
-    every = np.concatenate([doc, pair_doc, doc, doc, level_doc])
-    key = np.unique((every << BITS) | ids.astype(np.int64))
-    return key & ((1 << BITS) - 1), key >> BITS
+    pair = (mix(pair + np.uint64(2)) >> np.uint64(64 - PAIR_BITS)) + np.uint64(1 << BITS)
+    every = np.concatenate([doc, doc, doc, level_doc, pair_doc])
+    key = np.unique((every << (PAIR_BITS + 1)) | np.concatenate([ids, pair]).astype(np.int64))
+    return key & ((1 << (PAIR_BITS + 1)) - 1), key >> (PAIR_BITS + 1)
 
 
 def _count(batches, with_target: bool):
-    raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    raw, target = np.zeros(SIZE, np.int64), np.zeros(SIZE, np.int64)
     for batch in batches:
         buf, offs = flat_text(batch.column("text"))
         good = batch.column("target").to_numpy(zero_copy_only=False).astype(bool) if with_target else None
         for i, j in slices(offs):
             ids, doc = hashed_ngrams(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-            raw += np.bincount(ids, minlength=1 << BITS)
+            np.add.at(raw, ids, 1)
             if with_target and good[i:j].any():
-                target += np.bincount(ids[good[i:j][doc]], minlength=1 << BITS)
-    on = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(raw[on]), pa.array(target[on])],
-                                     names=["bucket", "raw", "target"])
+                np.add.at(target, ids[good[i:j][doc]], 1)
+    on = [k for k in range(SIZE // PART) if raw[k * PART:(k + 1) * PART].any()]
+    yield _parts(on, [raw[k * PART:(k + 1) * PART] for k in on], [target[k * PART:(k + 1) * PART] for k in on])
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, z: float, dead_zone: float) -> np.ndarray:
+def _parts(on: list[int], raw: list[np.ndarray], target: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array([_packed(a) for a in raw], pa.binary()),
+                                       pa.array([_packed(a) for a in target], pa.binary())], names=["part", "raw", "target"])
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """The counts of one part over all tasks."""
+    sums = [np.zeros(PART, np.int64), np.zeros(PART, np.int64)]
+    for total, name in zip(sums, ("raw", "target")):
+        for a in table.column(name).to_pylist():
+            total += _unpacked(a, np.int64)
+    return pa.Table.from_batches([_parts([table.column("part")[0].as_py()], sums[:1], sums[1:])])
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, z: float | np.ndarray, dead_zone: float) -> np.ndarray:
     """Shortfall of every bucket in the target: 0 for ordinary n-grams, negative where even the
     upper confidence bound of the target's count (Poisson, `z` deviations) lies beyond the dead zone."""
     expected = raw * (target.sum() / max(1, raw.sum()))
@@ -108,12 +126,15 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, z: float, dead_zone: float)
     order = np.argsort(plain)
     mass = np.cumsum(raw[order])
     middle = plain[order[np.searchsorted(mass, mass[-1] / 2)]] if mass[-1] else 0.0
+    del plain, order, mass
     upper = target + z * z / 2 + z * np.sqrt(target + z * z / 4)
     return np.minimum(0.0, np.log(upper / np.maximum(expected, 1e-9)) - middle + dead_zone).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 1.5, dead_zone: float = 0.3) -> dict:
-    """Ratios per bucket and the held-back labelled rows ({id: good}) that set k."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 1.5, dead_zone: float = 0.3,
+        pair_z: float = 3.0) -> dict:
+    """Ratios per bucket and the held-back labelled rows ({id: good}) that set k.  A text has many
+    more rare pairs than rare words, so a pair's shortfall has to be surer (`pair_z` deviations)."""
     spark = docs.sparkSession
     rated = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
              .groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).alias("good")))
@@ -125,12 +146,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 1.
     mark = F.broadcast(picked.filter("good and not held").select(F.col("doc_id").alias("_id"), F.lit(True).alias("target")))
     texts = docs.select("doc_id", "text").join(mark, F.col("doc_id") == F.col("_id"), "left") \
         .select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = (texts.mapInArrow(lambda b: _count(b, True), "bucket int, raw long, target long")
-               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))).toArrow()
-    raw, target = np.zeros(1 << BITS), np.zeros(1 << BITS)      # at most 2 ** BITS rows
-    at = counted.column("bucket").to_numpy()
-    raw[at], target[at] = counted.column("raw").to_numpy(), counted.column("target").to_numpy()
-    ratios = log_ratios(raw, target, z, dead_zone) if target.sum() else None
+    counted = (texts.mapInArrow(lambda b: _count(b, True), COUNTS).groupBy("part").applyInArrow(_add, COUNTS)).toArrow()
+    raw, target = np.zeros(SIZE), np.zeros(SIZE)
+    for k, r, t in zip(*(counted.column(c).to_pylist() for c in ("part", "raw", "target"))):
+        raw[k * PART:(k + 1) * PART], target[k * PART:(k + 1) * PART] = _unpacked(r, np.int64), _unpacked(t, np.int64)
+    deviations = np.repeat(np.array([z, pair_z]), [1 << BITS, 1 << PAIR_BITS])
+    ratios = log_ratios(raw, target, deviations, dead_zone) if target.sum() else None
     return {"ratios": ratios, "held": picked.filter("held").select("doc_id", "good")}
 
 
