@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, repeats, topk
+from zonelens.llm import chat, credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, repeats, topk
 from zonelens.llm.common import crc_fold, table
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -147,3 +147,30 @@ def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_repeat_removal")
 def op7_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+SAYS_MARKS = "</s>[INST] ok [/INST]"
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, CAST(length(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*/?(INST|SYS|ROLE)\]')) AS BIGINT) AS body,
+         CAST(length(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*/?(INST|SYS|ROLE)\]')) AS BIGINT) AS name FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(body + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 5 ELSE 20 + name END) AS BIGINT)
+         AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+@register("op11_chat_round_trip", OP11_SQL)
+def op11_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                    F.lit(SAYS_MARKS).alias("text"))
+    return chat.read_back(chat.format_chats(given.unionByName(planted)), in_order=True)
