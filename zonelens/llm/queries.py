@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import chat, credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, repeats, topk
-from zonelens.llm.common import crc_fold, table
+from zonelens.llm import chat, credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, repeats, topk, trie
+from zonelens.llm.common import crc_fold, table, written
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
 
@@ -174,3 +174,45 @@ def op11_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                     F.lit(SAYS_MARKS).alias("text"))
     return chat.read_back(chat.format_chats(given.unionByName(planted)), in_order=True)
+
+
+OP12_SQL = """
+WITH t AS (
+  SELECT conv_id, md5(CAST(octet_length(encode(r)) AS VARCHAR) || ':' || r || x) AS key, length(x) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CAST(octet_length(encode(r)) AS VARCHAR) || ':' || r || x)) AS pos
+  FROM (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda s: CAST(ascii(s) AS BIGINT))), lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+           lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+turns AS (
+  SELECT conv_id, pos, key, chars FROM t JOIN c USING (conv_id) WHERE pos > h
+  UNION ALL SELECT c.conv_id, pos, key, chars FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h),
+conv AS (SELECT c.conv_id, coalesce(k, []) AS k, coalesce(n, []) AS n FROM c LEFT JOIN (
+  SELECT conv_id, list(key ORDER BY pos) AS k, list(chars ORDER BY pos) AS n FROM turns GROUP BY conv_id) USING (conv_id)),
+p AS (SELECT conv_id, d, array_to_string(k[1:d], ',') AS node, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS chars, d = len(k) AS ends
+      FROM (SELECT *, unnest(range(0, len(k) + 1)) AS d FROM conv)),
+nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+                 coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids FROM p GROUP BY node, d),
+up AS (SELECT node, d, conv_id, CASE WHEN d > 0 THEN left(node, greatest(33 * (d - 1) - 1, 0)) END AS above FROM nodes),
+kids AS (SELECT above, count(*) AS n FROM up WHERE d > 0 GROUP BY above),
+sub AS (SELECT left(node, greatest(33 * a - 1, 0)) AS node, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves
+        FROM (SELECT node, saved, node NOT IN (SELECT above FROM kids) AS leaf, unnest(range(0, d + 1)) AS a FROM nodes) GROUP BY 1)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, par.conv_id AS parent_conv_id, nodes.n_convs,
+       CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(sub.leaves AS BIGINT) AS n_leaves,
+       CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(nodes.ids) AS ends_sha256
+FROM nodes JOIN up USING (node) JOIN sub USING (node) LEFT JOIN kids ON kids.above = nodes.node
+LEFT JOIN nodes par ON par.node = up.above"""
+
+
+@register("op12_prefix_trie", OP12_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(spark, trie.positions(table(spark, sf_dir, "conversations")), "turns")
+    head = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
+    convs = turns.filter("at = 1").select("conv_id", head.alias("h"))
+    own = turns.filter(F.col("at") > head)
+    base = turns.filter("at <= 5 and conv_id % 100 = 0").withColumnRenamed("conv_id", "base")
+    lent = (convs.filter("h > 0").join(base, F.expr("conv_id - conv_id % 100 = base and at <= h"))
+            .select("conv_id", "at", "key", "chars"))
+    return trie.prefix_trie(trie.with_roots(own.unionByName(lent), convs)).drop("node")
