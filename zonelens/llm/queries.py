@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import chat, credentials, decontam, langid, lm, packing, parity_join, pii_crf, quality, repeats, topk, trie
+from zonelens.llm import (chat, credentials, decontam, langid, lm, packing, parity_join, phrases, pii_crf, quality, repeats, topk,
+                          trie)
 from zonelens.llm.common import crc_fold, table, written
 from zonelens.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -216,3 +217,32 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     lent = (convs.filter("h > 0").join(base, F.expr("conv_id - conv_id % 100 = base and at <= h"))
             .select("conv_id", "at", "key", "chars"))
     return trie.prefix_trie(trie.with_roots(own.unionByName(lent), convs)).drop("node")
+
+
+OP13_SQL = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g, count(*) AS f
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(m) WHERE len(w) >= m)
+      GROUP BY ALL HAVING count(*) >= 10),
+cut AS (SELECT lang, g, m, f, string_split(g, ' ') AS w, unnest(range(1, m)) AS k FROM g WHERE m > 1),
+s AS (
+  SELECT c.lang, c.g, c.f, c.k, x.f AS l, y.f AS r, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+  FROM cut c JOIN g x ON x.lang = c.lang AND x.g = array_to_string(c.w[:c.k], ' ')
+             JOIN g y ON y.lang = c.lang AND y.g = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM s),
+inside AS (SELECT lang, g, max(f) AS f FROM (
+  SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g FROM cut WHERE m = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.g = b.g
+         WHERE o = 1 AND (i.f IS NULL OR 100 * i.f < 50 * b.f)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, g) AS rank FROM kept)
+SELECT lang, rank, g AS phrase, f AS a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@register("op13_phrase_mining", OP13_SQL)
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
