@@ -2,8 +2,9 @@
 
 Each job is a handful of DataFrame actions.  The delta is written once, as its
 Parquet output, and read back for its other consumers (JSON copy, counts,
-manifest and the new state), so the plan is not run again.  Outputs of a window are overwritten as a whole, and
-the new state goes to a new path that the caller swaps in afterwards.
+manifest and the new state), so the plan is not run again.  Outputs of a window are overwritten as a whole.
+The state is either layered (`SeenLayers`: the window's pairs are appended) or a table that is written whole
+to a new path, which the caller swaps in afterwards.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from zonelens.operators import audit as A
 from zonelens.operators import parking as K
 from zonelens.operators.rollup import rollup_measurements
+from zonelens.operators.seen_layers import SeenLayers
 from zonelens.session import checkpoint_root
 from zonelens.sinks import writers as W
 
@@ -29,11 +31,14 @@ class IncompleteWindow(RuntimeError):
     """The window lacks shard files; its delta would miss domains for good."""
 
 
-def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, seen: DataFrame | None,
-              snap: str, out_root: str, seen_out: str, config_version: int = 1,
+def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, seen: DataFrame | SeenLayers | None,
+              snap: str, out_root: str, seen_out: str | None = None, config_version: int = 1,
               missing: DataFrame | None = None) -> dict:
     """JOB-5 / JOB-6 / JOB-7 with sinks SNK-4, SNK-5, SNK-6, SNK-8.
 
+    `seen` as `SeenLayers`: the window's pairs are appended to that state as a run.  As a
+    table: the state is merged with them and written whole to `seen_out`.
+
     `missing` (`housekeeping.missing_shards` of the window) is the completeness
     gate: with any row in it nothing is written.  The delta is written once;
     its JSON copy, counts, manifest and the new state are derived from the files.
@@ -45,7 +50,8 @@ def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, see
         if some:
             raise IncompleteWindow(f"{snap}: missing {', '.join(some)}")
     out = out_root.rstrip("/")
-    delta = K.parking_delta(obs_window, certs, providers, seen, snap)
+    state = seen.read() if isinstance(seen, SeenLayers) else seen
+    delta = K.parking_delta(obs_window, certs, providers, state, snap)
     W.write_per_provider(delta, f"{out}/delta", "parquet")
     delta = spark.read.schema(delta.schema).parquet(f"{out}/delta").select(*delta.columns)
     W.write_per_provider(delta, f"{out}/delta_jsonl", "json")
@@ -57,7 +63,12 @@ def run_delta(obs_window: DataFrame, certs: DataFrame, providers: DataFrame, see
     for r in counts.filter(F.col("new_domains") == 0).select("provider").collect():
         empty.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/delta/provider={r.provider}")
     K.delta_manifest(counts, snap, config_version).coalesce(1).write.mode("overwrite").json(f"{out}/manifest")
-    W.write_seen_state(K.merge_seen(seen, delta, snap), seen_out)
+    if isinstance(seen, SeenLayers):
+        seen.append(delta, snap)
+        seen.compact()
+        seen_out = seen.root
+    else:
+        W.write_seen_state(K.merge_seen(seen, delta, snap), seen_out)
     return {"delta": f"{out}/delta", "counts": f"{out}/counts", "manifest": f"{out}/manifest", "seen": seen_out}
 
 

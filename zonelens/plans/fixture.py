@@ -71,6 +71,27 @@ def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("provider", "domain", snap_tag_of_ms("first_ms").alias("first_snap"), "first_ms"))
 
 
+def layered_state(spark: SparkSession, root: str, prior: DataFrame, fanout: int = 3):
+    """The state before the 'now' half as layers: one run per window, then compacted."""
+    from zonelens.operators.seen_layers import SeenLayers
+    layers = SeenLayers(spark, root, fanout=fanout)
+    for row in prior.select("first_snap").distinct().orderBy("first_snap").collect():       # one row per window
+        layers.append(prior.filter(F.col("first_snap") == row.first_snap), row.first_snap)
+    layers.compact()
+    return layers
+
+
+def seen_layers(spark: SparkSession, sf_dir: str):
+    """`layered_state` of the fixture, written once per session."""
+    from zonelens.operators.seen_layers import SeenLayers
+    key = ("seen-layers", *_source_key(spark, sf_dir))
+    if key not in _STORED:
+        root = scratch_path(spark, "seen-layers")
+        layered_state(spark, root, seen(spark, sf_dir))
+        _STORED[key] = root
+    return SeenLayers(spark, _STORED[key])
+
+
 def certs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
     return P.certificates(spark, sf_dir).filter(F.col("half") == half)
 

@@ -101,6 +101,67 @@ def seen_merge(spark, sf):
     return K.merge_seen(X.seen(spark, sf), X.delta(spark, sf, "now"), P.NOW_SNAP)
 
 
+@register("seen_layers", SEEN_MERGED_SQL)
+def seen_layers(spark, sf):
+    """The state as layers: several windows, the current one written twice, compacted."""
+    from zonelens.session import scratch_path
+    layers = X.layered_state(spark, scratch_path(spark, "seen-layers"), X.seen(spark, sf))
+    for _ in range(2):
+        layers.append(K.parking_delta(X.obs_half(spark, sf, "now"), X.certs_half(spark, sf, "now"), P.providers(spark),
+                                      layers.read(), P.NOW_SNAP), P.NOW_SNAP)
+    layers.compact()
+    return layers.merged()
+
+
+@register("parking_new_layers", O.with_(*BASE, *FRESH) + f"SELECT {NS_COLS} FROM fresh")
+def parking_new_layers(spark, sf):
+    """The window's new pairs against the bucketed state, which is not exchanged."""
+    t = K.parking_today(X.obs_half(spark, sf, "now"), P.providers(spark))
+    return _lists(K.parking_new(t, X.seen_layers(spark, sf).read(), P.NOW_SNAP))
+
+
+@register("delta_job_layers", SEEN_MERGED_SQL)
+def delta_job_layers(spark, sf):
+    """The delta job with a layered state: the state after it."""
+    from zonelens.jobs import run_delta
+    from zonelens.session import scratch_path
+    base = scratch_path(spark, "delta-layers")
+    layers = X.layered_state(spark, f"{base}/seen", X.seen(spark, sf))
+    run_delta(X.obs_half(spark, sf, "now"), X.certs_half(spark, sf, "now"), P.providers(spark), layers, P.NOW_SNAP, f"{base}/out")
+    return layers.merged()
+
+
+REBUILT_SQL = O.with_(*BASE, hits_sql("before", "prev"), hits_sql("hits", "now")) + f"""
+SELECT provider, domain, arg_min(snap, (first_ms, snap)) AS first_snap, min(first_ms) AS first_ms
+FROM (SELECT provider, domain, first_ms, '{P.PREV_SNAP}' AS snap FROM before
+      UNION ALL SELECT provider, domain, first_ms, '{P.NOW_SNAP}' FROM hits)
+GROUP BY provider, domain"""
+
+
+@register("seen_rebuild", REBUILT_SQL)
+def seen_rebuild(spark, sf):
+    """Two windows run one after the other, the first seeding each provider; the state is then
+    rebuilt from the stored deltas and must equal the running one, which has a row more per difference."""
+    from zonelens.operators.seen_layers import SeenLayers, rebuild_seen, seed_provider
+    from zonelens.session import scratch_path
+    base = scratch_path(spark, "seen-rebuild")
+    layers = SeenLayers(spark, f"{base}/seen")
+    prev = X.obs_half(spark, sf, "prev")
+    names = [r.provider for r in K.active_provider_names(P.providers(spark)).collect()]     # config rows
+    seeds = None
+    for name in names:
+        part = seed_provider(prev, P.providers(spark), name)
+        seeds = part if seeds is None else seeds.unionByName(part)
+    seeds.write.parquet(f"{base}/deltas/snap={P.PREV_SNAP}")
+    layers.append(spark.read.parquet(f"{base}/deltas/snap={P.PREV_SNAP}"), P.PREV_SNAP)
+    today = K.parking_today(X.obs_half(spark, sf, "now"), P.providers(spark))
+    K.parking_new(today, layers.read(), P.NOW_SNAP).select("provider", "domain", "first_ms") \
+        .write.parquet(f"{base}/deltas/snap={P.NOW_SNAP}")
+    layers.append(spark.read.parquet(f"{base}/deltas/snap={P.NOW_SNAP}"), P.NOW_SNAP)
+    rebuilt = rebuild_seen(spark.read.parquet(f"{base}/deltas"))
+    return rebuilt.unionAll(layers.merged().exceptAll(rebuilt))
+
+
 def united(c: str) -> str:
     """The union of comma-joined sets over the rows of a group."""
     return f"list_aggregate(list_sort(list_distinct(string_split(string_agg({c}, ','), ','))), 'string_agg', ',') AS {c}"
