@@ -83,3 +83,18 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_out):
     got = [(r.window_end_ms, r.ip, r.n) for r in spark.read.parquet(f"{tmp_out}/out").collect()]
     assert got == [(12 * H, "1.1.1.1", 1)]
     assert late_rows(prog) == 1
+
+
+def test_a_batch_reads_the_slots_of_its_pairs(spark, tmp_out):
+    from zonelens.streaming.first_seen import SLOTS, new_pairs, read_state, slot_of, write_state
+    state = spark.range(4000).selectExpr("'p' AS provider", "concat('d', id, '.com') AS domain", "'snap-2026-01-01-00' AS first_snap",
+                                         "id AS first_ms")
+    write_state(state, f"{tmp_out}/batch=00000003")
+    per = spark.createDataFrame([("p", "d7.com", "snap-2026-01-02-00", 1), ("p", "new.com", "snap-2026-01-02-00", 2)],
+                                "provider string, domain string, snap string, first_ms long")
+    slots = [r[0] for r in per.select(slot_of()).distinct().collect()]
+    some = read_state(spark, tmp_out, slots=slots)
+    assert some.select(F.input_file_name()).distinct().count() == len(slots) <= 2 < SLOTS
+    assert some.count() < 4000 / SLOTS * 2 * len(slots)
+    assert [tuple(r) for r in new_pairs(per, some).collect()] == [("p", "new.com", "snap-2026-01-02-00", 2)]
+    assert read_state(spark, tmp_out, without_batch=3).count() == 0 and read_state(spark, tmp_out).count() == 4000
