@@ -26,3 +26,29 @@ def test_drift_once_per_field(spark):
     p = ['{"certIndex": 1, "new_a": 1}', '{"new_a": 2, "new_b": 3}', '[1]', 'broken']
     got = {(r.field, r.first_offset, r.n) for r in C.json_drift(env(spark, p)).collect()}
     assert got == {("new_a", 0, 2), ("new_b", 1, 1)}
+
+
+def test_exponents_of_any_size(spark):
+    """A certificate log can quote any number; none of them may end the query."""
+    from decimal import Decimal, localcontext
+    import re
+    texts = ["1e3", "1.25e1", "1e2147483647", "1e99999999999", "1e-99999999999", "-1e99999999999999999999999",
+             "0e99999999999999999999999", "9223372036854775807", "9223372036854775808", "9223372036854775807.9",
+             "9.223372036854775807e18", "9.223372036854775808e18", "-9.223372036854775808e18", "1e18", "1e19", "123456e-3",
+             "0." + "0" * 49 + "1e60", "0" * 60 + "5e1", "0" * 60 + "12", "-0.5", "+3", "1.", "1.x", ".5", "1e", "", "x", " 7 "]
+
+    def exact(t):
+        if not re.fullmatch(r"\s*[-+]?[0-9]+(\.[0-9]*)?([eE][-+]?[0-9]+)?\s*", t):
+            return None
+        with localcontext() as c:
+            c.prec, c.Emax, c.Emin = 300, 10 ** 17, -10 ** 17
+            head, _, exp = t.strip().lower().partition("e")
+            if Decimal(head) == 0 or int(exp or 0) < -200:
+                return 0
+            if int(exp or 0) > 200:
+                return None
+            whole = int(Decimal(head) * Decimal(10) ** int(exp or 0))
+        return whole if -2 ** 63 <= whole < 2 ** 63 else None
+    rows = [f'{{"certIndex": {i}, "seen": "{t}"}}' for i, t in enumerate(texts)]
+    got = {r.certIndex: r.seen for r in C.parse_certificates(env(spark, rows)).collect()}
+    assert got == {i: exact(t) for i, t in enumerate(texts)}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from zonelens.functions.names import ns_apex, strip_leading_dot
 from zonelens.operators.catalogue import TOPIC, pinned
-from zonelens.operators.joins import broadcast_if_small
+from zonelens.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 from zonelens.operators.parking import active_suffixes
 
 
@@ -48,8 +48,9 @@ def ns_audit_topk(obs: DataFrame, k: int = 500, samples: int = 5, topic: str | N
              .agg(F.count(F.lit(1)).alias("distinct_ns_hosts"), F.min("s").alias("sample_ns_host")))
     counts = doms.groupBy("ns_apex").agg(F.count(F.lit(1)).alias("new_domains"))
     top = counts.join(hosts, "ns_apex").orderBy(F.desc("new_domains"), "ns_apex").limit(k)
-    # the samples are wanted for the top apexes only
-    of_top = doms.join(broadcast_if_small(top.select("ns_apex")), "ns_apex", "left_semi")
+    # the samples are wanted for the top apexes only; the limit itself proves their number
+    names = top.select("ns_apex")
+    of_top = doms.join(F.broadcast(names) if k <= BROADCAST_MAX_ROWS else names, "ns_apex", "left_semi")
     sample = first_n_per_group(of_top, "ns_apex", "d", samples).withColumnRenamed("_firstn", "sample_domains")
     return (top.join(sample, "ns_apex", "left")
             .select("ns_apex", "new_domains", "distinct_ns_hosts", "sample_ns_host", "sample_domains"))

@@ -18,24 +18,38 @@ from zonelens.schemas import CERTIFICATE, CERTIFICATE_TEXT
 
 def coerce_int(text: Column) -> Column:
     """PRJ-10: JSON number text -> BIGINT, fraction dropped (toward zero); NULL if not a number
-    or beyond BIGINT.  Exact: plain numbers keep only the digits before the point, and a number
-    with an exponent has its point moved in the text, so nothing is ever rounded."""
+    or beyond BIGINT.  Exact: a whole number is cast, of a plain fraction the digits before the
+    point are, and a number with an exponent has its point moved in the text, so nothing is ever
+    rounded.  The patterns run only on texts that the cheap casts leave over."""
     t = F.trim(text)
-    sign = F.regexp_extract(t, NUMBER, 1)
-    whole, frac = F.regexp_extract(t, NUMBER, 2), F.regexp_extract(t, NUMBER, 3)
-    exp = F.regexp_extract(t, NUMBER, 4).try_cast(T.IntegerType())
-    digits, point = F.concat(whole, frac), F.length(whole) + exp
-    moved = F.when(point <= 0, F.lit("0")).when(point > 40, F.lit(None)).otherwise(
-        F.rpad(F.substring(digits, F.lit(1), F.least(point, F.length(digits))), point, "0"))
-    zero = (F.length(digits) > 0) & (F.length(F.translate(digits, "0", "")) == 0)
-    out = F.when(zero, F.lit("0")).when(exp.isNull(), whole).otherwise(moved)
-    return F.when(t.rlike(NUMBER) & (F.length(whole) > 0), F.concat(sign, out).try_cast(T.LongType()))
+    return F.when(t.rlike(WHOLE), t.try_cast(T.LongType())) \
+        .when(t.rlike(FRACTION), F.substring_index(t, ".", 1).try_cast(T.LongType())) \
+        .when(t.rlike(NUMBER), _with_exponent(t))
+
+
+def _with_exponent(t: Column) -> Column:
+    """The whole part of a number with an exponent, of any size: exponents are compared as BIGINT,
+    and one of more than 18 digits moves every digit there is out of reach."""
+    part = lambda k: F.regexp_extract(t, NUMBER, k)
+    written = F.regexp_replace(part(4), "^[-+]?0*", "")
+    size = F.when(F.length(written) > 18, F.lit(10 ** 18)).otherwise(
+        F.coalesce(written.try_cast(T.LongType()), F.lit(0).cast("bigint")))
+    all_digits = F.concat(part(2), part(3))
+    digits = F.regexp_replace(all_digits, "^0+", "")
+    point = (F.length(part(2)) - F.length(all_digits) + F.length(digits)
+             + F.when(t.rlike("[eE]-"), -size).otherwise(size))
+    places = point.try_cast(T.IntegerType())
+    moved = F.rpad(F.substring(digits, F.lit(1), places), places, "0")
+    out = F.when((digits == "") | (point <= 0), F.lit("0")).when(point <= 19, moved)       # 20 digits are beyond BIGINT
+    return F.concat(part(1), out).try_cast(T.LongType())
 
 
 def payload_text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
+WHOLE = r"^[-+]?[0-9]+$"
+FRACTION = r"^[-+]?[0-9]+\.[0-9]*$"
 # sign, digits before and after the point, exponent
 NUMBER = r"^([-+]?)([0-9]+)(?:\.([0-9]*))?(?:[eE]([-+]?[0-9]+))?$"
 CORRUPT = "_corrupt"

@@ -27,14 +27,15 @@ OBS_KEY = ["k", "topic", "d", "s", "m", "q", "ip", "pr", "rc"]
 def flatten_measurements(envelopes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Envelope + decoded measurement -> one row per answer, order kept in `pos`.
 
-    Expects columns `topic` (long or short name), `offset` and a struct
-    `measurement` (id, resultList).  A NULL or empty list yields no rows.
+    Expects columns `topic` (long or short name), `partition` (0 where there is none),
+    `offset` and a struct `measurement` (id, resultList).  A NULL or empty list yields no rows.
     """
     m = F.col("measurement")
+    part = F.col("partition") if "partition" in envelopes.columns else F.lit(0)
     x = envelopes.select(
-        topic_tag("topic").alias("topic"), "offset", *keep, m.getField("id").alias("id"),
+        topic_tag("topic").alias("topic"), part.alias("partition"), "offset", *keep, m.getField("id").alias("id"),
         F.posexplode(m.getField("resultList")).alias("pos", "r"))
-    return x.select("offset", "pos", "topic", *keep, "id",
+    return x.select("partition", "offset", "pos", "topic", *keep, "id",
                     *[F.col("r").getField(c).alias(c) for c in ANSWER_COLUMNS])
 
 
@@ -48,8 +49,9 @@ def classify_answers(answers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """
     dom = strip_dots("id")
     qn = strip_dots("query_name")
+    part = F.col("partition") if "partition" in answers.columns else F.lit(0)
     x = answers.select(
-        *keep, "offset", "pos", "topic", dom.alias("dom"), qn.alias("qn"),
+        *keep, part.alias("partition"), "offset", "pos", "topic", dom.alias("dom"), qn.alias("qn"),
         F.col("query_type").alias("qt"), F.col("timestamp").alias("ts"),
         F.coalesce(F.col("status_code").cast("bigint"), F.lit(0).cast("bigint")).alias("rc"),
         F.col("response_ttl").cast("bigint").alias("tl"),
@@ -67,7 +69,7 @@ def classify_answers(answers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     kc = F.col("k")
     ipk = kc.isin("ip", "ns_ip")
     return y.select(
-        *keep, "offset", "pos", "ts", "k", "topic",
+        *keep, "partition", "offset", "pos", "ts", "k", "topic",
         F.when(kc != "ns_ip", F.col("dom")).alias("d"),
         F.when(kc == "ns_ip", F.col("qn")).when(kc == "ns", F.col("nsv")).alias("s"),
         F.when(kc == "mx", F.col("mxv")).alias("m"),
@@ -84,11 +86,11 @@ def classify_answers(answers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def rollup_observations(answers: DataFrame, window_cols: Sequence[str] = ()) -> DataFrame:
     """AGG-1: one row per (window, kind key) with fs / ls / n and first-arrival attributes.
 
-    `tl, a, c, p` come from the lowest (offset, pos), not the lowest time;
+    `tl, a, c, p` come from the lowest (partition, offset, pos), not the lowest time;
     a NULL of that first arrival is kept.  A NULL time is ignored by the
     min / max and still counted.
     """
-    c = classify_answers(answers, keep=window_cols).withColumn("_ord", arrival("offset", "pos"))
+    c = classify_answers(answers, keep=window_cols).withColumn("_ord", arrival("partition", "offset", "pos"))
     # the raw answers are combined by hash: every buffer of this step has a fixed width
     v = c.groupBy(*window_cols, *OBS_KEY, "a", "c", "p").agg(
         F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"),
@@ -100,14 +102,17 @@ def rollup_observations(answers: DataFrame, window_cols: Sequence[str] = ()) ->
     return finish_rollup(g, window_cols)
 
 
-def arrival(offset: str, pos: str):
-    """Order of arrival as one number: the offset, then the place in the message."""
-    return F.col(offset).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col(pos).cast("decimal(10,0)")
+def arrival(partition: str, offset: str, pos: str):
+    """Order of arrival as one number: the partition (offsets are counted per partition), the
+    offset, then the place in the message."""
+    at = lambda c, places: F.coalesce(F.col(c), F.lit(0)).cast(f"decimal({places},0)")
+    return ((at(partition, 10) * F.lit(str(1 << 94)).cast("decimal(29,0)")
+             + at(offset, 20) * F.lit(1 << 31).cast("decimal(10,0)")) + at(pos, 10)).cast("decimal(38,0)")
 
 
 def rollup_aggregates():
     """The per-key aggregates of AGG-1 in one step, as the streaming rollup keeps them."""
-    first = F.min_by(F.struct("tl", "a", "c", "p"), F.struct("offset", "pos"))
+    first = F.min_by(F.struct("tl", "a", "c", "p"), F.struct("partition", "offset", "pos"))
     return [F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"), first.alias("f")]
 
 

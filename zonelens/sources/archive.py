@@ -39,11 +39,11 @@ def observations(spark: SparkSession, root: str, layout: str = "spark", samples:
                  schema: T.StructType = OBSERVATION) -> DataFrame:
     """SRC-7 / SRC-8 / SRC-10 / SRC-11: the archive as one DataFrame with `file_path`.
 
-    Files written with an older column set are merged by name (missing
-    columns read as NULL, as the declared schema drives the read).
+    The declared schema drives the read: columns are found by name, and one that an older
+    file lacks reads as NULL.
     """
     root = root.rstrip("/")
-    r = spark.read.option("basePath", root).option("mergeSchema", "true")
+    r = spark.read.option("basePath", root)
     if layout == "spark":
         df = r.schema(_with_parts(schema, SPARK_PARTS)).parquet(f"{root}/topic_name=*/date=*/hour=*/shard=*")
     else:
