@@ -56,7 +56,7 @@ CORRUPT = "_corrupt"
 _PARSE_SCHEMA = T.StructType(CERTIFICATE_TEXT.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def parse_certificates(envelopes: DataFrame) -> DataFrame:
+def parse_certificates(envelopes: DataFrame, extra: list[Column] | None = None) -> DataFrame:
     """JOB-3 / SRC-3 / PRJ-10..12: JSON envelopes -> certificate rows (S3) + `_offset`, `_ok`.
 
     `_ok` is false for an empty payload, text that is not a JSON object or
@@ -64,10 +64,12 @@ def parse_certificates(envelopes: DataFrame) -> DataFrame:
     Such rows carry NULL fields and are counted as errors by `json_stats`.
     The parse is emitted through a one-row generator, so a later filter on
     `_ok` cannot be pushed beneath it and parse the text a second time.
+    `extra` columns over the envelope are carried along.
     """
     txt = payload_text(F.col("value"))
     parsed = F.from_json(txt, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    row = F.struct(F.col("topic"), F.col("offset").alias("_offset"), F.coalesce(F.octet_length("value"), F.lit(0)).alias("_bytes"), parsed.alias("j"))
+    row = F.struct(F.col("topic"), F.col("offset").alias("_offset"), F.coalesce(F.octet_length("value"), F.lit(0)).alias("_bytes"), parsed.alias("j"),
+                   *(extra or []))
     x = envelopes.select(F.inline(F.array(row)))
     j = F.col("j")
     ok = (F.col("_bytes") > 0) & j.isNotNull() & j.getField(CORRUPT).isNull()
@@ -75,7 +77,48 @@ def parse_certificates(envelopes: DataFrame) -> DataFrame:
     for f in CERTIFICATE.fields:
         c = j.getField(f.name)
         fields.append((coerce_int(c) if isinstance(f.dataType, T.LongType) else c).alias(f.name))
-    return x.select("topic", "_offset", F.coalesce(ok, F.lit(False)).alias("_ok"), "_bytes", *fields)
+    carried = x.columns[4:]
+    return x.select("topic", "_offset", F.coalesce(ok, F.lit(False)).alias("_ok"), "_bytes", *fields, *carried)
+
+
+KNOWN = tuple(f.name for f in CERTIFICATE.fields)
+
+
+def ingest_rows(envelopes: DataFrame, known=KNOWN) -> DataFrame:
+    """JOB-3 in one pass: every message as one row that says all the job wants of it: `kind`
+    (certificate or reject), the certificate's fields, its `unknown` top-level fields (NULL: none)
+    and, for a reject, the raw payload."""
+    named = F.json_object_keys(payload_text(F.col("value")))
+    unknown = F.filter(F.array_except(named, F.array(*[F.lit(k) for k in known])), lambda k: k.isNotNull())
+    parsed = parse_certificates(envelopes, extra=[F.when(F.size(unknown) > 0, unknown).alias("unknown"), F.col("value").alias("_raw")])
+    kind = F.when(F.col("_ok"), "certificate").otherwise("reject")
+    return parsed.select(kind.alias("kind"), "topic", "_offset", "_bytes", *CERTIFICATE.names, "unknown",
+                         F.when(~F.col("_ok"), F.col("_raw")).alias("raw"))
+
+
+def ingest_metrics() -> list[Column]:
+    """What is counted while `ingest_rows` are written (one topic)."""
+    return [F.max("topic").alias("topic"), F.count_if(F.col("_bytes") > 0).alias("msgs"),
+            F.count_if(F.col("kind") == "reject").alias("errors"), F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes_in"),
+            F.count_if(F.col("kind") == "certificate").alias("lines_written"),
+            F.min("_offset").alias("first_offset"), F.max("_offset").alias("last_offset")]
+
+
+METRICS = ("topic string, msgs long, errors long, bytes_in long, lines_written long, first_offset long, last_offset long")
+
+
+def metrics_report(metrics: DataFrame) -> DataFrame:
+    """`json_stats` from the counts of one or more writes of a topic."""
+    out = metrics.filter("topic is not null").groupBy("topic").agg(
+        *(F.sum(c).alias(c) for c in ("msgs", "errors", "bytes_in", "lines_written")),
+        (F.max("last_offset") - F.min("first_offset") + 1).alias("offset_span"))
+    return out.withColumn("coverage_pct", pct("msgs", "offset_span"))
+
+
+def drift_of(rows: DataFrame) -> DataFrame:
+    """STR-7 from written `ingest_rows`: reads the few rows with unknown fields."""
+    keys = rows.filter("unknown is not null").select("topic", "_offset", F.explode("unknown").alias("field"))
+    return keys.groupBy("topic", "field").agg(F.min("_offset").alias("first_offset"), F.count(F.lit(1)).alias("n"))
 
 
 def certificates_only(parsed: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 __all__ = ["write_observations", "write_json_lines", "write_csv", "write_per_provider",
-           "write_seen_state", "write_audit", "sample_first_n", "write_rows_per_group"]
+           "write_seen_state", "write_audit", "sample_first_n", "write_rows_per_group", "write_ingest"]
 
 # fixed values of the observation files
 ZSTD_LEVEL = 3
@@ -69,6 +69,11 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     w.parquet(path)
 
 
+def write_ingest(rows: DataFrame, path: str) -> None:
+    """The rows of an ingest job, split by `kind`; the folder is this run's alone."""
+    _parquet(rows, "overwrite").partitionBy("kind").option("partitionOverwriteMode", "static").parquet(path)
+
+
 def write_rows_per_group(df: DataFrame, path: str, rows: int = ROW_GROUP_ROWS) -> None:
     """SNK-2: bounded memory per row group: at most `rows` rows in each (files may hold many)."""
     _parquet(df, "overwrite").option("parquet.block.row.count.limit", rows).parquet(path)
