@@ -90,16 +90,28 @@ def rollup_observations(answers: DataFrame, window_cols: Sequence[str] = ()) ->
     a NULL of that first arrival is kept.  A NULL time is ignored by the
     min / max and still counted.
     """
+    return finish_rollup(partial_rollup(answers, window_cols), window_cols)
+
+
+def partial_rollup(answers: DataFrame, window_cols: Sequence[str] = ()) -> DataFrame:
+    """The rollup of some of a window's answers in a form that merges: one row per (window, key)
+    with fs / ls / n, the first arrival `f` and its place in the order of arrival `ord`."""
     c = classify_answers(answers, keep=window_cols).withColumn("_ord", arrival("partition", "offset", "pos"))
     # the raw answers are combined by hash: every buffer of this step has a fixed width
     v = c.groupBy(*window_cols, *OBS_KEY, "a", "c", "p").agg(
         F.min("ts").alias("fs"), F.max("ts").alias("ls"), F.count(F.lit(1)).alias("n"),
         F.min_by("tl", "_ord").alias("tl"), F.min("_ord").alias("_ord"))
     # then the few variants of a key are put together
-    g = v.groupBy(*window_cols, *OBS_KEY).agg(
+    return v.groupBy(*window_cols, *OBS_KEY).agg(
+        F.min("fs").alias("fs"), F.max("ls").alias("ls"), F.sum("n").alias("n"),
+        F.min_by(F.struct("tl", "a", "c", "p"), "_ord").alias("f"), F.min("_ord").alias("ord"))
+
+
+def merge_partials(partials: DataFrame, window_cols: Sequence[str] = ()) -> DataFrame:
+    """Partial rollups of the same windows put together, in the same form."""
+    return partials.groupBy(*window_cols, *OBS_KEY).agg(
         F.min("fs").alias("fs"), F.max("ls").alias("ls"), F.sum("n").alias("n"),
-        F.min_by(F.struct("tl", "a", "c", "p"), "_ord").alias("f"))
-    return finish_rollup(g, window_cols)
+        F.min_by("f", "ord").alias("f"), F.min("ord").alias("ord"))
 
 
 def arrival(partition: str, offset: str, pos: str):

@@ -52,6 +52,32 @@ FROM (SELECT half, off, ts, topic, rcode, asn, cc, ttl, ip, pref, k,
 WHERE k IS NOT NULL
 GROUP BY half, k, topic, d, s, m, q, ip, pref, rcode)"""
 
+# messages of many answers: one per domain, topic and day, newest answer first, in three partitions
+MESSAGES = r"""dated AS (SELECT *, ts // 86400000 AS day FROM keyed),
+messages AS (
+SELECT * EXCLUDE (ts, asn), ts AS at, CASE WHEN off % 11 <> 0 THEN ts END AS ts, CASE WHEN off % 7 <> 0 THEN asn END AS asn,
+       max(ts) OVER same AS broker_ms,
+       (min(off) OVER same % 3) * 1000000000000000 + (min(off) OVER same // 3) * 100000
+         + row_number() OVER (PARTITION BY domain, topic, day, half ORDER BY off DESC) AS arrival
+FROM dated WINDOW same AS (PARTITION BY domain, topic, day, half))"""
+
+
+def message_rollup(window: str) -> str:
+    """The rollup of `messages` per `window`: attributes of the first arrival, its NULLs included."""
+    return f"""rolled AS (
+SELECT {window}, k, topic, d, s, m, q, ip, f.a, f.c, CAST(NULL AS VARCHAR) AS p, CAST(pref AS BIGINT) AS pr, CAST(f.tl AS BIGINT) AS tl,
+       CAST(fs AS BIGINT) AS fs, CAST(ls AS BIGINT) AS ls, CAST(n AS BIGINT) AS n, CAST(NULLIF(rcode, 0) AS BIGINT) AS rc
+FROM (SELECT {window}, k, topic, d, s, m, q, ip, pref, rcode, min(ts) AS fs, max(ts) AS ls, count(*) AS n,
+             arg_min({{'a': CASE WHEN k IN ('ip', 'ns_ip') THEN asn END, 'c': CASE WHEN k IN ('ip', 'ns_ip') THEN cc END, 'tl': ttl}},
+                     arrival) AS f
+      FROM (SELECT *, (broker_ms // 43200000 + 1) * 43200000 AS window_end_ms,
+                   CASE WHEN qname = domain THEN domain END AS d,
+                   CASE WHEN qtype IN ('A', 'AAAA') AND qname <> domain THEN qname WHEN qtype = 'NS' THEN ns END AS s,
+                   mx AS m, CASE WHEN qtype IN ('A', 'AAAA') THEN qtype END AS q
+            FROM messages WHERE k IS NOT NULL)
+      GROUP BY {window}, k, topic, d, s, m, q, ip, pref, rcode))"""
+
+
 CERT_NAMES = r"""cert_names AS (
 SELECT off AS certIndex, concat('log', CAST(off % 4 AS VARCHAR)) AS source, md5(CAST(off AS VARCHAR)) AS fingerprint, half,
        domain AS name FROM dns_rows WHERE qtype = 'AAAA'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zonelens.operators.rollup import extract_rows, flatten_measurements
+from zonelens.operators.rollup import extract_rows, flatten_measurements, rollup_measurements
 from zonelens.plans import fixture as X
 from zonelens.plans import oracle as O
 from zonelens.plans.registry import register
@@ -14,6 +14,7 @@ from zonelens.sources import archive as A
 from zonelens.sources import projection as P
 from zonelens.streaming.first_seen import final_state, run_first_seen
 from zonelens.streaming.rollup_stream import run_available_now, streaming_rollup
+from zonelens.streaming.window_rollup import run_window_rollup, window_observations
 
 WATERMARK = "1 hour"
 WATERMARK_MS = 3_600_000
@@ -92,3 +93,24 @@ FROM keyed WHERE half = 'prev' AND k IS NOT NULL""")
 def legacy_union(spark, sf):
     legacy = A.read_legacy_json(spark, _legacy_root(spark, sf) + "/*.json.gz")
     return A.union_legacy(X.obs_half(spark, sf, "now").drop("half"), legacy)
+
+
+MESSAGE_CTES = (O.DNS_ROWS, O.KEYED, O.MESSAGES)
+
+
+@register("obs_rollup_messages", O.with_(*MESSAGE_CTES, O.message_rollup("half")) + "SELECT * FROM rolled")
+def obs_rollup_messages(spark, sf):
+    """The rollup of messages that carry many answers, over several partitions."""
+    return rollup_measurements(P.message_envelopes(spark, sf), window_cols=["half"])
+
+
+@register("stream_rollup_messages", O.with_(*MESSAGE_CTES, O.message_rollup("window_end_ms")) + "SELECT * FROM rolled")
+def stream_rollup_messages(spark, sf):
+    """The same messages in files out of order, streamed: windows of broker time, late messages
+    added to the windows that were closed before they came, the windows still open on top."""
+    base = scratch_path(spark, "stream-messages")
+    env = P.message_envelopes(spark, sf)
+    env.repartition(5, F.pmod(F.xxhash64("offset", "partition", "topic"), F.lit(5))).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    run_window_rollup(stream, f"{base}/out", f"{base}/checkpoint")
+    return window_observations(spark, f"{base}/out", include_open=True)

@@ -126,6 +126,31 @@ def measurement_envelopes_of(r: DataFrame) -> DataFrame:
     )
 
 
+# fixed values of the message fixture: partitions of a topic, answers without an origin AS, without a time
+MESSAGE_PARTITIONS = 3
+NO_ASN_EVERY = 7
+NO_TIME_EVERY = 11
+
+
+def message_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurement messages with many answers each, over several partitions: a domain's answers of
+    one topic and day are one message, newest answer first; the broker stamps it with the time of
+    its last answer.  Offsets are counted per partition, so different messages share them.  Some
+    answers have no origin AS, some no time."""
+    r = dns_rows(spark, sf_dir).withColumn("day", F.floor(F.col("ts") / 86_400_000))
+    r = r.withColumn("asn", F.when(F.col("off") % NO_ASN_EVERY != 0, F.col("asn"))).withColumn("at", F.col("ts"))
+    r = r.withColumn("ts", F.when(F.col("off") % NO_TIME_EVERY != 0, F.col("ts")))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("off", _answer_row(r).alias("answer"))), asc=False),
+                         lambda x: x["answer"])
+    m = r.groupBy("domain", "topic", "day", "half").agg(listed.alias("resultList"), F.min("off").alias("first"), F.max("at").alias("at"))
+    long_topic = F.create_map(*[F.lit(x) for kv in _LONG_TOPIC.items() for x in kv])[F.col("topic")]
+    return m.select(
+        long_topic.alias("topic"), (F.col("first") % MESSAGE_PARTITIONS).cast("int").alias("partition"),
+        F.expr(f"first DIV {MESSAGE_PARTITIONS}").alias("offset"), F.timestamp_millis("at").alias("timestamp"), "half",
+        F.struct(F.col("domain").alias("id"), F.lit("DNS").alias("measurement_type"), F.lit("OK").alias("state"),
+                 F.col("at").alias("request_timestamp"), "resultList").alias("measurement"))
+
+
 def cert_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Certificate log entries already unnested: certIndex, source, fingerprint, half, name."""
     c = certificates(spark, sf_dir)

@@ -1,11 +1,12 @@
 """STR-1 / STR-2 / STR-3 / STR-5: the observation rollup as a streaming aggregation.
 
-Messages are grouped by the 12-hour event-time window of the answer and by
+Messages are grouped by the 12-hour window of their broker time (`broker_time`, the
+envelope's timestamp; without that column the answer's own time) and by
 the observation key; the state holds min / max / count and the first-arrival
-attributes (`min_by` over (offset, pos)).  With a watermark, append mode
+attributes (`min_by` over (partition, offset, pos)).  With a watermark, append mode
 emits a window once the watermark passes its end and drops its state; a row
 older than the watermark of the previous micro-batch is dropped by the state
-operator (and counted in the query's progress metrics).  `availableNow` processes what is there and
+operator (and counted in the query's progress metrics; `window_rollup` keeps such rows).  `availableNow` processes what is there and
 stops, as the reference's bounded per-window jobs do.
 """
 
@@ -27,10 +28,13 @@ def streaming_rollup(answers: DataFrame, watermark: str = "1 hour", window: str
 
     Output: window_end_ms, date, hour and the 16 observation columns.
     """
-    # an answer without a time has no window; the watermark could never close
-    # it, so its state would be kept forever: it is left out of the stream
-    c = (classify_answers(answers).filter(F.col("ts").isNotNull())
-         .withColumn("event_time", F.timestamp_millis("ts")))
+    if "broker_time" in answers.columns:
+        c = classify_answers(answers, keep=["broker_time"]).withColumnRenamed("broker_time", "event_time")
+    else:
+        # an answer without a time has no window; the watermark could never close
+        # it, so its state would be kept forever: it is left out of the stream
+        c = (classify_answers(answers).filter(F.col("ts").isNotNull())
+             .withColumn("event_time", F.timestamp_millis("ts")))
     c = c.withWatermark("event_time", watermark)
     g = c.groupBy(F.window("event_time", window).alias("w"), *OBS_KEY).agg(*rollup_aggregates())
     g = g.withColumn("window_end_ms", F.unix_millis(F.col("w.end"))).drop("w")
@@ -87,4 +91,5 @@ def kafka_rollup_stream(spark, bootstrap: str, topic: str, start_ms: int, writer
     from zonelens.sources.kafka import decode_measurements, stream_topic
     env = decode_measurements(stream_topic(spark, bootstrap, topic, start_ms, max_offsets_per_trigger),
                               writer_schema_json)
-    return streaming_rollup(flatten_measurements(env), watermark)
+    env = env.withColumn("broker_time", F.col("timestamp"))
+    return streaming_rollup(flatten_measurements(env, keep=["broker_time"]), watermark)
