@@ -6,8 +6,8 @@ Plan notes (per window, about 10^8 NS rows at full scale):
   as a nested loop.  `match_providers` instead explodes each host into its
   dot-led suffixes and equi-joins them with the (size-checked, broadcast)
   suffix table: one scan, a hash join, the same multiset of matches.
-* The certificate side is first reduced by a semi join on today's domains,
-  then aggregated per apex (combined map-side), then left-joined, instead of
+* The certificate side is first reduced at its scan by a digest of today's
+  domains, then by a semi join on them, then aggregated per apex (combined map-side), then left-joined, instead of
   joining raw certificate names and grouping by list columns afterwards.
 * The anti join with the seen state is an equi join on (provider, domain);
   the state is the large side and is shuffled / sort-merged, never broadcast
@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonelens.functions.bitmaps import key_digest, maybe_in
 from zonelens.functions.names import apex_of, label_suffixes, target_url
 from zonelens.operators.joins import broadcast_if_small
 
@@ -99,6 +100,18 @@ def _nonempty(c: Column) -> Column:
     return F.when(F.size(c) > 0, c)
 
 
+def wanted_names(certs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """JOIN-3: the certificate names whose apex is a `domain` of `wanted`.
+
+    The names are tested against a digest of the wanted domains while the log is scanned (its
+    size is bounded, see `functions.bitmaps`), so what is shuffled for the exact join follows
+    the matches, not the log.
+    """
+    apexes = wanted.select(F.col("domain").alias("apex")).distinct()
+    names = maybe_in(ct_names(certs), "apex", key_digest(apexes, "apex"))
+    return names.join(apexes, "apex", "left_semi")
+
+
 def ct_signal(today_new: DataFrame, certs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """JOIN-3 / AGG-8: attach sorted distinct CT sources / fingerprints by apex.
 
@@ -107,9 +120,7 @@ def ct_signal(today_new: DataFrame, certs: DataFrame, wanted: DataFrame | None =
     certificate side before its aggregation; any superset of today_new's
     domains gives the same result.
     """
-    names = ct_names(certs)
-    wanted = (wanted if wanted is not None else today_new).select(F.col("domain").alias("apex")).distinct()
-    per_apex = (names.join(wanted, "apex", "left_semi").groupBy("apex")
+    per_apex = (wanted_names(certs, wanted if wanted is not None else today_new).groupBy("apex")
                 .agg(F.sort_array(F.collect_set("source")).alias("ct_sources"),
                      F.sort_array(F.collect_set("fingerprint")).alias("ct_fingerprints")))
     j = today_new.join(per_apex, today_new["domain"] == per_apex["apex"], "left")
@@ -128,6 +139,29 @@ def ct_signal_rows(today_new: DataFrame, certs: DataFrame) -> DataFrame:
             .distinct())
 
 
+CHUNK = 10_000               # values in one list of `ct_signal_chunks`, about
+
+
+def ct_signal_chunks(today_new: DataFrame, certs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """AGG-8 for apexes of any size: the distinct fingerprints of each domain in numbered lists
+    of about `chunk` values: (domain, chunk, n_chunks, n_values, ct_fingerprints), every one kept.
+
+    Distinct in two levels: values are combined on (apex, value), so an apex with a third of all
+    certificates is spread over all tasks; its size is then a count of partial counts.  A value's
+    chunk follows from its own digest, so no task holds or numbers a whole apex.
+    """
+    names = wanted_names(certs, today_new).filter(F.col("fingerprint").isNotNull())
+    values = names.select("apex", "fingerprint").distinct()
+    sizes = values.groupBy("apex").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("long").alias("n_chunks"))
+    place = F.conv(F.substring(F.md5(F.col("fingerprint").cast("binary")), 1, 8), 16, 10).cast("long")
+    # apexes of one chunk have no size to look up: only the few large ones are joined
+    large = sizes.filter("n_chunks > 1")
+    rows = (values.join(large.withColumnRenamed("apex", "big"), F.col("apex") == F.col("big"), "left")
+            .withColumn("n_chunks", F.coalesce("n_chunks", F.lit(1).cast("long"))))
+    return (rows.groupBy(F.col("apex").alias("domain"), F.pmod(place, F.col("n_chunks")).alias("chunk"), "n_chunks")
+            .agg(F.count(F.lit(1)).alias("n_values"), F.sort_array(F.collect_list("fingerprint")).alias("ct_fingerprints")))
+
+
 def parking_delta(obs: DataFrame, certs: DataFrame, providers: DataFrame,
                   seen: DataFrame | None, snap: str, method: str = "labels") -> DataFrame:
     """JOB-5: the S4 delta of one window.

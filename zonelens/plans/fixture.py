@@ -55,6 +55,20 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+CLUSTERED_FILES = 16
+
+
+def clustered(spark: SparkSession, sf_dir: str) -> str:
+    """The observation table in files of disjoint key ranges."""
+    from zonelens.sinks.writers import write_clustered
+    key = ("clustered", *_source_key(spark, sf_dir))
+    if key not in _STORED:
+        path = scratch_path(spark, "obs-clustered")
+        write_clustered(rollup(spark, sf_dir), path, partition_cols=["half"], files=CLUSTERED_FILES)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def obs_half(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
     return obs(spark, sf_dir).filter(F.col("half") == half)
 

@@ -10,6 +10,7 @@ from zonelens.operators import housekeeping as H
 from zonelens.plans import fixture as X
 from zonelens.plans import oracle as O
 from zonelens.plans.registry import register
+from zonelens.session import scratch_path
 from zonelens.sources import archive as A
 from zonelens.sources.tables import table
 
@@ -204,3 +205,85 @@ def ns_audit_recent(spark, sf):
     from zonelens.operators.audit import ns_audit_topk, recent
     t = ns_audit_topk(recent(_archive(spark, sf), AUDIT_TODAY, AUDIT_DAYS), 500)
     return t.withColumn("sample_domains", F.array_join("sample_domains", ","))
+
+
+SLIDES = 10                     # the report is slid over so many days
+SLIDE_DAYS = 5                  # of so many days each
+
+
+def _slides() -> list[tuple[str, str]]:
+    from datetime import date, timedelta
+    last = date.fromisoformat(AUDIT_TODAY)
+    ends = [last - timedelta(days=SLIDES - 1 - i) for i in range(SLIDES)]
+    return [((d - timedelta(days=SLIDE_DAYS)).isoformat(), d.isoformat()) for d in ends]
+
+
+def _sliding_sql() -> str:
+    parts = []
+    for first, last in _slides():
+        body = O.audit_sql(f"""SELECT d, s FROM aobs WHERE date BETWEEN '{first}' AND '{last}'
+            AND topic = 'domains' AND k = 'ns' AND s IS NOT NULL AND d IS NOT NULL""", 500)
+        parts.append(f"SELECT '{last}' AS today, * FROM (WITH {body} SELECT * FROM audit)")
+    return W_ARCH + " UNION ALL ".join(parts)
+
+
+@register("audit_sliding", _sliding_sql())
+def audit_sliding(spark, sf):
+    """The audit slid over ten days, each report merged from the windows' stored sets."""
+    from zonelens.operators.audit_sets import AuditSets
+    key = ("audit-sets", *X._source_key(spark, sf))
+    if key not in X._STORED:
+        root = scratch_path(spark, "audit-sets")
+        sets, archive = AuditSets(spark, root), _archive(spark, sf)
+        first = _slides()[0][0]
+        wins = archive.filter(F.col("date") >= first).select("date", "hour").distinct().orderBy("date", "hour").collect()
+        for w in wins:                                       # one row per window
+            sets.append(archive.filter((F.col("date") == w.date) & (F.col("hour") == w.hour)), f"snap-{w.date}-{w.hour}")
+        X._STORED[key] = root
+    sets = AuditSets(spark, X._STORED[key])
+    out = None
+    for first, last in _slides():
+        part = sets.report(f"snap-{first}-00", f"snap-{last}-12").select(F.lit(last).alias("today"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("sample_domains", F.array_join("sample_domains", ","))
+
+
+@register("apex_top_asn", W_ARCH + f""", doms AS (
+SELECT DISTINCT {O.last_two_labels('s')} AS ns_apex, d FROM aobs WHERE topic = 'domains' AND k = 'ns' AND s IS NOT NULL AND d IS NOT NULL),
+hosted AS (SELECT DISTINCT d, a FROM aobs WHERE topic = 'domains' AND k = 'ip' AND d IS NOT NULL AND a IS NOT NULL),
+per AS (SELECT ns_apex, a, count(*) AS n FROM doms JOIN hosted USING (d) GROUP BY ns_apex, a)
+SELECT ns_apex, a AS top_asn, n AS asn_domains, n_asns, CAST(hosted_domains AS BIGINT) AS hosted_domains
+FROM (SELECT *, count(*) OVER (PARTITION BY ns_apex) AS n_asns, sum(n) OVER (PARTITION BY ns_apex) AS hosted_domains,
+             row_number() OVER (PARTITION BY ns_apex ORDER BY n DESC, a) AS r FROM per) WHERE r = 1""")
+def apex_top_asn(spark, sf):
+    """The AS that hosts most domains of each name-server apex."""
+    from zonelens.operators.audit import top_asn_per_apex
+    return top_asn_per_apex(_archive(spark, sf))
+
+
+# in the planted window every delegation of the archive goes to the inactive provider
+SURGE_DATE, SURGE_HOUR, SURGE_HOST, SURGE_N = "2024-01-20", "12", "ns1.bigdns.io", 14
+
+
+@register("surge", O.with_(O.DNS_ROWS, O.KEYED, CFG_SQL, SLICED, ARCHIVE_OBS, O.PROVIDERS, f"""
+planted AS (SELECT epoch_ms(strptime(date || hour, '%Y-%m-%d%H')) AS window_end_ms, d, k,
+                   CASE WHEN (date, hour) = ('{SURGE_DATE}', '{SURGE_HOUR}') THEN '{SURGE_HOST}' ELSE s END AS s FROM aobs),
+hits AS (SELECT provider, window_end_ms, count(DISTINCT d) AS domains FROM planted JOIN providers ON ends_with(s, suffix)
+         WHERE NOT active AND k = 'ns' AND d IS NOT NULL GROUP BY ALL),
+grid AS (SELECT w.window_end_ms, p.provider FROM (SELECT DISTINCT window_end_ms FROM planted) w,
+         (SELECT DISTINCT provider FROM providers WHERE NOT active) p),
+filled AS (SELECT provider, window_end_ms, coalesce(domains, 0) AS domains FROM grid LEFT JOIN hits USING (provider, window_end_ms)),
+based AS (SELECT *, median(domains) OVER f AS baseline, mad(domains) OVER f AS spread_of, count(*) OVER f AS n FROM filled
+          WINDOW f AS (PARTITION BY provider ORDER BY window_end_ms ROWS BETWEEN {SURGE_N} PRECEDING AND 1 PRECEDING))""") + f"""
+SELECT provider, window_end_ms, domains, CAST(baseline AS DOUBLE) AS baseline, greatest(1.0, 1.4826 * spread_of)::DOUBLE AS spread
+FROM based WHERE n = {SURGE_N} AND domains >= 5 AND domains > baseline + 3.0 * greatest(1.0, 1.4826 * spread_of)""")
+def surge(spark, sf):
+    """Windows in which an inactive provider surges against its last windows."""
+    from zonelens.operators.audit import provider_windows, surge_report
+    from zonelens.sources.projection import providers
+    o = _archive(spark, sf)
+    end = F.unix_millis(F.to_timestamp(F.concat("date", "hour"), "yyyy-MM-ddHH"))
+    there = (F.col("date") == SURGE_DATE) & (F.col("hour") == SURGE_HOUR)
+    o = o.withColumn("window_end_ms", end).withColumn("s", F.when(there, SURGE_HOST).otherwise(F.col("s")))
+    idle = providers(spark).filter("not active").select("provider", "suffix", F.lit(True).alias("active"))
+    return surge_report(provider_windows(o, idle, o.select("window_end_ms")), SURGE_N)

@@ -78,8 +78,11 @@ def cert_ip_exact(spark, sf):
     return C.cert_ip_join(certs, X.obs_half(spark, sf, "now"), ASN, match="exact")
 
 
-@register("ns_domains", WP + f"""
-SELECT d AS domain, fs, ls, n FROM pinned WHERE (half, k, s) = ('now', 'ns', '{NS_HOST}')""")
+NS_DOMAINS_SQL = WP + f"""
+SELECT d AS domain, fs, ls, n FROM pinned WHERE (half, k, s) = ('now', 'ns', '{NS_HOST}')"""
+
+
+@register("ns_domains", NS_DOMAINS_SQL)
 def ns_domains(spark, sf):
     return C.ns_domains(X.obs_half(spark, sf, "now"), NS_HOST)
 
@@ -131,8 +134,11 @@ def as_change(spark, sf):
 LOOKUP_DOMAIN = "d7.net"
 
 
-@register("domain_lookup", W + f"""
-SELECT half, k, topic, d, s, m, q, ip, a, c, p, pr, tl, fs, ls, n, rc FROM obs WHERE d = '{LOOKUP_DOMAIN}' ORDER BY fs""")
+LOOKUP_SQL = W + f"""
+SELECT half, k, topic, d, s, m, q, ip, a, c, p, pr, tl, fs, ls, n, rc FROM obs WHERE d = '{LOOKUP_DOMAIN}' ORDER BY fs"""
+
+
+@register("domain_lookup", LOOKUP_SQL)
 def domain_lookup(spark, sf):
     """Point lookup of one domain over the stored observations (all kinds, all windows)."""
     o = X.obs(spark, sf)
@@ -143,3 +149,19 @@ def domain_lookup(spark, sf):
 def ip_rows(spark, sf):
     """AGG-17: global count with a filter (one window's `ip` rows)."""
     return X.obs_half(spark, sf, "now").filter(F.col("k") == "ip").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _clustered(spark, sf):
+    return spark.read.schema(X.OBS_FILE_SCHEMA).parquet(X.clustered(spark, sf))
+
+
+@register("domain_lookup_clustered", LOOKUP_SQL)
+def domain_lookup_clustered(spark, sf):
+    """The point lookup over files of disjoint key ranges."""
+    o = _clustered(spark, sf)
+    return o.filter(F.col("d") == LOOKUP_DOMAIN).select(o.columns).orderBy("fs")
+
+
+@register("ns_domains_clustered", NS_DOMAINS_SQL)
+def ns_domains_clustered(spark, sf):
+    return C.ns_domains(_clustered(spark, sf).filter(F.col("half") == "now"), NS_HOST)

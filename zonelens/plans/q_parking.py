@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from zonelens.functions.names import ns_apex
 from zonelens.operators import audit as A
 from zonelens.operators import parking as K
 from zonelens.plans import fixture as X
@@ -266,3 +267,20 @@ FROM vol WHERE ends_with(s, '.{P.HOT_APEX}') GROUP BY s""")
 def volume_concentration(spark, sf):
     from zonelens.operators.catalogue import ns_concentration
     return ns_concentration(P.lineitem_ns_obs(spark, sf), "." + P.HOT_APEX, topic=None)
+
+
+# certificates of the volume fixture: one per line, for the name server's apex; chunks of so many fingerprints
+VOLUME_CHUNK = 500
+
+
+@register("volume_ct_chunks", "WITH " + VOLUME_NS.replace("SELECT 'ns' AS k", "SELECT md5(l_orderkey || '-' || l_linenumber) AS fp, 'ns' AS k") + f"""
+, certs AS (SELECT DISTINCT {O.last_two_labels('s')} AS domain, fp FROM vol),
+sizes AS (SELECT domain, (count(*) + {VOLUME_CHUNK - 1}) // {VOLUME_CHUNK} AS n_chunks FROM certs GROUP BY domain)
+SELECT domain, CAST(('0x' || substr(md5(fp), 1, 8))::BIGINT % n_chunks AS BIGINT) AS chunk, n_chunks, count(*) AS n_values,
+       string_agg(fp, ',' ORDER BY fp) AS ct_fingerprints
+FROM certs JOIN sizes USING (domain) GROUP BY ALL""")
+def volume_ct_chunks(spark, sf):
+    """The certificate signal of apexes of which one holds a third of all certificates, in numbered lists."""
+    certs = P.lineitem_certs(spark, sf)
+    wanted = P.lineitem_ns_obs(spark, sf).select(ns_apex("s").alias("domain")).distinct()
+    return _lists(K.ct_signal_chunks(wanted, certs, VOLUME_CHUNK))

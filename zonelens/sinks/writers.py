@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 __all__ = ["write_observations", "write_json_lines", "write_csv", "write_per_provider",
-           "write_seen_state", "write_audit", "sample_first_n", "write_rows_per_group", "write_ingest"]
+           "write_seen_state", "write_audit", "sample_first_n", "write_rows_per_group", "write_ingest", "write_clustered"]
 
 # fixed values of the observation files
 ZSTD_LEVEL = 3
@@ -69,6 +69,21 @@ def write_observations(obs: DataFrame, path: str, partition_cols: Sequence[str]
     w.parquet(path)
 
 
+def write_clustered(obs: DataFrame, path: str, partition_cols: Sequence[str] = (), files: int | None = None,
+                    mode: str = "overwrite") -> None:
+    """SNK-1 with disjoint key ranges: rows are dealt by sampled ranges of (partition columns, k, d,
+    s, ip) and sorted, so the files of a window follow one another in (k, d) and a lookup of a
+    domain opens one or two of them.  A kind or domain with very many rows is cut at its name
+    server or address instead of filling one task.  `files`: ranges over all windows."""
+    keys = [*partition_cols, "k", "d", "s", "ip"]
+    n = files or int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = obs.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    w = _parquet(df, mode)
+    if partition_cols:
+        w = w.partitionBy(*partition_cols).option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
 def write_ingest(rows: DataFrame, path: str) -> None:
     """The rows of an ingest job, split by `kind`; the folder is this run's alone."""
     _parquet(rows, "overwrite").partitionBy("kind").option("partitionOverwriteMode", "static").parquet(path)

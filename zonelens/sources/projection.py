@@ -228,3 +228,13 @@ def lineitem_ns_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"ELSE concat('h', CAST(l_suppkey % {COLD_APEXES} AS STRING), '.org') END) AS s",
         "CAST(l_quantity AS BIGINT) AS n", "unix_millis(CAST(l_shipdate AS TIMESTAMP)) AS fs",
         "unix_millis(CAST(l_shipdate AS TIMESTAMP)) AS ls")
+
+
+def lineitem_certs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`lineitem` as certificates, for volume: one per line, naming its name server (so one apex
+    is named by a third of them)."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber")
+    host = (f"CASE WHEN l_suppkey % 3 = 0 THEN '{HOT_APEX}' ELSE concat('h', CAST(l_suppkey % {COLD_APEXES} AS STRING), '.org') END")
+    return li.selectExpr("concat('log', CAST(l_linenumber % 2 AS STRING)) AS source",
+                         "md5(CAST(concat(l_orderkey, '-', l_linenumber) AS BINARY)) AS fingerprint",
+                         f"array(concat('ns', CAST(l_linenumber % 2 + 1 AS STRING), '.', {host}), concat('*.', upper({host}), '.')) AS domain_list")
