@@ -41,7 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 WEAK_ID = re.compile(r"""\b(?:client_id|account_id|user(?:name)?|login)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.@-]{3,})""")
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}")
-ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc:[a-z]{2,12}|postgres|mysql|redis|amqp)://[^\s"'<>|]{4,}+|\b[a-z0-9.-]{4,64}\.[a-z]{2,6}:[0-9]{2,5}\b""")
+ENDPOINT = re.compile(r"""\b(?:https?|ftp|s3|jdbc:[a-z]{2,}+|postgres|mysql|redis|amqp)://[^\s"'<>|]{4,}+|\b[a-z0-9.-]{4,253}\.[a-z]{2,6}:[0-9]{2,5}\b""")
 
 ROLE = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
 
@@ -72,6 +72,22 @@ def weak_parts(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def overlaps(spans: list[tuple[int, int]]):
+    """Test for a stretch that shares a character with some span: one look-up in their disjoint runs."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def test(start: int, end: int) -> bool:
+        k = bisect.bisect_left(starts, end) - 1
+        return k >= 0 and ends[k] > start
+    return test
+
+
 def near(spans: list[tuple[int, int]], reach: list[int], start: int, end: int, scope: int) -> bool:
     """Whether some span of a list sorted by start lies within `scope` of [start, end).
     reach[k]: the largest end among the first k + 1 spans."""
@@ -88,9 +104,8 @@ def linked(base, weak, scope: int) -> list[tuple[int, int, str]]:
             top = max(top, b)
             reach.append(top)
         return s, reach
-    taken, reach = index(base)
-    weak = [p for p in weak if not near(taken, reach, p[0], p[1] - 1, 0) or not any(
-        a < p[1] and p[0] < b for a, b in taken)]
+    taken = overlaps([(a, b) for a, b, _ in base])
+    weak = [p for p in weak if not taken(p[0], p[1])]
     roles = {(strong, role): index([p for p in parts if ROLE[p[2]] == role])
              for strong, parts in ((True, base), (False, weak)) for role in ("id", "secret", "endpoint")}
 
