@@ -394,3 +394,39 @@ def test_language_id(spark):
     out = queries.op1_language_id(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in out) >= 0.97 * len(out) and all(0 <= r.score <= 1 for r in out)
+
+
+def test_long_texts_take_linear_time():
+    """Digits without a blank, and thousands of linked parts: twice the text, about twice the time."""
+    import time
+
+    from zonelens.llm import credentials, pii_crf
+    crf = pii_crf.fit()
+
+    def personal(n):
+        text = "ab1/Xy22+" * n
+        return pii_crf.added_spans(crf, [text], [pii_crf.base_spans(text)])
+
+    def secrets(n):
+        text = "token=abcdefGHIJ12 user=bob99 " * n
+        base, weak = credentials.base_spans(text), credentials.weak_parts(text)
+        assert len(credentials.linked(base, weak, 200)) == n
+    for work, n in ((personal, 15_000), (secrets, 10_000)):
+        work(1000)
+        took = []
+        for k in (n, 4 * n):
+            start = time.process_time()
+            work(k)
+            took.append(time.process_time() - start)
+        assert took[1] < 8 * took[0] + 0.5, (work.__name__, took)
+
+
+def test_long_windows_are_decoded_in_pieces():
+    from zonelens.llm import pii_crf
+    crf = pii_crf.fit()
+    filler = "a1" * 2000
+    text = f"{filler} or ask k.lopez (at) example (dot) org directly {filler}x9 send it to maria (at) example (dot) net please {filler}"
+    (found,) = pii_crf.added_spans(crf, [text], [[]])
+    assert [text[a:b] for a, b, k in found if k == "email"] == ["k.lopez (at) example (dot) org", "maria (at) example (dot) net"]
+    toks = sum(last - first for first, last in (p[1:] for p in pii_crf._pieces(filler, 0, len(filler))))
+    assert toks == len(pii_crf.tokens_of(filler))

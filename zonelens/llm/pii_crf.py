@@ -31,10 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from zonelens.llm.credentials import overlaps
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 DIMS = 1 << 13
 CONTEXT = 40                 # characters decoded around a digit or an at sign
+PIECE, MARGIN = 1024, 64     # tokens decoded at a time in a very long window, and those beside them
+DECODED = 1 << 17            # tokens whose features are held at a time
 
 # The small labelled table; [kind|text] marks a span.
 LABELLED = """
@@ -172,11 +176,14 @@ def feature_ids(tokens: list[tuple[int, int, str]]) -> np.ndarray:
     glue = ["g" if k and tokens[k - 1][1] == tokens[k][0] else "s" for k in range(len(tokens))] + ["s"]
     s = ["<", "<"] + s + [">", ">"]
     word = [t.lower() if len(t) <= 5 and t.isalpha() else "" for _, _, t in tokens]
-    return np.array([[_slot(x) for x in (
-        f"c{s[k + 2]}", f"p{s[k + 1]}{glue[k]}", f"n{s[k + 3]}{glue[k + 1]}",
-        f"pc{s[k + 1]}{glue[k]}{s[k + 2]}", f"cn{s[k + 2]}{glue[k + 1]}{s[k + 3]}",
-        f"pcn{s[k + 1]}|{s[k + 2]}|{s[k + 3]}", f"pp{s[k]}|{s[k + 1]}|{s[k + 2]}", f"nn{s[k + 2]}|{s[k + 3]}|{s[k + 4]}",
-        f"w{word[k]}")] for k in range(len(tokens))], np.int64).reshape(len(tokens), 9)
+    return np.array([_slots(*s[k:k + 5], glue[k], glue[k + 1], word[k]) for k in range(len(tokens))], np.int64).reshape(len(tokens), 9)
+
+
+@lru_cache(maxsize=1 << 17)
+def _slots(pp: str, p: str, c: str, n: str, nn: str, before: str, after: str, word: str) -> tuple[int, ...]:
+    return tuple(_slot(x) for x in (
+        f"c{c}", f"p{p}{before}", f"n{n}{after}", f"pc{p}{before}{c}", f"cn{c}{after}{n}",
+        f"pcn{p}|{c}|{n}", f"pp{pp}|{p}|{c}", f"nn{c}|{n}|{nn}", f"w{word}"))
 
 
 def tokens_of(text: str, start: int = 0, end: int | None = None) -> list[tuple[int, int, str]]:
@@ -313,13 +320,16 @@ def windows(text: str) -> list[tuple[int, int]]:
     """Stretches around digits, at signs and written-out dots, ends moved out to blanks."""
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), WORD_END.match(text, min(len(text), m.end() + CONTEXT)).end()
+        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        if out and b <= out[-1][1]:
+            continue                    # the last window ends at a blank beyond: nothing is scanned twice
+        b = WORD_END.match(text, b).end()
         if out and a <= out[-1][1]:
-            out[-1][1] = max(b, out[-1][1])
+            out[-1][1] = b
         else:
             out.append([a, b])
     for w in out:
-        while w[0] > 0 and not text[w[0] - 1].isspace() and w[0] > out[0][0] - 200:
+        while w[0] > 0 and not text[w[0] - 1].isspace():
             w[0] -= 1
     return [(a, b) for a, b in out]
 
@@ -343,16 +353,40 @@ def fits(kind: str, text: str) -> bool:
 
 def added_spans(crf: Crf, texts: list[str], bases: list[list[tuple[int, int, str]]]):
     """What the random field finds beyond the base spans, per text."""
-    where, toks = [], []
-    for k, text in enumerate(texts):
-        if text:
-            for a, b in windows(text):
-                t = tokens_of(text, a, b)
-                if t:
-                    where.append(k)
-                    toks.append(t)
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    for k, t, y in zip(where, toks, crf.decode([feature_ids(t) for t in toks])):
+    held: list = []
+    size = 0
+    for k, text in enumerate(texts):
+        for a, b in windows(text) if text else ():
+            for piece in _pieces(text, a, b):
+                held.append((k, *piece))
+                size += len(piece[0])
+                if size >= DECODED:
+                    _decode_held(crf, texts, held, out)
+                    held, size = [], 0
+    _decode_held(crf, texts, held, out)
+    for k, base in enumerate(bases):
+        if out[k]:
+            taken = overlaps([(a, z) for a, z, _ in base])
+            out[k] = [s for s in out[k] if not taken(s[0], s[1])]
+    return out
+
+
+def _pieces(text: str, start: int, end: int):
+    """Tokens of a window and the range of them whose spans count: one piece, or for a very long
+    window pieces that overlap by MARGIN tokens on both sides."""
+    toks, first = [], 0
+    for m in TOKEN.finditer(text, start, end):
+        toks.append((m.start(), m.end(), m.group()))
+        if len(toks) == PIECE + 2 * MARGIN:
+            yield toks, first, PIECE + MARGIN
+            toks, first = toks[PIECE:], MARGIN
+    if len(toks) > first:
+        yield toks, first, len(toks)
+
+
+def _decode_held(crf: Crf, texts: list[str], held: list, out: list) -> None:
+    for (k, t, first, last), y in zip(held, crf.decode([feature_ids(h[1]) for h in held])):
         i = 0
         while i < len(t):
             lab = LABELS[y[i]]
@@ -361,11 +395,10 @@ def added_spans(crf: Crf, texts: list[str], bases: list[list[tuple[int, int, str
                 while j < len(t) and LABELS[y[j]] == "I" + lab[1:]:
                     j += 1
                 a, b, kind = t[i][0], t[j - 1][1], lab[2:]
-                if fits(kind, texts[k][a:b]) and not any(x < b and a < z for x, z, _ in bases[k]) \
-                        and not any(x < b and a < z for x, z, _ in out[k]):
+                # spans come in order, so only the last one can reach into the next
+                if first <= i < last and fits(kind, texts[k][a:b]) and not (out[k] and out[k][-1][1] > a):
                     out[k].append((a, b, kind))
             i = j
-    return out
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("source", pa.string())]))
