@@ -33,4 +33,4 @@ def joined(c, sep: str = ",") -> "F.Column":
 
 
 # the queries live in these modules; importing them fills the registry
-from zonelens.plans import q_archive, q_catalogue, q_ingest, q_parking, q_sql, q_stream  # noqa: E402,F401
+from zonelens.plans import q_archive, q_catalogue, q_files, q_ingest, q_parking, q_sql, q_stream  # noqa: E402,F401

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 __all__ = ["write_observations", "write_json_lines", "write_csv", "write_per_provider",
-           "write_seen_state", "write_audit", "sample_first_n", "write_rows_per_group", "write_ingest", "write_clustered"]
+           "write_seen_state", "write_audit", "sample_first_n", "write_rows_per_group", "write_ingest", "write_clustered", "sample_decoded"]
 
 # fixed values of the observation files
 ZSTD_LEVEL = 3
@@ -94,9 +95,9 @@ def write_rows_per_group(df: DataFrame, path: str, rows: int = ROW_GROUP_ROWS) -
     _parquet(df, "overwrite").option("parquet.block.row.count.limit", rows).parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite") -> None:
-    """SNK-3: JSON lines; NULL fields are left out of each line."""
-    w = df.write.mode(mode)
+def write_json_lines(df: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite", nulls: bool = False) -> None:
+    """SNK-3: JSON lines; NULL fields are left out of each line (`nulls`: written)."""
+    w = df.write.mode(mode).option("ignoreNullFields", str(not nulls).lower())
     if gzip:
         w = w.option("compression", "gzip")
     w.json(path)
@@ -143,6 +144,32 @@ def write_audit(topk: DataFrame, path: str) -> None:
     write_csv(flat, path + "/topk_ns.csv")
 
 
+def plain_values(c: Column, kind: T.DataType) -> Column:
+    """A value as JSON can carry it, at any depth: binary as hex, times as ISO text."""
+    if isinstance(kind, T.BinaryType):
+        return F.lower(F.hex(c))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") if not isinstance(kind, T.DateType) else c.cast("string")
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[plain_values(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: plain_values(x, kind.elementType))
+    return c
+
+
+def sample_decoded(envelopes: DataFrame, n: int) -> DataFrame:
+    """SNK-10, decoded: the first N messages of each topic with every field of the decoded message
+    beside its broker time and offset.  A message that did not decode (NULL) is no sample."""
+    from pyspark.sql import Window
+    kind = envelopes.schema["measurement"].dataType
+    w = Window.partitionBy("topic").orderBy("offset", "partition")
+    r = (envelopes.filter(F.col("measurement").isNotNull()).withColumn("_rn", F.row_number().over(w))
+         .filter(F.col("_rn") <= n))
+    fields = [plain_values(F.col("measurement").getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+    return r.select("topic", F.unix_millis("timestamp").alias("_kafka_ts"), F.col("offset").alias("_kafka_offset"), *fields)
+
+
 def sample_first_n(envelopes: DataFrame, n: int) -> DataFrame:
     """SNK-10: the first N messages of each topic, full fidelity, binary as hex.
 
