@@ -118,3 +118,4 @@ def test_windows_without_a_row_count_as_zero(spark):
     prov = spark.createDataFrame([("x", ".x.io", True), ("y", ".y.io", True)], "provider string, suffix string, active boolean")
     got = A.provider_windows(obs, prov, spark.range(1, 4).withColumnRenamed("id", "window_end_ms"))
     assert sorted(map(tuple, got.collect())) == [("x", 1, 0), ("x", 2, 1), ("x", 3, 0), ("y", 1, 0), ("y", 2, 0), ("y", 3, 0)]
+    assert A.provider_windows(obs, prov.limit(0), spark.range(1, 4).withColumnRenamed("id", "window_end_ms")).collect() == []

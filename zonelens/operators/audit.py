@@ -109,7 +109,7 @@ def provider_windows(obs_archive: DataFrame, suffixes: DataFrame, windows: DataF
     seen = (hits.select("provider", WINDOW, "d").distinct().groupBy("provider", WINDOW)
             .agg(F.count(F.lit(1)).alias("domains")))
     names = [r.provider for r in suffixes.select("provider").distinct().collect()]          # configuration rows
-    grid = windows.select(WINDOW).distinct().withColumn("provider", F.explode(F.array(*[F.lit(p) for p in names])))
+    grid = windows.select(WINDOW).distinct().withColumn("provider", F.explode(F.array(*[F.lit(p) for p in names]).cast("array<string>")))
     return (grid.join(seen, ["provider", WINDOW], "left")
             .select("provider", WINDOW, F.coalesce("domains", F.lit(0).cast("long")).alias("domains")))
 
