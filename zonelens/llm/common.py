@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 8 << 20        # bytes of an Arrow batch that goes to a worker, but for a longer row
 CHUNK_BYTES = 1 << 19        # texts are worked on in slices of about this many bytes
 _U = np.uint64
 
@@ -29,6 +30,13 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, rows)
+    # and of at most BATCH_BYTES, whatever the rows hold: a batch is kept by the executor and by its worker
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int("".join(c for c in spark.conf.get(key) if c.isdigit())) > BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+    # shuffles are coalesced to the session's advisory size rather than to one partition per core: the
+    # operators write many small tables, which should be one file each
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +51,19 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     from zonelens.session import scratch_path
     text_batches(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    # nobody waits for the table but this call, so it needs no marker file
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame, buckets: int) -> DataFrame:
+    """`df`, the result of `buckets` small groups dealt by number, in fewer partitions: a task works
+    through several buckets one after the other (and holds one at a time) and writes one file,
+    instead of a file per bucket."""
+    parts = max(4 * df.sparkSession.sparkContext.defaultParallelism, buckets // 32)
+    return df.coalesce(parts) if buckets > parts else df
+
+
 SMALL_IDS = 500_000          # id lists up to this many rows are broadcast, longer ones are joined by a shuffle
 
 

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import HASHER, flat_text, input_bytes, mix, release, slices, written
+from zonelens.llm.common import HASHER, few_files, flat_text, input_bytes, mix, release, slices, written
 from zonelens.llm.lm import _block_runs, planes, unplanes, with_blocks
 
 _U = np.uint64
@@ -455,8 +455,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot_from: int = 1000, buck
     dealt = with_blocks(docs, ["doc_id", "text"], 1024)
     buckets = int(max(8, min(1 << 20, input_bytes(docs) // bucket_bytes)))
     reports = dealt.mapInArrow(_reports(length, buckets), REPORT)
-    marks = written(spark, reports.repartition(buckets, "bucket").groupBy("bucket")
-                    .applyInArrow(_shared(hot_from), "block long, key binary, hot binary"), "anchors")
+    marks = written(spark, few_files(reports.repartition(buckets, "bucket").groupBy("bucket")
+                                     .applyInArrow(_shared(hot_from), "block long, key binary, hot binary"), buckets), "anchors")
     marks = marks.filter("octet_length(key) + octet_length(hot) > 0")
     entries = dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, buckets), ENTRY)
     salted = F.when(F.col("kind") == 2, F.pmod(F.hash("block", "data"), F.lit(buckets))).otherwise(F.col("bucket"))
