@@ -38,17 +38,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, combine, flat_text, mix, slices, word_hashes, word_spans, written
+from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, combine, flat_text, mix, release, slices, word_hashes, word_spans, written
 from zonelens.llm.lm import _packed, _unpacked
 
 BITS = 21
 PAIR_BITS = 22               # pairs have buckets of their own, after the others
 SIZE = (1 << BITS) + (1 << PAIR_BITS)
 PART = 1 << 15               # buckets whose counts travel as one packed row
-COUNTS = "part int, raw binary, target binary"
+COUNTS = "part int, salt int, raw binary, target binary"
+SALTS = 32                   # groups of tasks whose counts are added first
 HEAD = 4                     # bytes of a word's head
 SAME = np.uint64(0x51ED270B)
 
@@ -91,7 +93,9 @@ def hashed_ngrams(buf: np.ndarray, offs: np.ndarray):
 
 
 def _count(batches, with_target: bool):
-    raw, target = np.zeros(SIZE, np.int64), np.zeros(SIZE, np.int64)
+    # a task's documents are fewer than 2^31, and so is each of its counts
+    raw = np.zeros(SIZE, np.int32)
+    target = None
     for batch in batches:
         buf, offs = flat_text(batch.column("text"))
         good = batch.column("target").to_numpy(zero_copy_only=False).astype(bool) if with_target else None
@@ -99,36 +103,84 @@ def _count(batches, with_target: bool):
             ids, doc = hashed_ngrams(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             np.add.at(raw, ids, 1)
             if with_target and good[i:j].any():
+                target = np.zeros(SIZE, np.int32) if target is None else target
                 np.add.at(target, ids[good[i:j][doc]], 1)
-    on = [k for k in range(SIZE // PART) if raw[k * PART:(k + 1) * PART].any()]
-    yield _parts(on, [raw[k * PART:(k + 1) * PART] for k in on], [target[k * PART:(k + 1) * PART] for k in on])
+    salt = TaskContext.get().partitionId() % SALTS
+    none = np.zeros(PART, np.int32)
+    for k in range(SIZE // PART):
+        part = slice(k * PART, (k + 1) * PART)
+        if raw[part].any():
+            yield _parts(k, salt, raw[part], none if target is None else target[part])
+    del raw, target
+    release()
 
 
-def _parts(on: list[int], raw: list[np.ndarray], target: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array([_packed(a) for a in raw], pa.binary()),
-                                       pa.array([_packed(a) for a in target], pa.binary())], names=["part", "raw", "target"])
+def _parts(part: int, salt: int, raw: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([salt], pa.int32()),
+                                       pa.array([_packed(raw.astype(np.int64))], pa.binary()),
+                                       pa.array([_packed(target.astype(np.int64))], pa.binary())], names=["part", "salt", "raw", "target"])
 
 
 def _add(table: pa.Table) -> pa.Table:
-    """The counts of one part over all tasks."""
+    """The counts of one part over some tasks."""
     sums = [np.zeros(PART, np.int64), np.zeros(PART, np.int64)]
     for total, name in zip(sums, ("raw", "target")):
-        for a in table.column(name).to_pylist():
-            total += _unpacked(a, np.int64)
-    return pa.Table.from_batches([_parts([table.column("part")[0].as_py()], sums[:1], sums[1:])])
+        for a in table.column(name):
+            total += _unpacked(a.as_py(), np.int64)
+    return pa.Table.from_batches([_parts(table.column("part")[0].as_py(), 0, *sums)])
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, z: float | np.ndarray, dead_zone: float) -> np.ndarray:
+def _spans(size: int, step: int = 1 << 18):
+    return [slice(i, min(size, i + step)) for i in range(0, size, step)]
+
+
+def _plain(raw: np.ndarray, target: np.ndarray, scale: float, part: slice) -> np.ndarray:
+    return np.log((target[part] + 0.5) / (raw[part] * scale + 0.5))
+
+
+def _middle(raw: np.ndarray, target: np.ndarray, scale: float) -> float:
+    """Median of the plain log ratios by mass, found in ever finer bins over stretches of the
+    buckets: the driver holds the counts and little else."""
+    half, parts = raw.sum() / 2, _spans(len(raw))
+    low, high, bins = -np.inf, np.inf, 1 << 12
+    while True:
+        inside, least, most, below = 0, np.inf, -np.inf, 0.0
+        for part in parts:
+            v = _plain(raw, target, scale, part)
+            on = (v >= low) & (v <= high)
+            below += float(raw[part][v < low].sum())
+            inside += int(on.sum())
+            if on.any():
+                least, most = min(least, v[on].min()), max(most, v[on].max())
+        if inside <= 1 << 16 or least == most:
+            got = [(v[on], raw[part][on]) for part in parts for v in [_plain(raw, target, scale, part)]
+                   for on in [(v >= low) & (v <= high)]]
+            values, mass = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+            order = np.argsort(values, kind="stable")
+            at = np.searchsorted(below + np.cumsum(mass[order]), half)
+            return float(values[order[min(at, len(order) - 1)]])
+        edges = np.linspace(least, most, bins + 1)
+        mass = np.zeros(bins)
+        for part in parts:
+            v = _plain(raw, target, scale, part)
+            on = (v >= least) & (v <= most)
+            mass += np.bincount(np.clip(np.searchsorted(edges, v[on], side="right") - 1, 0, bins - 1), weights=raw[part][on], minlength=bins)
+        b = min(int(np.searchsorted(below + np.cumsum(mass), half)), bins - 1)
+        low, high = edges[b], edges[b + 1]
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, z: float, pair_z: float, dead_zone: float) -> np.ndarray:
     """Shortfall of every bucket in the target: 0 for ordinary n-grams, negative where even the
     upper confidence bound of the target's count (Poisson, `z` deviations) lies beyond the dead zone."""
-    expected = raw * (target.sum() / max(1, raw.sum()))
-    plain = np.log((target + 0.5) / (expected + 0.5))
-    order = np.argsort(plain)
-    mass = np.cumsum(raw[order])
-    middle = plain[order[np.searchsorted(mass, mass[-1] / 2)]] if mass[-1] else 0.0
-    del plain, order, mass
-    upper = target + z * z / 2 + z * np.sqrt(target + z * z / 4)
-    return np.minimum(0.0, np.log(upper / np.maximum(expected, 1e-9)) - middle + dead_zone).astype(np.float32)
+    scale = target.sum() / max(1, raw.sum())
+    middle = _middle(raw, target, scale) if raw.any() else 0.0
+    out = np.empty(len(raw), np.float32)
+    for part in _spans(len(raw)):
+        t = target[part]
+        d = np.where(np.arange(part.start, part.stop) < 1 << BITS, z, pair_z)
+        upper = t + d * d / 2 + d * np.sqrt(t + d * d / 4)
+        out[part] = np.minimum(0.0, np.log(upper / np.maximum(raw[part] * scale, 1e-9)) - middle + dead_zone)
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 1.5, dead_zone: float = 0.3,
@@ -146,12 +198,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 200_000, z: float = 1.
     mark = F.broadcast(picked.filter("good and not held").select(F.col("doc_id").alias("_id"), F.lit(True).alias("target")))
     texts = docs.select("doc_id", "text").join(mark, F.col("doc_id") == F.col("_id"), "left") \
         .select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = (texts.mapInArrow(lambda b: _count(b, True), COUNTS).groupBy("part").applyInArrow(_add, COUNTS)).toArrow()
-    raw, target = np.zeros(SIZE), np.zeros(SIZE)
-    for k, r, t in zip(*(counted.column(c).to_pylist() for c in ("part", "raw", "target"))):
-        raw[k * PART:(k + 1) * PART], target[k * PART:(k + 1) * PART] = _unpacked(r, np.int64), _unpacked(t, np.int64)
-    deviations = np.repeat(np.array([z, pair_z]), [1 << BITS, 1 << PAIR_BITS])
-    ratios = log_ratios(raw, target, deviations, dead_zone) if target.sum() else None
+    # every task sends each part once: they are added in two levels, so no worker gathers one array per task
+    counted = texts.mapInArrow(lambda b: _count(b, True), COUNTS)
+    for keys in (("part", "salt"), ("part",)):
+        counted = counted.groupBy(*keys).applyInArrow(_add, COUNTS)
+    raw, target = np.zeros(SIZE, np.float64), np.zeros(SIZE, np.float64)
+    packed = counted.select("part", "raw", "target").toArrow()         # SIZE counts, packed
+    for k, r, t in zip(*(packed.column(c) for c in ("part", "raw", "target"))):
+        at = slice(k.as_py() * PART, (k.as_py() + 1) * PART)
+        raw[at], target[at] = _unpacked(r.as_py(), np.int64), _unpacked(t.as_py(), np.int64)
+    del packed
+    ratios = log_ratios(raw, target, z, pair_z, dead_zone) if target.any() else None
+    del raw, target
+    release()
     return {"ratios": ratios, "held": picked.filter("held").select("doc_id", "good")}
 
 
