@@ -348,46 +348,55 @@ def test_kth_largest(spark):
         assert quality.kth_largest(df, "x", k, bins=16, few=10) == sorted(v, reverse=True)[k - 1]
 
 
+def backoff_model(rows, held, prior):
+    """A plain backoff model over the training rows: log10 probability of a text's tokens, the root's
+    probabilities and the counts."""
+    grams = [Counter(), Counter(), Counter()]
+    for i, t in rows:
+        if not held[i]:
+            w = ["\1"] + t + ["\0"]
+            for k in range(3):
+                grams[k].update(tuple(w[j - k:j + 1]) for j in range(max(1, k), len(w)))
+    n, v = sum(grams[0].values()), len(grams[0])
+    count = dict(grams[0]) | {("\1",): grams[0][("\0",)]}
+    for g in grams[1:]:
+        count |= g
+
+    def p(context, w):
+        if not context:
+            return (count.get((w,), 0) + 0.5) / (n + 0.5 * (v + 1))
+        return (count.get((*context, w), 0) + prior * p(context[1:], w)) / (count.get(context, 0) + prior)
+
+    def score(t):
+        w = ["\1"] + t + ["\0"]
+        return sum(math.log10(p(tuple(w[max(0, j - 2):j]), w[j])) for j in range(1, len(w)))
+    return p, score, grams[0], n
+
+
 def test_language_model(spark, docs):
     held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 == 1 for r in docs.collect()}
-    toks = {r.doc_id: r.text.translate(LOW).split() + ["\0"] for r in docs.collect()}
-    c = Counter(w for i, t in toks.items() if not held[i] for w in t)
-    n, v, prior = sum(c.values()), len(c), 30.0
-    often = {w for w in c if c[w] >= 64} | {"\0"}
-    pair = Counter(p for i, t in toks.items() if not held[i] for p in zip(["\1"] + t, t) if p[0] in often | {"\1"} and p[1] in often)
-    after = Counter()
-    for (u, _), k in pair.items():
-        after[u] += k
-    p1 = {w: (c[w] + 0.5) / (n + 0.5 * (v + 1)) for t in toks.values() for w in t}
-
-    def p(u, w):
-        cu = c["\0"] if u == "\1" else c[u]
-        return (pair[u, w] + (prior + cu - after[u]) * p1[w]) / (cu + prior) if u in often | {"\1"} else p1[w]
-    got = {r.doc_id: r for r in lm.score(docs, queries.crc_fold() == 1, prior=prior).collect()}
+    toks = {r.doc_id: r.text.translate(LOW).split() for r in docs.collect()}
+    p, score, c, n = backoff_model(toks.items(), held, 30.0)
+    got = {r.doc_id: r for r in lm.score(docs, queries.crc_fold() == 1, prior=30.0).collect()}
     for i, t in toks.items():
-        assert got[i].train_tokens == n and got[i].n_known == sum(c[w] > 0 for w in t) and got[i].held_out == held[i]
-        assert math.isclose(got[i].base_score, sum(math.log10(p1[w]) for w in t), rel_tol=1e-9)
-        assert math.isclose(got[i].score, sum(math.log10(p(u, w)) for u, w in zip(["\1"] + t, t)), rel_tol=1e-9)
-    some = sorted(often)[0]
-    assert math.isclose(sum(p(some, w) for w in c) + p(some, "unseen") if "unseen" in p1 else
-                        sum(p(some, w) for w in c) + (prior + c[some] - after[some]) * 0.5 / (n + 0.5 * (v + 1)) / (c[some] + prior), 1.0)
-
-
-def test_language_model_rare_pairs(spark):
-    """Pairs and words count however rare they are."""
-    rows = [(i, t) for i, t in enumerate(["a b c", "a b d", "b c", "x y z"])]
-    out = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 2, prior=2.0).collect()}
-    c, pair = Counter(), Counter()
-    for _, t in rows[:2] + rows[3:]:
-        w = t.split() + ["\0"]
-        c.update(w)
-        pair.update(zip(["\1"] + w, w))
-    n, v = sum(c.values()), len(c)
-    c["\1"] = c["\0"]
-    for i, t in rows:
-        w = t.split() + ["\0"]
-        want = sum(math.log10((pair[u, x] + 2.0 * (c[x] + 0.5) / (n + 0.5 * (v + 1))) / (c[u] + 2.0)) for u, x in zip(["\1"] + w, w))
-        assert math.isclose(out[i].score, want, rel_tol=1e-9)
+        assert got[i].train_tokens == n and got[i].held_out == held[i] and got[i].n_tokens == len(t) + 1
+        assert got[i].n_known == sum(c[(w,)] > 0 for w in [*t, "\0"])
+        assert math.isclose(got[i].base_score, sum(math.log10(p((), w)) for w in [*t, "\0"]), rel_tol=1e-9)
+        assert math.isclose(got[i].score, score(t), rel_tol=1e-9)
+    # every state is a distribution over the known words and one unknown
+    some = [w for (w,), _ in c.most_common(3) if w != "\0"]
+    for context in ((), (some[0],), ("\1",), tuple(some[:2]), ("\1", some[1]), ("never", some[0])):
+        assert math.isclose(sum(p(context, w) for (w,) in c) + p(context, "unseen"), 1.0)
+
+
+def test_language_model_rare_ngrams(spark):
+    """N-grams count however rare they are, and the longest state that was seen decides."""
+    rows = [(0, "a b c"), (1, "a b d"), (2, "b c"), (3, "x y z"), (4, "a b c"), (5, ""), (6, "q"), (7, "z a b c x"), (8, None)]
+    held = {i: i in (2, 7) for i, _ in rows}
+    _, score, _, n = backoff_model([(i, (t or "").split()) for i, t in rows], held, 2.0)
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id").isin(2, 7), prior=2.0)
+    for r in got.collect():
+        assert r.train_tokens == n and math.isclose(r.score, score((rows[r.doc_id][1] or "").split()), rel_tol=1e-9)
 
 
 def test_language_id(spark):

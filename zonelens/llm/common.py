@@ -227,13 +227,22 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return HASHER.spans(HASHER.prefix(buf), starts, ends)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting (numpy's own hash table is several times slower here)."""
+    s = np.sort(values)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 def combine(hashes: np.ndarray, width: int) -> np.ndarray:
     """Order-dependent hashes of all runs of `width` consecutive items."""
     n = len(hashes) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    acc = np.zeros(n, np.uint64)
-    for k in range(width):
+    return combine_all([hashes[k:k + n] for k in range(width)]) if n > 0 else np.zeros(0, np.uint64)
+
+
+def combine_all(columns: list[np.ndarray]) -> np.ndarray:
+    """The same hashes from the items' columns."""
+    acc = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
         acc *= _U(0xC2B2AE3D27D4EB4F)
-        acc += hashes[k:k + n]
+        acc += c
     return mix(acc)
