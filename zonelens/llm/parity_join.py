@@ -47,13 +47,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import (LOWER, SPACE_WORDS, by_ids, combine, flat_text, input_bytes, mix, release, slices, word_hashes,
-                                 word_spans, written)
+from zonelens.llm.common import (LOWER, SMALL_IDS, SPACE_WORDS, by_ids, combine, distinct, few_files, flat_text, input_bytes, mix,
+                                 release, slices, word_hashes, word_spans, written)
 from zonelens.llm.components import components
 
 _U = np.uint64
 WORDS = 16                   # 64-bit words of the sketch size that a join compares
 FLUSH = 1 << 19              # entries a task holds before it combines and sends them
+SHARED = 1 << 22             # segment values a task holds to find the shared ones
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int):
@@ -66,7 +67,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int):
     for k in range(len(counts)):
         a, b = int(at[k]), int(at[k + 1])
         if b - a >= width:
-            yield np.unique(sh[a:b - width + 1])
+            yield distinct(sh[a:b - width + 1])
         elif b > a:
             yield combine(h[a:b], b - a) ^ _U(b - a)
         else:
@@ -74,9 +75,10 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int):
 
 
 def bit_sketch(x: np.ndarray) -> np.ndarray:
-    """Parity bits of a set: a power of two, at least 4 bits per element and 64 * WORDS bits;
-    halves XORed give the sketch of half the size."""
-    m = max(64 * WORDS, 1 << (4 * max(1, len(x)) - 1).bit_length())
+    """Parity bits of a set: a power of two, at least a bit per element and 64 * WORDS bits; halves
+    XORed give the sketch of half the size.  Sets that differ in all their elements differ in half
+    of the bits or little less, well over the 2/7 that similar ones may."""
+    m = max(64 * WORDS, 1 << (max(1, len(x)) - 1).bit_length())
     odd = np.bincount((x & _U(m - 1)).astype(np.int64), minlength=m) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
@@ -129,7 +131,7 @@ def signatures(x: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
             late = np.where(hot[0][at] == values, hot[1][at], 0)
             values = values[np.argsort(late, kind="stable")]
         out.append(values[:most + 1])
-    return np.unique(np.concatenate(out))
+    return distinct(np.concatenate(out))
 
 
 # ------------------------------------------------------------------ passes over the texts
@@ -178,7 +180,7 @@ def _profiles(width: int):
                 seen.add(key)
                 held.append(every_value(x))
                 size += len(held[-1])
-            if size >= FLUSH:
+            if size >= SHARED:
                 size = 0
                 yield out(shared())
                 release()
@@ -307,6 +309,11 @@ def _sets_of(width: int):
     return run
 
 
+def _few(rows: DataFrame, most: int = SMALL_IDS) -> DataFrame:
+    """A written table as the broadcast side of its joins when it has at most `most` (narrow) rows."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def _attach(pairs: DataFrame, side: DataFrame) -> DataFrame:
     """Both partners' rows of `side` (doc_id, s, n) on every pair."""
     x = side.select(F.col("doc_id").alias("x"), *[F.col(c).alias(f"{c}x") for c in side.columns if c != "doc_id"])
@@ -327,6 +334,8 @@ def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, p
 
 
 PIVOT_ROUNDS, PIVOTS, FEW = 1, 8, 64
+VOID = 7 * 64 * WORDS // 4   # from this size on, similar sets may differ in half the bits of the joined sketch
+FEW_WORDS = 200_000          # documents whose joined sketches are broadcast
 
 def _fits(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -339,29 +348,33 @@ def _sketch_words(profiles: DataFrame, ids: DataFrame) -> DataFrame:
         for b in batches:
             rows = [np.frombuffer(s, np.uint8) for s in b.column("sketch").to_pylist()]       # at least 8 * WORDS bytes
             out = np.zeros((len(rows), 8 * WORDS), np.uint8)
-            for k, s in enumerate(rows):
+            for k, (s, n) in enumerate(zip(rows, b.column("n").to_pylist())):
+                if n >= VOID:
+                    continue                       # nothing to tell at this size: zeros travel for little
                 while len(s) > 8 * WORDS:
                     s = s[:len(s) // 2] ^ s[len(s) // 2:]
                 out[k] = s
             v = out.view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v[:, i].copy()) for i in range(WORDS))],
                                              names=["d", *(f"s{i}" for i in range(WORDS))])
-    some = profiles.select("doc_id", "sketch").join(ids.withColumnRenamed("d", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    some = profiles.select("doc_id", "n", "sketch").join(ids.withColumnRenamed("d", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return some.mapInArrow(run, "d long, " + ", ".join(f"s{i} long" for i in range(WORDS)))
 
 
 def _unsettled(members: DataFrame, comp: DataFrame) -> DataFrame:
     """Members (value, d, dn) of the values of three or more documents that lie in several
     components, with their component and the value's largest one (`main`)."""
-    m = (members.join(comp.withColumnRenamed("node", "d"), "d", "left")
+    spark = members.sparkSession
+    m = (members.join(_few(comp.withColumnRenamed("node", "d")), "d", "left")
          .withColumn("component", F.coalesce("component", "d")))
     main = (m.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("value").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"), F.sum("c").alias("all"))
             .filter("all > 2 and all > top.c").select("value", F.col("top.m").alias("main")))
-    return written(members.sparkSession, m.join(main, "value"), "open")
+    main = written(spark, main, "open-values")
+    return written(spark, m.join(_few(main), "value"), "open")
 
 
-def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 6,
+def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 2,
                        max_hot: int = 1 << 18, bucket_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id of every document (`docs`: doc_id, text).
     Sizes and bands are laid out for `percent` of 75 and more."""
@@ -391,7 +404,7 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
         yield from _entries(width, buckets, shared_hot.value)(batches)
     stars = (docs.mapInArrow(entries, ENTRY).repartition(buckets, "bucket")
              .groupBy("bucket").applyInArrow(_stars, STAR))
-    stars = written(spark, stars, "stars")
+    stars = written(spark, few_files(stars, buckets), "stars")
     fits = F.least("head_n", "doc_n") * 100 >= F.greatest("head_n", "doc_n") * percent
     pairs = stars.filter(fits).select(F.least("head", "doc").alias("x"), F.greatest("head", "doc").alias("y")).distinct()
     pairs = written(spark, pairs, "pairs")
@@ -400,11 +413,11 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     classes = profiles.filter("n > 0 and doc_id is not null").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     classes = written(spark, profiles.select("doc_id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"], "left")
                       .select("doc_id", "n", "rep"), "classes")
-    rep_of = classes.filter("doc_id <> rep").select("doc_id", "rep").distinct()
+    rep_of = written(spark, classes.filter("doc_id <> rep").select("doc_id", "rep").distinct(), "reps")
 
     def on_reps(found: DataFrame) -> DataFrame:
         for c in ("x", "y"):
-            found = found.join(rep_of.select(F.col("doc_id").alias(c), F.col("rep").alias("_r")), c, "left") \
+            found = found.join(_few(rep_of.select(F.col("doc_id").alias(c), F.col("rep").alias("_r"))), c, "left") \
                 .withColumn(c, F.coalesce("_r", c)).drop("_r")
         return found.filter("x <> y").distinct()
     links = written(spark, on_reps(links), "links")
@@ -414,8 +427,9 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     wide = stars.filter("several")
     members = wide.select("value", F.col("doc").alias("d"), F.col("doc_n").alias("dn")).unionByName(
         wide.select("value", F.col("head").alias("d"), F.col("head_n").alias("dn")).distinct())
-    members = members.join(rep_of.withColumnRenamed("doc_id", "d"), "d", "left") \
+    members = members.join(_few(rep_of.withColumnRenamed("doc_id", "d")), "d", "left") \
         .select("value", F.coalesce("rep", "d").alias("d"), "dn").distinct()
+    members = written(spark, members, "members")
     open_ = _unsettled(members, comp)
     turn = 0
     while turn <= PIVOT_ROUNDS:
@@ -434,13 +448,14 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
                 .select("a", "an", "ac", "p.d", "p.dn", "p.component")
             met = met.filter((F.col("ac") != F.col("component")) & _fits("an", "dn", percent))
         else:
-            words = _sketch_words(profiles, open_.select("d").distinct())
+            words = _few(written(spark, _sketch_words(profiles, open_.select("d").distinct()), "words"), FEW_WORDS)
             bits = [f"s{i}" for i in range(WORDS)]
             left = others.join(words.select(F.col("d").alias("a"), *[F.col(c).alias(f"a{c}") for c in bits]), "a")
             right = open_.select("value", "d", "dn", "component").join(words, "d")
             differ = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(c))) for c in bits), F.lit(0))
+            near = (differ * 7 <= F.col("an") + F.col("dn")) | (F.greatest("an", "dn") >= VOID)
             met = left.join(right, (left["value"] == right["value"]) & (F.col("ac") != F.col("component"))
-                            & _fits("an", "dn", percent) & (differ * 7 <= F.col("an") + F.col("dn")))
+                            & _fits("an", "dn", percent) & near)
         rest = written(spark, met.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
                        .join(pairs, ["x", "y"], "left_anti"), "pairs")
         if rest.isEmpty():
