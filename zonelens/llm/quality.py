@@ -42,7 +42,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import HASHER, LOWER, SPACE_WORDS, combine, flat_text, mix, release, slices, word_hashes, word_spans, written
+from zonelens.llm.common import (HASHER, LOWER, SPACE_WORDS, combine, distinct, flat_text, mix, release, slices, word_hashes, word_spans,
+                                 written)
 from zonelens.llm.lm import _packed, _unpacked
 
 BITS = 21
@@ -88,7 +89,7 @@ def hashed_ngrams(buf: np.ndarray, offs: np.ndarray):
                           mix(SAME + level.astype(np.uint64))]) >> np.uint64(64 - BITS)
     pair = (mix(pair + np.uint64(2)) >> np.uint64(64 - PAIR_BITS)) + np.uint64(1 << BITS)
     every = np.concatenate([doc, doc, doc, level_doc, pair_doc])
-    key = np.unique((every << (PAIR_BITS + 1)) | np.concatenate([ids, pair]).astype(np.int64))
+    key = distinct((every << (PAIR_BITS + 1)) | np.concatenate([ids, pair]).astype(np.int64))
     return key & ((1 << (PAIR_BITS + 1)) - 1), key >> (PAIR_BITS + 1)
 
 
