@@ -61,6 +61,30 @@ def test_against_prefixes(spark, task_nodes):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
+def test_a_long_conversation_is_spread(spark):
+    """A conversation over many tasks is numbered and digested like one in a single task."""
+    rows = [(c, t, "user", f"{t % 7} {c % 2}") for c in (1, 2, 3) for t in range(4000 if c == 2 else 50)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        many = trie.positions(df)
+        assert many.filter("conv_id = 2").select("task").distinct().count() > 3
+        many = sorted((r.conv_id, r["at"], bytes(r.sums), bytes(r.before)) for r in many.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    keys = {t: np.frombuffer(bytes.fromhex(key("user", t)), np.uint64) for t in {r[3] for r in rows}}
+    at = 0
+    for c, t, _, text in sorted(rows):
+        if t == 0:
+            sums = [0, 0]
+        last = list(sums)
+        sums = [(x + int(k) * pow(b, t + 1, 1 << 64)) % (1 << 64) for x, k, b in zip(sums, keys[text], trie.BASE)]
+        pack = lambda v: np.array(v, np.uint64).tobytes()
+        assert many[at] == (c, t + 1, pack(sums), pack(last))
+        at += 1
+
+
 def test_many_ends_at_one_node(spark):
     df = spark.range(20_000).select(F.col("id").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role"),
                                     F.lit("same").alias("text"))

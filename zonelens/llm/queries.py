@@ -211,12 +211,8 @@ LEFT JOIN nodes par ON par.node = up.above"""
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = written(spark, trie.positions(table(spark, sf_dir, "conversations")), "turns")
     head = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
-    convs = turns.filter("at = 1").select("conv_id", head.alias("h"))
-    own = turns.filter(F.col("at") > head)
-    base = turns.filter("at <= 5 and conv_id % 100 = 0").withColumnRenamed("conv_id", "base")
-    lent = (convs.filter("h > 0").join(base, F.expr("conv_id - conv_id % 100 = base and at <= h"))
-            .select("conv_id", "at", "key", "chars"))
-    return trie.prefix_trie(trie.with_roots(own.unionByName(lent), convs)).drop("node")
+    paths = trie.rebuilt_paths(turns, head, F.expr("conv_id - conv_id % 100"), 5)
+    return trie.prefix_trie(paths).drop("node")
 
 
 OP13_SQL = r"""

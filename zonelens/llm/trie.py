@@ -25,9 +25,13 @@ child of the centroid a node lies below is one join with the prefix table.
 Smaller components are streamed to tasks, a bounded number of nodes at a time,
 and split by the same rule in numpy.
 
-Nodes are told apart by 128-bit digests, chained turn by turn along each
-conversation; a conversation is streamed through one task in order for that (as
-rows of about 40 bytes without texts), never gathered.
+Nodes are told apart by 128-bit digests of their turns: two lanes of 64 bits,
+each the sum of a turn's digest times a power of an odd number that its place
+sets.  Such sums are a prefix scan: turns are dealt by ranges of (conversation,
+turn), so a conversation with a third of all turns is spread over many tasks;
+each task numbers and sums its stretch, and the few conversations that cross a
+boundary of tasks get their offsets from a table of at most two rows per task and
+conversation.  What is dealt are rows of about 40 bytes without texts.
 
 Defined results: a NULL conv_id is no conversation; turns are ordered by turn
 (NULL first), ties by the digest of role and text; a NULL role or text is empty;
@@ -42,61 +46,169 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.llm.common import written
 
 ROOT = bytes(16)
 TASK_NODES = 1 << 16
-PREFIXES = "conv_id long, depth long, node binary, parent binary, chars long, length long"
+_U = np.uint64
+BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)         # odd: every power has an inverse
+
+
+def powers(base: int, exponents: np.ndarray) -> np.ndarray:
+    """base ** exponents modulo 2^64."""
+    out, square, left = np.ones(len(exponents), _U), base, exponents.astype(_U)
+    while left.any():
+        out[(left & _U(1)) > 0] *= _U(square)
+        square, left = square * square % (1 << 64), left >> _U(1)
+    return out
+
+
+TURNS = "conv_id long, task int, at long, chars long, sums binary, before binary"
+
+
+def _lanes(sums: np.ndarray) -> pa.Array:
+    """Rows of two 64-bit lanes as 16-byte values."""
+    raw = np.ascontiguousarray(sums).tobytes()
+    return pa.Array.from_buffers(pa.binary(16), len(sums), [None, pa.py_buffer(raw)]).cast(pa.binary())
+
+
+def _unlaned(col: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), _U).reshape(-1, 2)
+
+
+def _scan(batches):
+    """Number the turns of each conversation's stretch in this task and sum their digests."""
+    task = TaskContext.get().partitionId()
+    conv, at, held = None, 0, np.zeros(2, _U)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = batch.column("conv_id").to_numpy()
+        first = np.concatenate([[ids[0] != conv], ids[1:] != ids[:-1]])
+        begin = np.flatnonzero(np.concatenate([[True], first[1:]]))              # runs inside the batch
+        size = np.diff(np.concatenate([begin, [len(ids)]]))
+        carried = not first[0]
+        place = np.arange(len(ids)) - np.repeat(begin, size) + 1
+        if carried:
+            place[:size[0]] += at
+        keys = _unlaned(batch.column("key"))
+        terms = np.stack([keys[:, k] * powers(BASE[k], place) for k in (0, 1)], 1)
+        run = np.cumsum(terms, axis=0, dtype=_U)
+        start = np.concatenate([np.zeros((1, 2), _U), run])[begin]                 # what came before each run
+        if carried:
+            start[0] -= held
+        sums = run - np.repeat(start, size, axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("conv_id"), pa.array(np.full(len(ids), task), pa.int32()), pa.array(place), batch.column("chars"),
+             _lanes(sums), _lanes(sums - terms)], names=["conv_id", "task", "at", "chars", "sums", "before"])
+        conv, at, held = ids[-1], int(place[-1]), sums[-1]
+
+
+def _shifted(crossing: dict):
+    """Places and sums of the stretches that go on a conversation begun in another task."""
+    def run(batches):
+        for batch in batches:
+            ids, tasks = batch.column("conv_id").to_numpy(), batch.column("task").to_numpy()
+            at = batch.column("at").to_numpy().copy()
+            sums, before = _unlaned(batch.column("sums")).copy(), _unlaned(batch.column("before")).copy()
+            for i in np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (tasks[1:] != tasks[:-1])])) if len(ids) else []:
+                found = crossing.get((int(tasks[i]), int(ids[i])))
+                if found:
+                    rows = slice(i, i + int(np.argmin(np.concatenate([(ids[i:] == ids[i]) & (tasks[i:] == tasks[i]), [False]]))))
+                    offset, earlier = found
+                    at[rows] += offset
+                    factor = np.array([pow(b, offset, 1 << 64) for b in BASE], _U)
+                    sums[rows] = sums[rows] * factor + np.array(earlier, _U)
+                    before[rows] = before[rows] * factor + np.array(earlier, _U)
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("task"), pa.array(at), batch.column("chars"),
+                                              _lanes(sums), _lanes(before)], names=["conv_id", "task", "at", "chars", "sums", "before"])
+    return run
 
 
 def positions(conversations: DataFrame) -> DataFrame:
-    """conv_id, at (from 1), key, chars: turns as digests in their order."""
+    """The turns in their order: conv_id, at (from 1), chars, and the digests of the conversation up
+    to the turn (`sums`) and up to the one before (`before`)."""
+    spark = conversations.sparkSession
     said = F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text")
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").alias("turn"),
                                 F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.filter("conv_id is not null").select("conv_id", "turn", F.unhex(F.md5(said.cast("binary"))).alias("key"),
                                                      F.length("text").cast("long").alias("chars"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "key")
-    return rows.select("conv_id", F.row_number().over(order).cast("long").alias("at"), "key", "chars")
+    order = ["conv_id", "turn", "key"]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "key", "chars")
+    turns = written(spark, dealt.mapInArrow(_scan, TURNS), "trie-scan")
+    stretches = turns.groupBy("conv_id", "task").agg(F.max("at").alias("n"), F.max_by("sums", "at").alias("sums"))
+    several = stretches.groupBy("conv_id").agg(F.count(F.lit(1)).alias("tasks")).filter("tasks > 1").select("conv_id")
+    crossing: dict = {}
+    # conversations that cross a boundary: one per boundary, so at most two rows per task
+    for row in stretches.join(several, "conv_id").orderBy("conv_id", "task").collect():
+        own = np.frombuffer(row.sums, _U)
+        offset, earlier = crossing.get(("next", row.conv_id), (0, (0, 0)))
+        if offset:
+            crossing[(row.task, row.conv_id)] = (offset, earlier)
+        total = tuple((e + pow(b, offset, 1 << 64) * int(o)) % (1 << 64) for e, b, o in zip(earlier, BASE, own))
+        crossing[("next", row.conv_id)] = (offset + row.n, total)
+    crossing = {k: v for k, v in crossing.items() if k[0] != "next"}
+    return turns.mapInArrow(_shifted(crossing), TURNS) if crossing else turns
+
+
+def paths_of(turns: DataFrame) -> DataFrame:
+    """One row per conversation and depth: its node there, the node above and the conversation's length."""
+    length = turns.groupBy("conv_id").agg(F.max("at").alias("length"))
+    deep = (turns.join(length.withColumnRenamed("conv_id", "_id"), F.col("conv_id") == F.col("_id"))
+            .select("conv_id", F.col("at").alias("depth"), F.col("sums").alias("node"), F.col("before").alias("parent"), "chars", "length"))
+    return deep.unionByName(_roots(length))
 
 
-def with_roots(turns: DataFrame, conv_ids: DataFrame) -> DataFrame:
-    """`turns` with a row `at` 0 for each conversation, which stands for its place in the root."""
-    return turns.select("conv_id", "at", "key", "chars").unionByName(
-        conv_ids.select("conv_id", F.lit(0).cast("long").alias("at"), F.lit(None).cast("binary").alias("key"),
-                        F.lit(0).cast("long").alias("chars")))
+def _roots(length: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    return length.select("conv_id", zero.alias("depth"), F.lit(ROOT).alias("node"), F.lit(None).cast("binary").alias("parent"),
+                         zero.alias("chars"), "length")
 
 
-def _chain(batches):
-    """Prefix digests along each conversation, whose rows come in order."""
-    conv, node, depth = None, ROOT, 0
+def _moved(batches):
+    """Digests of a conversation whose first turns were exchanged: own x factor + what is ahead."""
     for batch in batches:
-        ids, keys = batch.column("conv_id").to_pylist(), batch.column("key").to_pylist()
-        nodes, parents, depths = [], [], []
-        for c, key in zip(ids, keys):
-            if c != conv:
-                conv, node, depth = c, ROOT, 0
-            if key is None:
-                parents.append(None)
-            else:
-                parents.append(node)
-                node, depth = hashlib.blake2b(node + key, digest_size=16).digest(), depth + 1
-            nodes.append(node)
-            depths.append(depth)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("conv_id"), pa.array(depths, pa.int64()), pa.array(nodes, pa.binary()),
-             pa.array(parents, pa.binary()), batch.column("chars"), batch.column("length")],
-            names=["conv_id", "depth", "node", "parent", "chars", "length"])
-
-
-def prefixes(turns: DataFrame) -> DataFrame:
-    """One row per conversation and depth: its node there, the node above and the conversation's length."""
-    rows = turns.withColumn("length", F.count(F.lit(1)).over(Window.partitionBy("conv_id")) - 1)
-    rows = rows.sortWithinPartitions("conv_id", "at")
-    return rows.select("conv_id", "key", "chars", "length").mapInArrow(_chain, PREFIXES)
+        gap = batch.column("gap").to_numpy()
+        ahead, skipped = _unlaned(batch.column("ahead")), _unlaned(batch.column("skipped"))
+        # places move down by `gap`: multiply by the inverse power
+        factor = np.stack([powers(pow(b, -1, 1 << 64), gap) for b in BASE], 1)
+        cols = [_lanes((_unlaned(batch.column(c)) - skipped) * factor + ahead) for c in ("sums", "before")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "depth")), *cols, batch.column("chars"),
+                                          batch.column("length")], names=["conv_id", "depth", "node", "parent", "chars", "length"])
+
+
+PATHS = "conv_id long, depth long, node binary, parent binary, chars long, length long"
+
+
+def rebuilt_paths(turns: DataFrame, head, base, most: int) -> DataFrame:
+    """`paths_of` conversations whose first `head` turns (an expression over conv_id, `most` at most) are
+    replaced by those of the conversation `base` (another): all if it has fewer, none if it is absent."""
+    ids = turns.groupBy("conv_id").agg(F.max("at").alias("own"))
+    plan = ids.select("conv_id", "own", head.cast("long").alias("h"), base.alias("b"))
+    heads = turns.filter(F.col("at") <= most)                  # the few turns that may be lent or skipped
+    lent = heads.join(plan.filter("h > 0").select(F.col("conv_id").alias("to"), "h", "b"),
+                      (F.col("conv_id") == F.col("b")) & (F.col("at") <= F.col("h"))).select("to", "at", "chars", "sums", "before")
+    # what lies ahead of a conversation's own rest, and what it leaves out
+    taken = lent.groupBy(F.col("to").alias("t_id")).agg(F.max("at").alias("taken"), F.max_by("sums", "at").alias("ahead"))
+    left = (heads.join(plan.select(F.col("conv_id").alias("l_id"), "h"), (F.col("conv_id") == F.col("l_id")) & (F.col("at") == F.col("h")))
+            .select("l_id", F.col("sums").alias("skipped")))
+    plan = (plan.join(taken, F.col("conv_id") == F.col("t_id"), "left").join(left, F.col("conv_id") == F.col("l_id"), "left")
+            .select("conv_id", "h", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), F.coalesce("ahead", F.lit(ROOT)).alias("ahead"),
+                    F.coalesce("skipped", F.lit(ROOT)).alias("skipped"),
+                    (F.coalesce("taken", F.lit(0)) + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("length")))
+    plan = written(turns.sparkSession, plan, "trie-plan")
+    own = (turns.join(plan.withColumnRenamed("conv_id", "p_id"), (F.col("conv_id") == F.col("p_id")) & (F.col("at") > F.col("h")))
+           .select("conv_id", (F.col("at") - F.col("h") + F.col("taken")).alias("depth"), (F.col("h") - F.col("taken")).alias("gap"),
+                   "sums", "before", "ahead", "skipped", "chars", "length"))
+    first = (lent.join(plan.select(F.col("conv_id").alias("p_id"), "length"), F.col("to") == F.col("p_id"))
+             .select(F.col("to").alias("conv_id"), F.col("at").alias("depth"), F.col("sums").alias("node"),
+                     F.col("before").alias("parent"), "chars", "length"))
+    return own.mapInArrow(_moved, PATHS).unionByName(first).unionByName(_roots(plan.select("conv_id", "length")))
 
 
 def _chunks(batches):
@@ -291,11 +403,11 @@ def subtree_totals(nodes: DataFrame, paths: DataFrame, task_nodes: int = TASK_NO
     return out
 
 
-def prefix_trie(turns: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
-    """One row per node of the conversations in `turns` (conv_id, at, key, chars, with a root row
-    each): node, conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
-    spark = turns.sparkSession
-    paths = written(spark, prefixes(turns), "trie-paths")
+def prefix_trie(paths: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
+    """One row per node of the conversations in `paths`: node, conv_id, depth, parent_conv_id,
+    n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
+    spark = paths.sparkSession
+    paths = written(spark, paths, "trie-paths")
     nodes = written(spark, paths.groupBy("node").agg(
         F.min("parent").alias("parent"), F.min("depth").alias("depth"), F.min("conv_id").alias("conv_id"),
         F.count(F.lit(1)).alias("n_convs"), F.max("chars").alias("chars"),
@@ -318,5 +430,4 @@ def prefix_trie(turns: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
 
 def conversation_trie(conversations: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
     """The trie of conversations as they are."""
-    turns = written(conversations.sparkSession, positions(conversations), "trie-turns")
-    return prefix_trie(with_roots(turns, turns.filter("at = 1")), task_nodes)
+    return prefix_trie(paths_of(written(conversations.sparkSession, positions(conversations), "trie-turns")), task_nodes)
