@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import LOWER, combine, flat_text, input_bytes, release, slices, word_hashes, word_spans, written
+from zonelens.llm.common import LOWER, combine, few_files, flat_text, input_bytes, release, slices, word_hashes, word_spans, written
 
 _U = np.uint64
 FLUSH = 1 << 22              # keys held by a task before they are added up and sent
@@ -283,8 +283,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 10, max_words: int = 3, s
 
     def counts(source: DataFrame, mapper, least: int, name: str) -> DataFrame:
         entries = source.select("lang", "text").mapInArrow(mapper, ENTRY)
-        return written(spark, entries.repartition(1 << bucket_bits, "bucket").groupBy("bucket")
-                       .applyInArrow(_adder(least, bits, bucket_bits), COUNTED), name)
+        return written(spark, few_files(entries.repartition(1 << bucket_bits, "bucket").groupBy("bucket")
+                                        .applyInArrow(_adder(least, bits, bucket_bits), COUNTED), 1 << bucket_bits), name)
     picked = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
     proposals = counts(picked, _proposer(max_words, bucket_bits), sample_count, "phrase-sample")
     now, _ = _gathered(proposals, [np.zeros(1 << (b - 3), np.uint8) for b in bits], bucket_bits)
