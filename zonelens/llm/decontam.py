@@ -109,12 +109,14 @@ class ItemMatcher:
                     self.items.setdefault(self.home[s], set()).add(i)
             if len(w) < window:
                 short.setdefault(last, []).append((len(w), i))
-        self.short: dict[int, list[tuple[int, str]]] = {}
+        # whole short items end at their own state; `below` leads from a state to the next one down
+        # its suffix links that has some, so equal items are listed once, however many states follow
+        self.short = {s: [(m, [i for k, i in some if k == m]) for m in sorted({k for k, _ in some}, reverse=True)]
+                      for s, some in short.items()}
+        self.below = [-1] * n
         for s in sorted(range(n), key=self.sam.len.__getitem__):
             p = self.sam.link[s]
-            got = short.get(s, []) + (self.short.get(p, []) if p >= 0 else [])
-            if got:
-                self.short[s] = got
+            self.below[s] = s if s in self.short else self.below[p] if p >= 0 else -1
         self.least = min([window, *(len(w) for _, w in coded)], default=window)
         pairs = [w[:-1] * len(every) + w[1:] for _, w in coded if len(w) > 1]
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
@@ -139,9 +141,12 @@ class ItemMatcher:
             for k, (s, n) in enumerate(self.sam.walk(at[a:b].tolist())):
                 if n >= self.window:
                     yield a + k + 1 - self.window, a + k + 1, n, self.items.get(self.home[s], ())
-                for m, i in self.short.get(s, ()):
-                    if m <= n:
-                        yield a + k + 1 - m, a + k + 1, n, (i,)
+                q = self.below[s]
+                while q >= 0:
+                    for m, some in self.short[q]:
+                        if m <= n:
+                            yield a + k + 1 - m, a + k + 1, n, some
+                    q = self.below[self.sam.link[q]] if self.sam.link[q] >= 0 else -1
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
