@@ -74,6 +74,19 @@ def test_topk_edges(spark):
     assert topk.top_k(df.filter("vec_id = -1"), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_topk_of_large_numbers(spark):
+    """Scores beyond what a double holds exactly, up to 64 bits; beyond that an error."""
+    rows = [(0, [3e4, 2.0]), (1, [2e9, 1.0]), (2, [2e9, 2.0]), (3, [-2e9, 5.0]), (4, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") == 0, k=3).orderBy("rank").collect()
+    q = [int(3e4 * 256), 512]
+    want = sorted(((-(q[0] * int(v[0] * 256) + q[1] * int(v[1] * 256)), i) for i, v in rows[1:]))[:3]
+    assert [(r.vec_id, r.score) for r in got] == [(i, -s) for s, i in want] and got[0].score > 1 << 53
+    for big in ([1e300, 1.0], [3e12, 3e12]):
+        with pytest.raises(Exception, match="fit 64 bits"):
+            topk.top_k(spark.createDataFrame([(0, big), (1, big)], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+
+
 @pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
 def test_stages(spark, tmp_path_factory, odd_docs, no_docs, k):
     d = str(tmp_path_factory.mktemp("tables"))

@@ -22,7 +22,8 @@ Vectors are integers: floor(scale x component).  Defined results: vectors that
 are NULL or hold NULL or a non-finite component take no part; a shorter vector
 counts as 0 beyond its end; a candidate with the query's own id is skipped;
 fewer than k candidates give fewer rows; repeated rows are candidates each; a
-NULL id takes no part.
+NULL id takes no part.  Scores are exact at any size that fits 64 bits; a scaled
+component or a result beyond them is an error.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonelens.llm.common import written
+
 ROUNDS = (0.5, 0.75, 0.9)      # share of each list read by the end of a round
 BATCH = 256                    # queries whose bounds are held at a time
 
@@ -54,10 +57,26 @@ class SortedLists:
         worst = np.concatenate([np.where(v >= high, v, self.values[0]), np.where(v <= low, v, self.values[-1])], axis=1)
         return best.astype(kind).T, worst.astype(kind).T
 
+    def _whole(self, queries: np.ndarray, own: np.ndarray, k: int):
+        """`top` for scores beyond 2^53, where bounds in floating point are not exact: whole
+        scores in unbounded integers.  One beyond 64 bits has no column to go to and is an error."""
+        for r, q in enumerate(queries.astype(object)):
+            live = np.flatnonzero(self.ids != own[r])
+            score = (self.vectors[live].astype(object) @ q).tolist()
+            best = sorted(range(len(live)), key=lambda b: (-score[b], self.ids[live[b]]))[:k]
+            if any(abs(score[b]) >= 1 << 63 for b in best):
+                raise OverflowError("an inner product does not fit 64 bits")
+            yield from ((r, score[b], int(self.ids[live[b]])) for b in best)
+
     def top(self, queries: np.ndarray, own: np.ndarray, k: int):
         """(query row, score, id) of the k best candidates of each query, its own id left out."""
         n = len(self.ids)
-        largest = float(np.abs(queries).sum(1).max(initial=0)) * float(np.abs(self.vectors).max(initial=0))
+        # sums of magnitudes as Python integers: they tell what the scores can be, exactly
+        heavy = max((sum(map(abs, q)) for q in queries.tolist()), default=0)
+        largest = heavy * max((max(map(abs, v), default=0) for v in (self.values[[0, -1]].tolist() if n else [])), default=0)
+        if largest >= 1 << 53:
+            yield from self._whole(queries, own, k)
+            return
         kind = np.float32 if largest < 1 << 24 else np.float64
         bounds = [self.read(s, kind) for s in ROUNDS] if n > 16 * k else []
         for i in range(0, len(queries), BATCH):
@@ -112,15 +131,19 @@ def quantised(vectors: DataFrame, vector: str, scale: int) -> DataFrame:
     """id and integer vector of the rows that take part."""
     v = F.col(vector)
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    whole = lambda x: F.floor(x.cast("double") * scale)
+    fits = lambda x: F.abs(x.cast("double") * scale) < F.lit(float(1 << 63))
     return (vectors.filter(F.col("vec_id").isNotNull() & v.isNotNull()).filter(sound)
             .select(F.col("vec_id").cast("long").alias("id"),
-                    F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")))
+                    F.transform(v, lambda x: F.when(fits(x), whole(x)).otherwise(
+                        F.raise_error(F.lit("a scaled component does not fit 64 bits")).cast("long"))).alias("v")))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, vector: str = "embedding",
           query_block: int = 2048, candidate_block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of `vectors` where `is_query` holds, its k best others."""
-    rows = quantised(vectors, vector, scale)
+    # written once, so that a row's place, which deals the candidates, is the same in every pass and retry
+    rows = written(vectors.sparkSession, quantised(vectors, vector, scale), "vectors")
     asking = quantised(vectors.filter(is_query), vector, scale).distinct()
     n, m = rows.count(), asking.count()
     nc, nq = max(1, -(-n // candidate_block)), max(1, -(-m // query_block))
