@@ -1,5 +1,7 @@
 """Forms that exist for scale: digests at the scan, chunked lists, clustered files, mergeable sets, baselines."""
 
+import re
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,20 @@ def test_chunks_hold_every_fingerprint(spark):
     assert [(r.domain, r.chunk, list(r.ct_fingerprints)) for r in rows if r.domain != "big.com"] == [("small.org", 0, ["x"])]
 
 
+def test_chunks_never_gather_an_apex(spark):
+    """Fingerprints are dealt by (apex, part), never by the apex alone, and no join broadcasts them."""
+    certs = spark.range(4000).select(F.lit("l").alias("source"), F.concat(F.lit("f"), F.col("id") % 3000).alias("fingerprint"),
+                                     F.array(F.lit("a.big.com"), F.lit("B.big.com."), F.lit(None), F.lit("..")).alias("domain_list"))
+    today = spark.createDataFrame([("big.com",), (None,)], "domain string")
+    got = K.ct_signal_chunks(today, certs, chunk=100)
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [(line, under) for line, under in zip(plan, plan[1:]) if "Exchange hashpartitioning(apex" in line and "fingerprint" in under]
+    assert dealt and not [line for line, _ in dealt if re.search(r"hashpartitioning\(apex#\d+, \d+\)", line)]
+    rows = got.collect()
+    assert sum(r.n_values for r in rows) == 3000 and {r.n_chunks for r in rows} == {30} and len({r.chunk for r in rows}) == 30
+    assert sorted(f for r in rows for f in r.ct_fingerprints) == sorted(f"f{k}" for k in range(3000))
+
+
 def test_clustered_files_do_not_overlap(spark, tmp_out):
     """By the footers, a lookup can skip all but one or two files of a window, hot domain or not."""
     obs = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'ns' ELSE 'ip' END AS k",

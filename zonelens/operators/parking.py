@@ -140,26 +140,34 @@ def ct_signal_rows(today_new: DataFrame, certs: DataFrame) -> DataFrame:
 
 
 CHUNK = 10_000               # values in one list of `ct_signal_chunks`, about
+SALTS = 4096                 # parts that an apex's values are dealt to, by their digest
 
 
 def ct_signal_chunks(today_new: DataFrame, certs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """AGG-8 for apexes of any size: the distinct fingerprints of each domain in numbered lists
     of about `chunk` values: (domain, chunk, n_chunks, n_values, ct_fingerprints), every one kept.
 
-    Distinct in two levels: values are combined on (apex, value), so an apex with a third of all
-    certificates is spread over all tasks; its size is then a count of partial counts.  A value's
-    chunk follows from its own digest, so no task holds or numbers a whole apex.
+    Values are dealt, counted and joined by (apex, part of the digest), never by the apex alone,
+    so an apex with a third of all certificates is spread over all tasks.  What meets the wanted
+    domains and is summed per apex is one row per part.  A value's chunk follows from its own
+    digest, so no task holds or numbers a whole apex.
     """
-    names = wanted_names(certs, today_new).filter(F.col("fingerprint").isNotNull())
-    values = names.select("apex", "fingerprint").distinct()
-    sizes = values.groupBy("apex").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("long").alias("n_chunks"))
+    apexes = today_new.select(F.col("domain").alias("apex")).distinct()
+    once = certs.withColumn("domain_list", F.array_distinct(F.transform("domain_list", apex_of)))       # an apex once per certificate
+    names = maybe_in(ct_names(once), "apex", key_digest(apexes, "apex")).filter(F.col("fingerprint").isNotNull())
     place = F.conv(F.substring(F.md5(F.col("fingerprint").cast("binary")), 1, 8), 16, 10).cast("long")
-    # apexes of one chunk have no size to look up: only the few large ones are joined
-    large = sizes.filter("n_chunks > 1")
-    rows = (values.join(large.withColumnRenamed("apex", "big"), F.col("apex") == F.col("big"), "left")
-            .withColumn("n_chunks", F.coalesce("n_chunks", F.lit(1).cast("long"))))
-    return (rows.groupBy(F.col("apex").alias("domain"), F.pmod(place, F.col("n_chunks")).alias("chunk"), "n_chunks")
-            .agg(F.count(F.lit(1)).alias("n_values"), F.sort_array(F.collect_list("fingerprint")).alias("ct_fingerprints")))
+    # the same filters on all uses, so that they share one scan and one exchange
+    values = (names.select("apex", "fingerprint", (place % SALTS).alias("salt"))
+              .filter(F.col("apex").isNotNull() & F.col("salt").isNotNull()).repartition("apex", "salt"))
+    parts = values.distinct().groupBy("apex", "salt").agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+    sizes = (parts.groupBy("apex").agg(F.ceil(F.sum("n") / chunk).cast("long").alias("n_chunks"))
+             .join(apexes, "apex", "left_semi"))
+    # merge joins: neither side has a size that a broadcast could count on
+    keys = parts.hint("merge").join(sizes, "apex")
+    rows = values.join(keys.hint("merge"), ["apex", "salt"])
+    lists = (rows.groupBy(F.col("apex").alias("domain"), F.pmod(place, F.col("n_chunks")).alias("chunk"), "n_chunks")
+             .agg(F.sort_array(F.collect_set("fingerprint")).alias("ct_fingerprints")))
+    return lists.select("domain", "chunk", "n_chunks", F.size("ct_fingerprints").cast("long").alias("n_values"), "ct_fingerprints")
 
 
 def parking_delta(obs: DataFrame, certs: DataFrame, providers: DataFrame,
