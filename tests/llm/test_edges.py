@@ -100,3 +100,31 @@ def test_stages(spark, tmp_path_factory, odd_docs, no_docs, k):
     rows = out.collect()
     if name == "near_duplicates":
         assert sorted(r.doc_id for r in rows if r.doc_id) == [1, 2, 3, 4, 5, 7, 8, 9]
+
+
+def test_joined_sketches_tell_long_sets_apart(spark):
+    """The distance that the last join takes of long sets is the one of their sketches at a common size:
+    never above the true difference, and out of reach for unrelated ones."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from zonelens.llm import parity_join as PJ
+    rng = np.random.default_rng(7)
+    sizes = [1000, 1344, 1366, 1792, 2047, 2100, 2731, 2800, 5000, 6100, 9000]
+    sets = {}
+    for k, n in enumerate(sizes):
+        x = rng.integers(0, 2 ** 63, n, dtype=np.uint64)
+        near = np.concatenate([x[: n - n // 10], rng.integers(0, 2 ** 63, n // 12, dtype=np.uint64)])
+        sets[2 * k], sets[2 * k + 1] = np.sort(x), np.sort(near)
+    rows = [(d, len(x), bytearray(PJ.bit_sketch(x).tobytes())) for d, x in sets.items()]
+    profiles = spark.createDataFrame(rows, "doc_id long, n int, sketch binary")
+    words = PJ._sketch_words(profiles, profiles.select(F.col("doc_id").alias("d")))
+    assert {r.d for r in words.filter("longer is null").collect()} == {d for d, x in sets.items() if len(x) < PJ.LONG}
+    words = words.join(profiles.select(F.col("doc_id").alias("d"), "n"), "d").select("d", "n", "longer")
+    pairs = words.toDF("a", "an", "alonger").join(words, (F.col("a") < F.col("d")) & PJ._fits("an", "n", 75) & (F.greatest("an", "n") >= PJ.VOID))
+    got = {(r.a, r.d): r.x for r in pairs.select("a", "d", PJ._distance("alonger", "longer").alias("x")).collect()}
+    assert len(got) > 10
+    for (a, d), x in got.items():
+        true = len(np.setxor1d(sets[a], sets[d]))
+        assert x <= true and (x - true) % 2 == 0
+        assert (7 * x <= len(sets[a]) + len(sets[d])) == (a // 2 == d // 2)

@@ -335,30 +335,47 @@ def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, p
 
 PIVOT_ROUNDS, PIVOTS, FEW = 1, 8, 64
 VOID = 7 * 64 * WORDS // 4   # from this size on, similar sets may differ in half the bits of the joined sketch
-FEW_WORDS = 200_000          # documents whose joined sketches are broadcast
+LONG = 3 * VOID // 4         # from this size on, sets may meet one of VOID or more: they also carry a longer sketch
+FEW_WORDS = 300_000 * WORDS  # 64-bit words of joined sketches that are broadcast
 
 def _fits(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
 def _sketch_words(profiles: DataFrame, ids: DataFrame) -> DataFrame:
-    """d and the bit sketch of some documents at one size, as columns s0, s1, ... so that joins
-    compare them in generated code."""
+    """d and the bit sketch of some documents: at one size as columns s0, s1, ... so that joins
+    compare them in generated code, and for sets of LONG elements or more also as an array of
+    0.75 to 1.5 bits an element."""
     def run(batches):
         for b in batches:
             rows = [np.frombuffer(s, np.uint8) for s in b.column("sketch").to_pylist()]       # at least 8 * WORDS bytes
-            out = np.zeros((len(rows), 8 * WORDS), np.uint8)
+            out, longer = np.zeros((len(rows), 8 * WORDS), np.uint8), []
             for k, (s, n) in enumerate(zip(rows, b.column("n").to_pylist())):
+                while 16 * len(s) > 3 * n and len(s) > 8 * WORDS:
+                    s = s[:len(s) // 2] ^ s[len(s) // 2:]
+                longer.append(s.view(np.int64) if n >= LONG else None)
                 if n >= VOID:
-                    continue                       # nothing to tell at this size: zeros travel for little
+                    continue                       # nothing to tell at the one size: zeros travel for little
                 while len(s) > 8 * WORDS:
                     s = s[:len(s) // 2] ^ s[len(s) // 2:]
                 out[k] = s
             v = out.view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v[:, i].copy()) for i in range(WORDS))],
-                                             names=["d", *(f"s{i}" for i in range(WORDS))])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v[:, i].copy()) for i in range(WORDS)), pa.array(longer, pa.list_(pa.int64()))],
+                                             names=["d", *(f"s{i}" for i in range(WORDS)), "longer"])
     some = profiles.select("doc_id", "n", "sketch").join(ids.withColumnRenamed("d", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return some.mapInArrow(run, "d long, " + ", ".join(f"s{i} long" for i in range(WORDS)))
+    return some.mapInArrow(run, "d long, " + ", ".join(f"s{i} long" for i in range(WORDS)) + ", longer array<long>")
+
+
+def _distance(a: str, b: str):
+    """Hamming distance of two sketches kept as arrays, at the smaller one's size; sets of fitting
+    sizes have sketches of one size or of twice that."""
+    size = F.least(F.size(a), F.size(b))
+
+    def at_size(c: str):
+        halves = F.zip_with(F.slice(c, F.lit(1), size), F.slice(c, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(c) > size, halves).otherwise(F.col(c))
+    bits = F.zip_with(at_size(a), at_size(b), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(bits, F.lit(0), lambda total, c: total + c)
 
 
 def _unsettled(members: DataFrame, comp: DataFrame) -> DataFrame:
@@ -448,12 +465,15 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
                 .select("a", "an", "ac", "p.d", "p.dn", "p.component")
             met = met.filter((F.col("ac") != F.col("component")) & _fits("an", "dn", percent))
         else:
-            words = _few(written(spark, _sketch_words(profiles, open_.select("d").distinct()), "words"), FEW_WORDS)
+            words = written(spark, _sketch_words(profiles, open_.select("d").distinct()), "words")
+            held = words.agg(F.sum(WORDS + F.coalesce(F.size("longer"), F.lit(0)))).first()[0]
+            words = F.broadcast(words) if held <= FEW_WORDS else words
             bits = [f"s{i}" for i in range(WORDS)]
-            left = others.join(words.select(F.col("d").alias("a"), *[F.col(c).alias(f"a{c}") for c in bits]), "a")
+            left = others.join(words.select(F.col("d").alias("a"), *[F.col(c).alias(f"a{c}") for c in [*bits, "longer"]]), "a")
             right = open_.select("value", "d", "dn", "component").join(words, "d")
             differ = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(c))) for c in bits), F.lit(0))
-            near = (differ * 7 <= F.col("an") + F.col("dn")) | (F.greatest("an", "dn") >= VOID)
+            differ = F.when(F.greatest("an", "dn") < VOID, differ).otherwise(_distance("alonger", "longer"))
+            near = differ * 7 <= F.col("an") + F.col("dn")
             met = left.join(right, (left["value"] == right["value"]) & (F.col("ac") != F.col("component"))
                             & _fits("an", "dn", percent) & near)
         rest = written(spark, met.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
