@@ -128,3 +128,51 @@ def test_joined_sketches_tell_long_sets_apart(spark):
         true = len(np.setxor1d(sets[a], sets[d]))
         assert x <= true and (x - true) % 2 == 0
         assert (7 * x <= len(sets[a]) + len(sets[d])) == (a // 2 == d // 2)
+
+
+def test_a_pair_passes_the_last_join_once(spark):
+    """Texts that share many values are one row of the last join for each pair, not one for each value
+    and direction; the pairs are those that meeting under every value finds."""
+    import numpy as np
+
+    from zonelens.llm import parity_join as PJ
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2 ** 63, 400, dtype=np.uint64)
+    profiles, rows = [], []
+    for d in range(12):                    # near copies of one text; 7 to 11 lie in two components of their own
+        x = np.sort(np.concatenate([base[: 380 + d % 3], rng.integers(0, 2 ** 63, 20 - d % 3, dtype=np.uint64)]))
+        profiles.append((d, len(x), bytearray(PJ.bit_sketch(x).tobytes())))
+        rows += [(v, d, len(x), 0 if d < 7 else 7 + d % 2, 0) for v in range(100, 160) if v % 12 != d]
+    rows += [(1000 + d, e, 400, 0 if e < 7 else 7 + e % 2, 0) for d in range(7) for e in (d, 7 + d % 5)]
+    profiles = spark.createDataFrame(profiles, "doc_id long, n int, sketch binary")
+    open_ = spark.createDataFrame(rows, "value long, d long, dn int, component long, main long")
+    got = PJ._meetings(open_, PJ._meeting_words(profiles, open_), 75).select("a", "d").collect()
+    pairs = {frozenset(p) for p in got}
+    component = {d: c for _, d, _, c, _ in rows}
+    assert pairs == {frozenset((a, d)) for a in range(12) for d in range(12) if component[a] != component[d]}
+    assert len(got) == len(pairs)
+
+
+def test_values_of_the_same_members_count_once(spark):
+    """Open values: one of those with the same members, all of those that differ."""
+    from zonelens.llm import parity_join as PJ
+    sets = {1: (1, 2, 3), 2: (1, 2, 3), 3: (1, 2, 3, 4), 4: (1, 2, 4), 5: (1, 2, 3), 6: (1, 5, 6), 7: (1, 2)}
+    members = spark.createDataFrame([(v, d, 10) for v, ds in sets.items() for d in ds], "value long, d long, dn int")
+    comp = spark.createDataFrame([(1, 1), (2, 1), (5, 1), (6, 1)], "node long, component long")
+    got = PJ._unsettled(members, comp).collect()
+    kept = {}
+    for r in got:
+        kept.setdefault(r.value, set()).add(r.d)
+        assert r.main == 1 and r.component == {3: 3, 4: 4}.get(r.d, 1)
+    assert kept == {1: {1, 2, 3}, 3: {1, 2, 3, 4}, 4: {1, 2, 4}}
+
+
+def test_ids_with_texts_of_several_sizes_meet_under_every_value(spark):
+    """A repeated id whose texts differ: a value of one text must not hide that of the other."""
+    from zonelens.llm import parity_join as PJ
+    words = "one two three four five six seven eight nine ten".split()
+    long = " ".join(f"{w}{k}" for k in range(30) for w in words)
+    short = " ".join(f"x{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, short), (1, long), (2, long + " end"), (3, long + " fin"), (4, short + " end")], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in PJ.similarity_classes(docs).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1)}

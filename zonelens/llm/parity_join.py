@@ -28,10 +28,12 @@ Steps.
    distance at most D) and are verified on the whole sets; verified links
    give components.
 4. A value whose documents lie in several components may hide further links.
-   In a few rounds its members outside the largest component meet some of that
-   component's (the same ones under all values), which merges what belongs
-   together; then those still outside meet all members.  The same checks
-   follow, and the links give the final components.
+   Values of the same members count once.  Under values of many members those
+   outside the largest component first meet some of that component's (the same
+   ones under all values), which merges what belongs together; then those still
+   outside meet all members.  Pairs that share several values pass this join
+   under the first one.  The same checks follow, and the links give the final
+   components.
 Equal sets are one class throughout, so copies never multiply.
 
 Defined results: a NULL text or one without words has 0 shingles and links
@@ -337,6 +339,8 @@ PIVOT_ROUNDS, PIVOTS, FEW = 1, 8, 64
 VOID = 7 * 64 * WORDS // 4   # from this size on, similar sets may differ in half the bits of the joined sketch
 LONG = 3 * VOID // 4         # from this size on, sets may meet one of VOID or more: they also carry a longer sketch
 FEW_WORDS = 300_000 * WORDS  # 64-bit words of joined sketches that are broadcast
+FIRST = 4                    # open values that a document carries into the last join, to meet a partner once
+
 
 def _fits(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -380,17 +384,48 @@ def _distance(a: str, b: str):
 
 def _unsettled(members: DataFrame, comp: DataFrame) -> DataFrame:
     """Members (value, d, dn) of the values of three or more documents that lie in several
-    components, with their component and the value's largest one (`main`)."""
+    components, with their component and the value's largest one (`main`).  Of the values that
+    have the same members (by two 64-bit hashes) one stays: similar texts share hundreds."""
     spark = members.sparkSession
     m = (members.join(_few(comp.withColumnRenamed("node", "d")), "d", "left")
          .withColumn("component", F.coalesce("component", "d")))
-    main = (m.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("value").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"), F.sum("c").alias("all"))
-            .filter("all > 2 and all > top.c").select("value", F.col("top.m").alias("main")))
+    prints = [F.bit_xor(F.xxhash64("d", "dn", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    main = (m.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"), *prints)
+            .groupBy("value").agg(F.max(F.struct("c", F.col("component").alias("m"))).alias("top"), F.sum("c").alias("all"),
+                                  *[F.bit_xor(f"h{i}").alias(f"h{i}") for i in range(2)])
+            .filter("all > 2 and all > top.c")
+            .groupBy("all", "h0", "h1", F.col("top.m").alias("main")).agg(F.min("value").alias("value")).select("value", "main"))
     main = written(spark, main, "open-values")
     return written(spark, m.join(_few(main), "value"), "open")
 
 
+def _meeting_words(profiles: DataFrame, open_: DataFrame) -> DataFrame:
+    """d, the sketch and the FIRST smallest values of every member of the open values; none of an
+    id whose texts differ in size, which so meets under every value."""
+    first = open_.groupBy("d").agg(F.when(F.min("dn") == F.max("dn"), F.slice(F.array_sort(F.collect_list("value")), 1, FIRST))
+                                   .otherwise(F.array().cast("array<long>")).alias("first"))
+    first = written(open_.sparkSession, first, "first")
+    return _sketch_words(profiles, first.select("d")).join(first, "d")
+
+
+def _meetings(open_: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, d) of documents of different components that share an open value and may be
+    similar by size and sketch.  Two members outside `main` meet once, not once each.  A pair
+    that has common values among the first ones of both passes under the smallest of these, so
+    it is one row however many values it shares; only a pair without any is a row per value."""
+    bits = [f"s{i}" for i in range(WORDS)]
+    left = open_.filter("component <> main").select("value", F.col("d").alias("a"), F.col("dn").alias("an"), F.col("component").alias("ac")) \
+        .join(words.select(F.col("d").alias("a"), *[F.col(c).alias(f"a{c}") for c in [*bits, "longer", "first"]]), "a")
+    right = open_.select(F.col("value").alias("v"), "d", "dn", "component", "main").join(words, "d")
+    most = F.col("an") + F.col("dn")
+    small = F.greatest("an", "dn") < VOID
+    differ = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(c))) for c in bits), F.lit(0))
+    once = F.coalesce(F.array_min(F.array_intersect("afirst", "first")) >= F.col("value"), F.lit(True))
+    return left.join(right, (F.col("value") == F.col("v")) & (F.col("ac") != F.col("component"))
+                     & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("d"))) & _fits("an", "dn", percent)
+                     & (~small | (differ * 7 <= most)) & once & (small | (_distance("alonger", "longer") * 7 <= most)))
+
+
 def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_from: int = 2,
                        max_hot: int = 1 << 18, bucket_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id of every document (`docs`: doc_id, text).
@@ -450,32 +485,26 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
     open_ = _unsettled(members, comp)
     turn = 0
     while turn <= PIVOT_ROUNDS:
-        rows, meetings = open_.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("component") != F.col("main")).alias("o")) \
-            .agg(F.sum("n"), F.sum(F.col("n") * F.col("o"))).first()
-        if not rows:
+        if open_.isEmpty():
             break
-        if meetings <= FEW * rows:             # the last step is cheap: no more rounds before it
-            turn = PIVOT_ROUNDS
+        if turn < PIVOT_ROUNDS:                # under values of few members the last step is cheap: no rounds before it
+            large = written(spark, open_.groupBy("value").count().filter(F.col("count") > FEW).select("value"), "large-values")
+            if large.isEmpty():
+                turn = PIVOT_ROUNDS
         turn += 1
-        others = open_.filter("component <> main").select("value", F.col("d").alias("a"), F.col("dn").alias("an"), F.col("component").alias("ac"))
         if turn <= PIVOT_ROUNDS:
+            held = open_.join(_few(large), "value", "left_semi")
+            others = held.filter("component <> main").select("value", F.col("d").alias("a"), F.col("dn").alias("an"), F.col("component").alias("ac"))
             salts = [F.min(F.struct(F.xxhash64("d", F.lit(8 * turn + i)).alias("h"), "d", "dn", "component")).alias(f"p{i}") for i in range(PIVOTS)]
-            centre = open_.filter("component = main").groupBy("value").agg(*salts)
-            met = others.join(centre, "value").select("a", "an", "ac", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")) \
-                .select("a", "an", "ac", "p.d", "p.dn", "p.component")
+            centre = held.filter("component = main").groupBy("value").agg(*salts)
+            met = others.join(centre, "value").select("a", "an", "ac", F.array(*[f"p{i}" for i in range(PIVOTS)]).alias("ps")).distinct() \
+                .select("a", "an", "ac", F.explode("ps").alias("p")).select("a", "an", "ac", "p.d", "p.dn", "p.component")
             met = met.filter((F.col("ac") != F.col("component")) & _fits("an", "dn", percent))
         else:
-            words = written(spark, _sketch_words(profiles, open_.select("d").distinct()), "words")
-            held = words.agg(F.sum(WORDS + F.coalesce(F.size("longer"), F.lit(0)))).first()[0]
+            words = written(spark, _meeting_words(profiles, open_), "words")
+            held = words.agg(F.sum(WORDS + F.coalesce(F.size("longer"), F.lit(0)) + F.size("first"))).first()[0]
             words = F.broadcast(words) if held <= FEW_WORDS else words
-            bits = [f"s{i}" for i in range(WORDS)]
-            left = others.join(words.select(F.col("d").alias("a"), *[F.col(c).alias(f"a{c}") for c in [*bits, "longer"]]), "a")
-            right = open_.select("value", "d", "dn", "component").join(words, "d")
-            differ = sum((F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(c))) for c in bits), F.lit(0))
-            differ = F.when(F.greatest("an", "dn") < VOID, differ).otherwise(_distance("alonger", "longer"))
-            near = differ * 7 <= F.col("an") + F.col("dn")
-            met = left.join(right, (left["value"] == right["value"]) & (F.col("ac") != F.col("component"))
-                            & _fits("an", "dn", percent) & near)
+            met = _meetings(open_, words, percent)
         rest = written(spark, met.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
                        .join(pairs, ["x", "y"], "left_anti"), "pairs")
         if rest.isEmpty():
@@ -493,8 +522,11 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
             .select("node", F.coalesce("_m", "_c").alias("component"))
         fresh = merged.join(comp.select("node"), "node", "left_anti")
         comp = written(spark, before.unionByName(fresh), "components")
-        if turn <= PIVOT_ROUNDS:
-            open_ = _unsettled(open_.select("value", "d", "dn"), comp)
+        if turn <= PIVOT_ROUNDS:               # any merged component will do as the one the others lie outside of
+            for c in ("component", "main"):
+                open_ = open_.join(_few(merged.select(F.col("node").alias(c), F.col("component").alias("_m"))), c, "left") \
+                    .withColumn(c, F.coalesce("_m", c)).drop("_m")
+            open_ = written(spark, open_, "open")
     return (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("component", "rep", "doc_id").alias("component_id")))
