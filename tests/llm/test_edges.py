@@ -176,3 +176,35 @@ def test_ids_with_texts_of_several_sizes_meet_under_every_value(spark):
     docs = spark.createDataFrame([(1, short), (1, long), (2, long + " end"), (3, long + " fin"), (4, short + " end")], "doc_id long, text string")
     got = {(r.doc_id, r.component_id) for r in PJ.similarity_classes(docs).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (4, 1)}
+
+
+def test_driver_holds_no_sketches_and_no_long_tables(spark, monkeypatch):
+    """The driver gathers and sends what is broadcast: never the sketches of the last join, nor a table of many rows."""
+    from zonelens.llm import parity_join as PJ
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert hinted(spark.range(9).join(PJ._few(spark.range(1000)), "id"))
+    assert not hinted(spark.range(9).join(PJ._few(spark.range(200_000)), "id"))
+    met, meetings = [], PJ._meetings
+    monkeypatch.setattr(PJ, "_meetings", lambda *a: met.append(meetings(*a)) or met[-1])
+    common = " ".join(f"w{k}" for k in range(160))          # too little of a text to link two
+    rows = [(d, common + " " + " ".join(f"x{d}_{k}" for k in range(40))) for d in range(12)]
+    rows += [(d + 100, text + " end") for d, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in PJ.similarity_classes(docs).collect()}
+    assert got == {d: d % 100 for d, _ in rows}
+    assert met and not any(hinted(df) for df in met)
+
+
+def test_classes_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    """Tables beyond the broadcast bound are joined by a shuffle, with the same classes."""
+    from zonelens.llm import parity_join as PJ
+    words = [f"w{k}" for k in range(120)]
+    rows = [(d, " ".join(words[d % 6 * 4: 100 + d % 6 * 4])) for d in range(40)]
+    rows += [(100 + d, " ".join(words[:70]) + " " + " ".join(f"x{d % 9}_{k}" for k in range(30))) for d in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = sorted(map(tuple, PJ.similarity_classes(docs).collect()))
+    monkeypatch.setattr(PJ, "FEW_ROWS", 0)
+    assert sorted(map(tuple, PJ.similarity_classes(docs).collect())) == few
+    assert 1 < len({c for *_, c in few}) < 20

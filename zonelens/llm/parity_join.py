@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelens.llm.common import (LOWER, SMALL_IDS, SPACE_WORDS, by_ids, combine, distinct, few_files, flat_text, input_bytes, mix,
+from zonelens.llm.common import (LOWER, SPACE_WORDS, by_ids, combine, distinct, few_files, flat_text, input_bytes, mix,
                                  release, slices, word_hashes, word_spans, written)
 from zonelens.llm.components import components
 
@@ -311,9 +311,13 @@ def _sets_of(width: int):
     return run
 
 
-def _few(rows: DataFrame, most: int = SMALL_IDS) -> DataFrame:
-    """A written table as the broadcast side of its joins when it has at most `most` (narrow) rows."""
-    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+FEW_ROWS = 1 << 17           # narrow rows of a table that is broadcast: about 8 MB, several of which may be on the driver at once
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, as the broadcast side of its joins when it has at
+    most FEW_ROWS.  The driver gathers, builds and sends a broadcast, so wider ones never are."""
+    return F.broadcast(rows) if rows.limit(FEW_ROWS + 1).count() <= FEW_ROWS else rows
 
 
 def _attach(pairs: DataFrame, side: DataFrame) -> DataFrame:
@@ -338,7 +342,6 @@ def _links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, p
 PIVOT_ROUNDS, PIVOTS, FEW = 1, 8, 64
 VOID = 7 * 64 * WORDS // 4   # from this size on, similar sets may differ in half the bits of the joined sketch
 LONG = 3 * VOID // 4         # from this size on, sets may meet one of VOID or more: they also carry a longer sketch
-FEW_WORDS = 300_000 * WORDS  # 64-bit words of joined sketches that are broadcast
 FIRST = 4                    # open values that a document carries into the last join, to meet a partner once
 
 
@@ -501,10 +504,7 @@ def similarity_classes(docs: DataFrame, width: int = 5, percent: int = 75, hot_f
                 .select("a", "an", "ac", F.explode("ps").alias("p")).select("a", "an", "ac", "p.d", "p.dn", "p.component")
             met = met.filter((F.col("ac") != F.col("component")) & _fits("an", "dn", percent))
         else:
-            words = written(spark, _meeting_words(profiles, open_), "words")
-            held = words.agg(F.sum(WORDS + F.coalesce(F.size("longer"), F.lit(0)) + F.size("first"))).first()[0]
-            words = F.broadcast(words) if held <= FEW_WORDS else words
-            met = _meetings(open_, words, percent)
+            met = _meetings(open_, written(spark, _meeting_words(profiles, open_), "words"), percent)
         rest = written(spark, met.select(F.least("a", "d").alias("x"), F.greatest("a", "d").alias("y")).distinct()
                        .join(pairs, ["x", "y"], "left_anti"), "pairs")
         if rest.isEmpty():
